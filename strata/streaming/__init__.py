@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The surveyed workload is batch only (no watermarks, windows, state or late
+data), so this package holds no operators. Incremental behaviour of the
+warehouse (append loads, dimension loads that insert only unseen keys) is
+batch and lives in ``strata.operators.dims`` and ``strata.sources.files``.
+"""
