@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import LOOKUP_KEY_CHARS, to_text_truncated
-from strata.operators.dims import lookup_table
 from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, keep_row_bound
 
 
@@ -29,7 +28,9 @@ class Lookup:
     ``dim_keys``: its natural-key columns; ``fact_keys``: Spark SQL expressions
     over the fact row (may reference ids resolved by earlier lookups);
     ``as_col``: name of the id in the fact; ``truncate``: compare the first N
-    characters of the text form of both sides (``None``: compare as is).
+    characters of the text form of both sides (``None``: compare as is), one
+    value for all keys or one per key; ``dedupe``: collapse the dimension to its
+    lowest id per key first (``False``: duplicate dimension rows fan out).
     """
 
     dim: str
@@ -37,13 +38,22 @@ class Lookup:
     dim_keys: tuple[str, ...]
     fact_keys: tuple[str, ...]
     as_col: str | None = None
-    truncate: int | None = LOOKUP_KEY_CHARS
+    truncate: int | None | tuple[int | None, ...] = LOOKUP_KEY_CHARS
     dedupe: bool = True
 
     @property
     def out(self) -> str:
         return self.as_col or self.dim_id
 
+    def truncations(self) -> tuple[int | None, ...]:
+        if isinstance(self.truncate, tuple):
+            return self.truncate
+        return (self.truncate,) * len(self.dim_keys)
+
+
+def _key(c: Column, n: int | None) -> Column:
+    return to_text_truncated(c, n) if n else c
+
 
 @dataclass(frozen=True)
 class FactSpec:
@@ -62,16 +72,15 @@ def resolve_lookups(
     cur = fact
     for i, lk in enumerate(lookups):
         names = [f"__lk{i}_{j}" for j in range(len(lk.dim_keys))]
+        cuts = lk.truncations()
+        dim = dims[lk.dim]
+        dim_keys = [_key(F.col(k), n).alias(a) for k, n, a in zip(lk.dim_keys, cuts, names)]
         if lk.dedupe:
-            side = lookup_table(dims[lk.dim], lk.dim_id, lk.dim_keys, lk.truncate, names, lk.out)
+            # lowest id per key == ROW_NUMBER() OVER (PARTITION BY key ORDER BY id) = 1
+            side = keep_row_bound(dim.groupBy(*dim_keys).agg(F.min(lk.dim_id).alias(lk.out)), dim)
         else:
-            # no collapse to the lowest id: duplicate dimension rows fan out
-            keys = [(to_text_truncated(k, lk.truncate) if lk.truncate else F.col(k)).alias(n) for k, n in zip(lk.dim_keys, names)]
-            side = keep_row_bound(dims[lk.dim].select(*keys, F.col(lk.dim_id).alias(lk.out)), dims[lk.dim])
-        fact_keys: list[Column] = [
-            (to_text_truncated(F.expr(e), lk.truncate) if lk.truncate else F.expr(e)).alias(n)
-            for e, n in zip(lk.fact_keys, names)
-        ]
+            side = keep_row_bound(dim.select(*dim_keys, F.col(lk.dim_id).alias(lk.out)), dim)
+        fact_keys = [_key(F.expr(e), n).alias(a) for e, n, a in zip(lk.fact_keys, cuts, names)]
         cur = cur.select("*", *fact_keys)
         cur = cur.join(bounded_broadcast(side, max_broadcast_rows), on=names, how="inner").drop(*names)
     return cur

@@ -11,10 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold
-from strata.plans import oracle
-from strata.plans.revenue import RevenueModel, load_revenue, revenue_dashboard
-from strata.plans.standins import revenue_bronze
+from strata.operators.dims import (
+    DimensionSpec,
+    ensure_members,
+    load_dimension,
+    load_time_years,
+    time_member,
+    time_month_spec,
+)
+from strata.operators.facts import integrity_report
+from strata.operators.reshape import select_columns_like, unpivot_to_text
+from strata.plans import forms, oracle, survey
+from strata.plans.revenue import DIM_EJECUTORA, RevenueModel, load_revenue, revenue_dashboard
+from strata.plans.standins import forms_sources, revenue_bronze, survey_wide
 from strata.session import materialize
+from strata.sources.files import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,11 +64,164 @@ def q_kpi_by_department(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(gold.kpi_by_department(_dashboard(spark, sf_dir)), MONEY)
 
 
+# ---------------------------------------------------------------------------
+# Dimensions
+
+DIM_CLIENTE = DimensionSpec(
+    name="DIM_CLIENTE",
+    id_col="IdCliente",
+    columns=(
+        ("CLIENTE", "CAST(o_custkey AS STRING)"),
+        ("CLIENTE_NOMBRE", "CAST(c_name AS STRING)"),
+        ("SEGMENTO", "CAST(c_mktsegment AS STRING)"),
+    ),
+    key=("CLIENTE",),
+)
+
+
+def q_dim_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches (orders before / from 1998): the second inserts only unseen keys, ids continue."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_custkey")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    first = load_dimension(rows.filter(F.col("o_orderdate") < cut), None, DIM_CLIENTE)
+    second = load_dimension(rows.filter(F.col("o_orderdate") >= cut), first.dim, DIM_CLIENTE)
+    return second.dim
+
+
+def q_dim_multi_source_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Executing units from three ordered sources; a later source adds only unseen codes."""
+    budget = read_table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS SEC_EJEC", "s_suppkey AS EJECUTORA", "s_name AS EJECUTORA_NOMBRE"
+    )
+    stats = read_table(spark, sf_dir, "customer").selectExpr("c_custkey AS SEC_EJEC", "c_name AS MUNICIPALIDAD_NOMBRE")
+    answers = read_table(spark, sf_dir, "orders").selectExpr("o_orderkey AS SEC_EJEC")
+    dim = load_dimension(budget, None, DIM_EJECUTORA).dim
+    dim = load_dimension(stats, dim, forms.DIM_EJECUTORA_ESTADISTICA).dim
+    return load_dimension(answers, dim, forms.DIM_EJECUTORA_RESPUESTAS).dim
+
+
+def _order_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "year(o_orderdate) AS a", "year(o_orderdate) - 1 AS b", "year(o_orderdate) + 1 AS c"
+    )
+
+
+def q_dim_unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year members, then the fixed members 0 (unknown) and 2020, inserted only if absent (twice: idempotent)."""
+    t = load_time_years(_order_years(spark, sf_dir), ["a", "b", "c"], None)
+    t = ensure_members(t, [time_member(0, 0), time_member(2020, 2020)], ["IdTiempo"])
+    return ensure_members(t, [time_member(0, 0)], ["IdTiempo"])
+
+
+def q_dim_date_mixed_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time dimension with YYYYMM, YYYY and 0 members from two sources."""
+    ship = read_table(spark, sf_dir, "lineitem").selectExpr("year(l_shipdate) AS ANO_DOC", "month(l_shipdate) AS MES_DOC")
+    t = load_dimension(ship, None, time_month_spec("ANO_DOC", "MES_DOC")).dim
+    t = ensure_members(t, [time_member(0, 0)], ["IdTiempo"])
+    t = load_time_years(_order_years(spark, sf_dir), ["a", "b", "c"], t)
+    return ensure_members(t, [time_member(2020, 2020)], ["IdTiempo"])
+
+
+DIM_GENERICA_PART = DimensionSpec(
+    name="DIM_GENERICA",
+    id_col="IdGenerica",
+    columns=(
+        ("GENERICA", "CAST(p_brand AS STRING)"),
+        ("SUBGENERICA", "CAST(p_type AS STRING)"),
+        ("GENERICA_NOMBRE", "CAST(p_name AS STRING)"),
+    ),
+    key=("GENERICA", "SUBGENERICA"),
+)
+
+
+def q_dim_lookup_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension with several names per code, collapsed to its lowest id per 50-char key."""
+    from strata.operators.dims import lookup_table
+
+    dim = load_dimension(read_table(spark, sf_dir, "part"), None, DIM_GENERICA_PART).dim
+    return lookup_table(dim, "IdGenerica", ["GENERICA", "SUBGENERICA"]).select("IdGenerica", "GENERICA", "SUBGENERICA")
+
+
+# ---------------------------------------------------------------------------
+# Forms
+
+
+def _forms(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    src = forms_sources(spark, sf_dir)
+    dims = forms.load_forms_dimensions(src["anio"], src["formulario"], src["preguntas"], src["respuestas"])
+    return dims, forms.load_forms_fact(src["respuestas"], dims)
+
+
+def q_fact_dependent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forms(spark, sf_dir)[1]
+
+
+def q_gold_forms_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims, fact = _forms(spark, sf_dir)
+    return forms.forms_dashboard(fact, dims)
+
+
+# ---------------------------------------------------------------------------
+# Survey
+
+
+def q_unpivot_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part")
+    cols = select_columns_like(part.columns, include=["p_%"], exclude=["p_partkey"])
+    return unpivot_to_text(part, ["p_partkey"], cols)
+
+
+def _survey(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    return survey.load_survey(survey_wide(spark, sf_dir))
+
+
+def q_fact_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survey(spark, sf_dir)[1]
+
+
+def q_gold_survey_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims, fact = _survey(spark, sf_dir)
+    return survey.survey_dashboard(fact, dims)
+
+
+# ---------------------------------------------------------------------------
+# Integrity
+
+
+def q_integrity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    orders = read_table(spark, sf_dir, "orders")
+    parent = orders.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    return integrity_report(
+        li,
+        not_null=["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"],
+        unique=[["l_orderkey", "l_linenumber"]],
+        foreign_keys=[
+            (["l_orderkey"], parent, ["o_orderkey"], "l_orderkey->orders_before_2000"),
+            (["l_partkey"], read_table(spark, sf_dir, "part"), ["p_partkey"], "l_partkey->part"),
+            (["l_suppkey"], read_table(spark, sf_dir, "supplier"), ["s_suppkey"], "l_suppkey->supplier"),
+        ],
+    )
+
+
 QUERIES: dict[str, Query] = {
     "fact_lookup_star": q_fact_lookup_star,
     "gold_revenue_dashboard": q_gold_revenue_dashboard,
     "kpi_yearly": q_kpi_yearly,
     "kpi_by_department": q_kpi_by_department,
+    "dim_incremental_load": q_dim_incremental_load,
+    "dim_multi_source_first_wins": q_dim_multi_source_first_wins,
+    "dim_unknown_member": q_dim_unknown_member,
+    "dim_date_mixed_grain": q_dim_date_mixed_grain,
+    "dim_lookup_dedupe": q_dim_lookup_dedupe,
+    "fact_dependent_lookup": q_fact_dependent_lookup,
+    "gold_forms_dashboard": q_gold_forms_dashboard,
+    "unpivot_wide_to_long": q_unpivot_wide_to_long,
+    "fact_survey": q_fact_survey,
+    "gold_survey_dashboard": q_gold_survey_dashboard,
+    "integrity_violations": q_integrity_violations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -65,4 +229,15 @@ ORACLE_SQL: dict[str, str] = {
     "gold_revenue_dashboard": oracle.GOLD_REVENUE_DASHBOARD,
     "kpi_yearly": oracle.KPI_YEARLY,
     "kpi_by_department": oracle.KPI_BY_DEPARTMENT,
+    "dim_incremental_load": oracle.DIM_INCREMENTAL_LOAD,
+    "dim_multi_source_first_wins": oracle.DIM_MULTI_SOURCE_FIRST_WINS,
+    "dim_unknown_member": oracle.DIM_UNKNOWN_MEMBER,
+    "dim_date_mixed_grain": oracle.DIM_DATE_MIXED_GRAIN,
+    "dim_lookup_dedupe": oracle.DIM_LOOKUP_DEDUPE,
+    "fact_dependent_lookup": oracle.FACT_DEPENDENT_LOOKUP,
+    "gold_forms_dashboard": oracle.GOLD_FORMS_DASHBOARD,
+    "unpivot_wide_to_long": oracle.UNPIVOT_WIDE_TO_LONG,
+    "fact_survey": oracle.FACT_SURVEY,
+    "gold_survey_dashboard": oracle.GOLD_SURVEY_DASHBOARD,
+    "integrity_violations": oracle.INTEGRITY_VIOLATIONS,
 }

@@ -94,3 +94,71 @@ def revenue_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{PIM_EXPR} AS MONTO_PIM",
         f"{REC_EXPR} AS MONTO_RECAUDADO",
     )
+
+
+# ---------------------------------------------------------------------------
+# Forms source (from conversations: conversation = form, turn = question)
+
+
+def forms_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """``anio``, ``formulario``, ``preguntas``, ``respuestas`` bronze frames."""
+    conv = _t(spark, sf_dir, "conversations")
+    return {
+        "anio": conv.selectExpr(
+            "CAST(2000 + turn AS STRING) AS ANO_APLICACION",
+            "CAST(2000 + turn AS STRING) AS ANO_APLICACION_INICIO",
+            "CAST(2001 + turn AS STRING) AS ANO_APLICACION_FIN",
+        ),
+        "formulario": conv.selectExpr(
+            "conv_id AS FORMULARIO_ID",
+            "concat('Form ', CAST(conv_id AS STRING)) AS TITULO",
+            "concat('Sub ', CAST(conv_id % 7 AS STRING)) AS SUB_TITULO",
+            "concat('F', CAST(conv_id AS STRING)) AS ABREVIATURA",
+            "CASE WHEN conv_id % 2 = 0 THEN 'PAR' ELSE 'IMPAR' END AS CLASIFICACION",
+            "'CONV' AS TIPO_FORMULARIO",
+        ),
+        "preguntas": conv.selectExpr(
+            "turn AS PREGUNTA_ID",
+            "conv_id AS FORMULARIO_ID",
+            "CASE WHEN turn = 0 THEN NULL ELSE turn - 1 END AS PREGUNTA_PADRE_ID",
+            "role AS DESCRIPCION",
+            "role AS TIPO_CUESTIONARIO_ID",
+        ),
+        "respuestas": conv.selectExpr(
+            "role AS SEC_EJEC",
+            "CAST(2000 + turn AS STRING) AS ANO_APLICACION",
+            "concat('P', CAST(turn AS STRING)) AS PERIODO",
+            "conv_id AS FORMULARIO_ID",
+            "turn AS PREGUNTA_ID",
+            "conv_id * 1000 + turn AS RESPUESTA_ID",
+            "text AS RESPUESTA_TEXTO",
+            "CAST(length(text) AS STRING) AS RESPUESTA_DECIMAL",
+            "CAST(turn AS STRING) AS RESPUESTA_ENTERO",
+            "CAST(NULL AS STRING) AS RESPUESTA_FECHA",
+        ),
+    }
+
+
+# ---------------------------------------------------------------------------
+# Wide municipal survey (one row per customer)
+
+
+def survey_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    nation = bounded_broadcast(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = bounded_broadcast(_t(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.selectExpr(
+        "c_custkey AS idmunici",
+        "lpad(CAST(n_regionkey AS STRING), 2, '0') AS ccdd",
+        "lpad(CAST(c_nationkey AS STRING), 2, '0') AS ccpp",
+        "lpad(CAST(c_custkey % 10 AS STRING), 2, '0') AS ccdi",
+        "r_name AS Departamento",
+        "n_name AS Provincia",
+        "concat(n_name, '-', CAST(c_custkey % 10 AS STRING)) AS Distrito",
+        "CAST(c_custkey % 3 AS STRING) AS Tipomuni",
+        "'1' AS VFI",
+        "c_mktsegment AS P01_SEGMENTO",
+        "CAST(CAST(floor(c_acctbal / 1000) AS BIGINT) AS STRING) AS P02_SALDO",
+        "nullif(c_mktsegment, 'BUILDING') AS P03_OTRO",
+    )
