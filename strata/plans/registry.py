@@ -241,3 +241,10 @@ ORACLE_SQL: dict[str, str] = {
     "gold_survey_dashboard": oracle.GOLD_SURVEY_DASHBOARD,
     "integrity_violations": oracle.INTEGRITY_VIOLATIONS,
 }
+
+from strata.plans import ingest_oracle, ingest_queries, profiling_queries  # noqa: E402
+
+QUERIES.update(ingest_queries.QUERIES)
+ORACLE_SQL.update(ingest_oracle.ORACLE_SQL)
+QUERIES.update(profiling_queries.QUERIES)
+ORACLE_SQL.update(profiling_queries.ORACLE_SQL)
