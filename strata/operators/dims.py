@@ -19,7 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.exprs import LOOKUP_KEY_CHARS, to_text_truncated
-from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, anti_join, keep_row_bound, row_bound, set_row_bound
+from strata.operators.joins import (
+    DEFAULT_BROADCAST_MAX_ROWS,
+    anti_join,
+    keep_row_bound,
+    row_bound,
+    set_row_bound,
+    single_partition_if_bounded,
+)
 from strata.operators.keys import assign_surrogate_keys
 
 
@@ -164,7 +171,8 @@ def lookup_table(
         (to_text_truncated(k, truncate) if truncate else F.col(k)).alias(n)
         for k, n in zip(key_cols, names)
     ]
-    return keep_row_bound(dim.groupBy(*keys).agg(F.min(id_col).alias(id_name or id_col)), dim)
+    small = single_partition_if_bounded(dim)
+    return keep_row_bound(small.groupBy(*keys).agg(F.min(id_col).alias(id_name or id_col)), dim)
 
 
 # ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import LOOKUP_KEY_CHARS, to_text_truncated
-from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, keep_row_bound
+from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, keep_row_bound, single_partition_if_bounded
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,8 @@ def resolve_lookups(
         dim_keys = [_key(F.col(k), n).alias(a) for k, n, a in zip(lk.dim_keys, cuts, names)]
         if lk.dedupe:
             # lowest id per key == ROW_NUMBER() OVER (PARTITION BY key ORDER BY id) = 1
-            side = keep_row_bound(dim.groupBy(*dim_keys).agg(F.min(lk.dim_id).alias(lk.out)), dim)
+            small = single_partition_if_bounded(dim, max_broadcast_rows)
+            side = keep_row_bound(small.groupBy(*dim_keys).agg(F.min(lk.dim_id).alias(lk.out)), dim)
         else:
             side = keep_row_bound(dim.select(*dim_keys, F.col(lk.dim_id).alias(lk.out)), dim)
         fact_keys = [_key(F.expr(e), n).alias(a) for e, n, a in zip(lk.fact_keys, cuts, names)]

@@ -39,6 +39,19 @@ def keep_row_bound(derived: DataFrame, source: DataFrame) -> DataFrame:
     return set_row_bound(derived, bound) if bound is not None else derived
 
 
+def single_partition_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``coalesce(1)`` a frame with a recorded row bound under ``max_rows``.
+
+    Used on the input of a broadcast side's aggregation: the side is collected
+    whole to the driver anyway, and a single partition satisfies the
+    aggregation's distribution, so no shuffle stage is planned for it.
+    """
+    bound = row_bound(df)
+    if bound is not None and bound <= max_rows:
+        return set_row_bound(df.coalesce(1), bound)
+    return df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 

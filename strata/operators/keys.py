@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import set_row_bound
+from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, set_row_bound
 from strata.session import cut_lineage
 
 _PID = "__sk_pid"
@@ -70,4 +70,9 @@ def assign_surrogate_keys(
         bases[pid] = start + prior - first + 1
     base = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bases]), F.col(_PID) + 1)
     out = tagged.select((base + F.col(_RID)).cast("bigint").alias(id_col), *cols)
-    return set_row_bound(out, sum(n for _, n, _ in stats))
+    total = sum(n for _, n, _ in stats)
+    if total <= DEFAULT_BROADCAST_MAX_ROWS:
+        # a dimension small enough to be broadcast is kept in one partition, so
+        # each later broadcast of it is one task instead of one per range slice
+        out = out.coalesce(1)
+    return set_row_bound(out, total)

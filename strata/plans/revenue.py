@@ -10,6 +10,7 @@ cheap to rescan (a parquet table), not an expensive un-materialised join.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -192,11 +193,17 @@ def load_revenue_dimensions(
     existing: Mapping[str, DataFrame] | None = None,
     specs: tuple[DimensionSpec, ...] = REVENUE_DIMENSIONS,
 ) -> dict[str, DataFrame]:
-    """Incremental load of every revenue dimension from one bronze batch."""
+    """Incremental load of every revenue dimension from one bronze batch.
+
+    The loads are independent (each reads its own columns of the bronze), so
+    they are submitted concurrently; Spark schedules their jobs side by side.
+    """
     existing = dict(existing or {})
     out: dict[str, DataFrame] = dict(existing)
-    for spec in specs:
-        out[spec.name] = load_dimension(bronze, existing.get(spec.name), spec).dim
+    with ThreadPoolExecutor(max_workers=min(len(specs), 8) or 1) as pool:
+        futures = {spec.name: pool.submit(load_dimension, bronze, existing.get(spec.name), spec) for spec in specs}
+        for name, fut in futures.items():
+            out[name] = fut.result().dim
     return out
 
 
