@@ -28,6 +28,7 @@ from strata.operators.joins import (
     single_partition_if_bounded,
 )
 from strata.operators.keys import assign_surrogate_keys
+from strata.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -107,7 +108,13 @@ def load_dimension(
     if existing is not None:
         batch = anti_join(batch, existing, spec.key, max_broadcast_rows)
     if spec.id_col is None:
-        new_rows = batch
+        # computed key (no surrogate): materialise once and record its size, so
+        # later lookups and broadcasts need no count of their own
+        new_rows = cut_lineage(batch)
+        n = new_rows.count()
+        if n <= max_broadcast_rows:
+            new_rows = new_rows.coalesce(1)
+        set_row_bound(new_rows, n)
         next_id = 0
     else:
         start = _max_id(existing, spec.id_col)
