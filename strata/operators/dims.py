@@ -148,13 +148,17 @@ def load_dimension_sources(
     return dim
 
 
+def missing_members(dim: DataFrame, members: Sequence[Mapping[str, object]], key: Sequence[str]) -> DataFrame:
+    """The fixed member rows whose key is not in ``dim`` (``IF NOT EXISTS ... INSERT``)."""
+    rows = [tuple(m.get(f.name) for f in dim.schema.fields) for m in members]
+    fixed = dim.sparkSession.createDataFrame(rows, dim.schema)
+    return fixed.join(dim.select(*key), on=list(key), how="left_anti")
+
+
 def ensure_members(dim: DataFrame, members: Sequence[Mapping[str, object]], key: Sequence[str]) -> DataFrame:
     """Insert fixed member rows (e.g. the unknown member ``0``) whose key is absent."""
-    spark = dim.sparkSession
-    rows = [tuple(m.get(f.name) for f in dim.schema.fields) for m in members]
-    fixed = spark.createDataFrame(rows, dim.schema)
-    missing = fixed.join(dim.select(*key), on=list(key), how="left_anti")
-    out = dim.unionByName(missing)
+    rows = members
+    out = dim.unionByName(missing_members(dim, members, key))
     bound = row_bound(dim)
     return set_row_bound(out, bound + len(rows)) if bound is not None else out
 

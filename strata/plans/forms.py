@@ -84,6 +84,17 @@ DIM_EJECUTORA_ESTADISTICA = DimensionSpec(
     require=("SEC_EJEC IS NOT NULL", "EJECUTORA_NOMBRE IS NOT NULL"),
 )
 
+def _esat_ubigeo() -> DimensionSpec:
+    from strata.plans.revenue import ubigeo_spec
+
+    return ubigeo_spec(
+        "DEPARTAMENTO", "DEPARTAMENTO_NOMBRE", "PROVINCIA", "PROVINCIA_NOMBRE", "DISTRITO", "DISTRITO_NOMBRE"
+    )
+
+
+# locations from the municipal statistics source
+DIM_UBIGEO_ESTADISTICA = _esat_ubigeo()
+
 FACT_FORMULARIO = FactSpec(
     name="FACT_FORMULARIO_SISMEPRE",
     lookups=(
@@ -166,6 +177,8 @@ def load_forms_dimensions(
     if estadistica is not None:
         ejecutora = load_dimension(estadistica, ejecutora, DIM_EJECUTORA_ESTADISTICA).dim
     out["DIM_EJECUTORA"] = load_dimension(respuestas, ejecutora, DIM_EJECUTORA_RESPUESTAS).dim
+    if estadistica is not None:
+        out["DIM_UBIGEO"] = load_dimension(estadistica, ex.get("DIM_UBIGEO"), DIM_UBIGEO_ESTADISTICA).dim
     return out
 
 
