@@ -1,17 +1,19 @@
-"""Dense surrogate keys without a single-partition sort.
+"""Dense surrogate keys without a single-partition sort of unbounded data.
 
 ``row_number() OVER (ORDER BY k)`` plans an ``Exchange SinglePartition``: the
-whole input goes through one task. Instead:
+whole input goes through one task. Here the batch is first materialised with a
+reliable checkpoint and counted (both passes then see identical rows), then:
 
-1. range-partition on the order columns and sort inside each partition
-   (every partition holds a contiguous slice of the global order);
-2. tag each row with its partition id and a per-partition increasing id, and
-   cut lineage (reliable checkpoint) so both passes see identical partitions;
-3. count rows per partition (one row per partition reaches the driver);
-4. id = start + rows in earlier partitions + position in the partition + 1.
+* a batch of at most ``small_rows`` rows (a proven bound) is numbered by that
+  window over its single coalesced partition -- no shuffle at all;
+* a larger batch is range-partitioned and sorted within partitions (each
+  partition holds a contiguous slice of the global order), tagged with its
+  partition id and a per-partition increasing id, checkpointed again, counted
+  per partition (one row per partition reaches the driver), and numbered as
+  start + rows in earlier partitions + position in its partition.
 
-The result equals the global ``row_number()`` in the order of ``order_cols``
-(ascending, NULLs first) and does not depend on where the range bounds fell.
+Both paths give the global ``row_number()`` in ``order_cols`` order (ascending,
+NULLs first); the range path does not depend on where the bounds fell.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, set_row_bound
@@ -28,6 +30,9 @@ from strata.session import cut_lineage
 _PID = "__sk_pid"
 _RID = "__sk_rid"
 
+# Largest batch numbered in one task (proven by the count taken first).
+SMALL_BATCH_ROWS = 1_000_000
+
 
 def assign_surrogate_keys(
     df: DataFrame,
@@ -35,6 +40,7 @@ def assign_surrogate_keys(
     id_col: str,
     start: int = 0,
     num_partitions: int | None = None,
+    small_rows: int = SMALL_BATCH_ROWS,
 ) -> DataFrame:
     """Return ``df`` with ``id_col`` = ``start`` + dense 1-based rank in ``order_cols`` order.
 
@@ -43,10 +49,19 @@ def assign_surrogate_keys(
     """
     cols = list(df.columns)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *order)
-    else:
-        ranged = df.repartitionByRange(*order)
+    staged = cut_lineage(df)
+    total = staged.count()
+    if total <= small_rows:
+        ranked = staged.coalesce(1).select(
+            (F.lit(start).cast("bigint") + F.row_number().over(Window.orderBy(*order))).cast("bigint").alias(id_col),
+            *cols,
+        )
+        return set_row_bound(ranked, total)
+    return _range_keys(staged, cols, order, id_col, start, num_partitions)
+
+
+def _range_keys(df, cols, order, id_col, start, num_partitions) -> DataFrame:
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     tagged = ranged.sortWithinPartitions(*order).select(
         F.spark_partition_id().alias(_PID),
         F.monotonically_increasing_id().alias(_RID),
@@ -72,7 +87,6 @@ def assign_surrogate_keys(
     out = tagged.select((base + F.col(_RID)).cast("bigint").alias(id_col), *cols)
     total = sum(n for _, n, _ in stats)
     if total <= DEFAULT_BROADCAST_MAX_ROWS:
-        # a dimension small enough to be broadcast is kept in one partition, so
-        # each later broadcast of it is one task instead of one per range slice
+        # small enough to be broadcast: one partition, one task per later broadcast
         out = out.coalesce(1)
     return set_row_bound(out, total)

@@ -19,8 +19,8 @@ from strata.operators.joins import bounded_broadcast
 from strata.sources.files import read_table
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, sf_dir, name, spread_small=spread)
 
 
 def _money(expr: str) -> str:
@@ -38,7 +38,8 @@ REC_EXPR = _money(
 
 def revenue_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One budget row per lineitem with the ``ingreso_raw`` columns."""
-    li = _t(spark, sf_dir, "lineitem").select(
+    # the widest input: spread when its scan has fewer splits than cores
+    li = _t(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )

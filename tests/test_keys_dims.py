@@ -20,9 +20,13 @@ SPEC = DimensionSpec(
 )
 
 
-def test_surrogate_keys_equal_global_row_number(spark):
+import pytest
+
+
+@pytest.mark.parametrize("small_rows", [10, 1_000_000])  # range path, bounded single-task path
+def test_surrogate_keys_equal_global_row_number(spark, small_rows):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).cast("string").alias("k"), (F.col("id") % 3).alias("v"))
-    got = assign_surrogate_keys(df, ["k", "v"], "sid", start=10, num_partitions=7)
+    got = assign_surrogate_keys(df, ["k", "v"], "sid", start=10, num_partitions=7, small_rows=small_rows)
     expect = df.select(F.row_number().over(Window.orderBy("k", "v")).alias("rn"), "k", "v")
     a = {(r["k"], r["v"]): r["sid"] for r in got.collect()}
     b = {(r["k"], r["v"]): r["rn"] + 10 for r in expect.collect()}
@@ -30,9 +34,10 @@ def test_surrogate_keys_equal_global_row_number(spark):
     assert sorted(a.values()) == list(range(11, 5011))  # dense, unique
 
 
-def test_surrogate_keys_plan_has_no_single_partition_exchange(spark):
+@pytest.mark.parametrize("small_rows", [10, 1_000_000])
+def test_surrogate_keys_plan_has_no_single_partition_exchange(spark, small_rows):
     df = spark.range(0, 1000).select(F.col("id").cast("string").alias("k"))
-    got = assign_surrogate_keys(df, ["k"], "sid")
+    got = assign_surrogate_keys(df, ["k"], "sid", small_rows=small_rows)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
