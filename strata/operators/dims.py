@@ -22,6 +22,7 @@ from strata.functions.exprs import LOOKUP_KEY_CHARS, to_text_truncated
 from strata.operators.joins import (
     DEFAULT_BROADCAST_MAX_ROWS,
     anti_join,
+    bounded_broadcast,
     keep_row_bound,
     row_bound,
     set_row_bound,
@@ -152,7 +153,8 @@ def missing_members(dim: DataFrame, members: Sequence[Mapping[str, object]], key
     """The fixed member rows whose key is not in ``dim`` (``IF NOT EXISTS ... INSERT``)."""
     rows = [tuple(m.get(f.name) for f in dim.schema.fields) for m in members]
     fixed = dim.sparkSession.createDataFrame(rows, dim.schema)
-    return fixed.join(dim.select(*key), on=list(key), how="left_anti")
+    keys = keep_row_bound(dim.select(*key), dim)
+    return fixed.join(bounded_broadcast(keys), on=list(key), how="left_anti")
 
 
 def ensure_members(dim: DataFrame, members: Sequence[Mapping[str, object]], key: Sequence[str]) -> DataFrame:
