@@ -7,7 +7,9 @@ column ``y`` is constant iff ``count(y) = 0`` or (``count(y) = count(*)`` and
 ``min(y) = max(y)``) when NULL counts as a value, or iff ``count(y) = 0`` or
 ``min(y) = max(y)`` when NULLs are ignored; no ``count(DISTINCT)`` is needed.
 Only combination-sized results (one row per determinant and column) reach the
-driver.
+driver. A pass holds at most ``MAX_SETS_PER_PASS`` grouping sets (the scan's
+rows are expanded once per set), so a wide table is profiled in several
+passes instead of one pass that multiplies every row by thousands.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_SETS_PER_PASS = 32
+
 NULLS_AS_VALUE = "value"  # a NULL is one more value (columnar-frame semantics)
 NULLS_IGNORED = "ignore"  # NULL keys dropped, NULL values not counted (pandas semantics)
 
@@ -39,6 +43,7 @@ def constancy(
     determinants: Sequence[Sequence[str]],
     targets: Mapping[int, Sequence[str]] | None = None,
     nulls: str = NULLS_AS_VALUE,
+    max_sets_per_pass: int | None = None,
 ) -> DataFrame:
     """For each determinant (column list) and target column: number of groups and
     of groups in which the target is not constant.
@@ -48,6 +53,23 @@ def constancy(
     columns (default: every other orderable column).
     """
     dets = [list(d) for d in determinants]
+    per_pass = max_sets_per_pass or MAX_SETS_PER_PASS
+    if len(dets) <= per_pass:
+        return _constancy_pass(df, dets, targets, nulls)
+    parts = []
+    for lo in range(0, len(dets), per_pass):
+        chunk = dets[lo : lo + per_pass]
+        sub = None if targets is None else {i - lo: targets[i] for i in range(lo, lo + len(chunk)) if i in targets}
+        parts.append(_constancy_pass(df, chunk, sub, nulls))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _constancy_pass(
+    df: DataFrame,
+    dets: list[list[str]],
+    targets: Mapping[int, Sequence[str]] | None,
+    nulls: str,
+) -> DataFrame:
     cols = _orderable(df)
     grouping_cols = list(dict.fromkeys(c for d in dets for c in d))
     tmap = {i: [c for c in (targets or {}).get(i, cols) if c not in d and c in cols] for i, d in enumerate(dets)}
@@ -154,14 +176,25 @@ def normalize_2nf(df: DataFrame, primary_key: Sequence[str], nulls: str = NULLS_
 
 
 def column_cardinalities(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
-    """Distinct values per column (NULL counted once) from one grouping-sets pass."""
+    """Distinct values per column (NULL counted once), ``MAX_SETS_PER_PASS`` columns per pass."""
     cols = list(columns or _orderable(df))
+    if len(cols) > MAX_SETS_PER_PASS:
+        out: dict[str, int] = {}
+        for lo in range(0, len(cols), MAX_SETS_PER_PASS):
+            out.update(column_cardinalities(df, cols[lo : lo + MAX_SETS_PER_PASS]))
+        return out
     g = df.groupingSets([[F.col(c)] for c in cols], *cols).agg(F.grouping_id().alias("__gid"))
     counts = {r["__gid"]: r["n"] for r in g.groupBy("__gid").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {c: int(counts.get(_gid(cols, [c]), 0)) for c in cols}
 
 
-def _unique_combos(df: DataFrame, combos: Sequence[Sequence[str]]) -> list[bool]:
+def _unique_combos(df: DataFrame, combos: Sequence[Sequence[str]], max_sets_per_pass: int | None = None) -> list[bool]:
+    per_pass = max_sets_per_pass or MAX_SETS_PER_PASS
+    if len(combos) > per_pass:
+        out: list[bool] = []
+        for lo in range(0, len(combos), per_pass):
+            out += _unique_combos(df, combos[lo : lo + per_pass], per_pass)
+        return out
     cols = list(dict.fromkeys(c for k in combos for c in k))
     g = df.groupingSets([[F.col(c) for c in k] for k in combos], *cols).agg(
         F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n")

@@ -122,3 +122,20 @@ def test_manifest_ingest_reports_missing_and_failed(spark, tmp_dir):
     st = {(r["filename"], r["status"]) for r in status.collect()}
     assert ("A_2023.parquet", "loaded") in st and ("A_2025.parquet", "missing") in st
     assert rows(tables["a_raw"]) == [(1, "a", None), (2, None, 5)]
+
+
+def test_profiling_in_several_passes_equals_one_pass(spark):
+    from strata.operators import profiling as P
+
+    df = spark.createDataFrame([(i, i % 3, i % 2, i // 2, f"s{i % 3}") for i in range(12)], "a int, b int, c int, d int, e string")
+    one = {(r["determinant"], r["dependent"]) for r in P.fd_matrix(df).collect()}
+    many = {(r["determinant"], r["dependent"]) for r in P.constancy(df, [[c] for c in df.columns], max_sets_per_pass=2).filter("n_violations = 0").collect()}
+    assert one == many and ("b", "e") in one and ("e", "b") in one
+    keys_one = sorted(sorted(k) for k in P.candidate_keys(df, 3))
+    old = P.MAX_SETS_PER_PASS
+    P.MAX_SETS_PER_PASS = 2
+    try:
+        keys_many = sorted(sorted(k) for k in P.candidate_keys(df, 3))
+    finally:
+        P.MAX_SETS_PER_PASS = old
+    assert keys_one == keys_many
