@@ -39,8 +39,9 @@ class DimensionSpec:
     ``columns``: (output column, Spark SQL expression over the source row).
     ``key``: natural-key output columns. ``id_col``: surrogate id column, or
     ``None`` when the key itself is the id (computed keys such as ``YYYYMM``).
-    ``require``: SQL predicates over the projected row; default is every key
-    column ``IS NOT NULL``.
+    ``require``: SQL predicates over the projected row (output names); default
+    is every key column ``IS NOT NULL``. ``source_filter``: one SQL predicate
+    over the source row, for conditions on columns the projection drops.
     """
 
     name: str
@@ -48,6 +49,7 @@ class DimensionSpec:
     key: tuple[str, ...]
     id_col: str | None = None
     require: tuple[str, ...] | None = None
+    source_filter: str | None = None
 
     @property
     def output_columns(self) -> list[str]:
@@ -75,6 +77,8 @@ class DimensionLoad:
 
 def project_batch(source: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Projected, filtered, de-duplicated candidate rows of one batch."""
+    if spec.source_filter:
+        source = source.filter(F.expr(spec.source_filter))
     proj = source.select(*[F.expr(e).alias(c) for c, e in spec.columns])
     for pred in spec.predicates():
         proj = proj.filter(F.expr(pred))
@@ -135,6 +139,103 @@ def load_dimension(
     return DimensionLoad(full, new_rows, next_id)
 
 
+def _finish_load(
+    batch: DataFrame,
+    existing: DataFrame | None,
+    spec: DimensionSpec,
+    batch_bound: int,
+    max_broadcast_rows: int,
+) -> DimensionLoad:
+    """Anti-join, ids and append for a deterministic batch of at most ``batch_bound`` rows."""
+    if existing is not None:
+        batch = anti_join(batch, existing, spec.key, max_broadcast_rows)
+    if spec.id_col is None:
+        new_rows = batch.coalesce(1) if batch_bound <= max_broadcast_rows else batch
+        set_row_bound(new_rows, batch_bound)
+        max_id = None
+    else:
+        start = _max_id(existing, spec.id_col)
+        order = list(spec.key) + spec.attributes
+        new_rows = assign_surrogate_keys(batch, order, spec.id_col, start=start, known_max_rows=batch_bound)
+        # the bound is an upper bound (the anti-join may drop rows): exact only without existing rows
+        max_id = start + batch_bound if existing is None else None
+    new_rows = keep_row_bound(new_rows.select(*spec.all_columns()), new_rows)
+    if existing is None:
+        full = new_rows
+    else:
+        full = existing.select(*spec.all_columns()).unionByName(new_rows)
+        old = row_bound(existing)
+        if old is not None:
+            set_row_bound(full, old + batch_bound)
+    if max_id is not None:
+        setattr(full, _MAX_ID_ATTR, max_id)
+    return DimensionLoad(full, new_rows, max_id or 0)
+
+
+# at most this many grouping columns in one pass (grouping_id is a 64-bit mask)
+_MAX_GROUPING_COLUMNS = 60
+
+
+def load_dimensions(
+    source: DataFrame,
+    specs: Sequence[DimensionSpec],
+    existing: Mapping[str, DataFrame] | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> dict[str, DimensionLoad]:
+    """Load several dimensions from one source in one pass.
+
+    Every spec's projection (plus a flag for its source filter) is one grouping
+    set of a single ``GROUPING SETS`` aggregation: the source is scanned once,
+    each row is expanded once per dimension and combined map-side, and the
+    distinct rows of all dimensions are checkpointed together and counted per
+    dimension in one small job. Each dimension then continues as in
+    ``load_dimension`` from its slice of the checkpoint.
+    """
+    existing = dict(existing or {})
+    chunks: list[list[tuple[int, DimensionSpec]]] = [[]]
+    width = 0
+    for i, spec in enumerate(specs):
+        n = len(spec.columns) + 1
+        if chunks[-1] and width + n > _MAX_GROUPING_COLUMNS:
+            chunks.append([])
+            width = 0
+        chunks[-1].append((i, spec))
+        width += n
+    out: dict[str, DimensionLoad] = {}
+    for chunk in chunks:
+        out.update(_load_chunk(source, chunk, existing, max_broadcast_rows))
+    return out
+
+
+def _load_chunk(source, chunk, existing, max_broadcast_rows) -> dict[str, DimensionLoad]:
+    cols, sets, names_of = [], [], {}
+    for i, spec in chunk:
+        names = [f"__d{i}_{j}" for j in range(len(spec.columns))]
+        flag = f"__ok{i}"
+        cols += [F.expr(e).alias(n) for (_, e), n in zip(spec.columns, names)]
+        cols.append((F.coalesce(F.expr(spec.source_filter), F.lit(False)) if spec.source_filter else F.lit(True)).alias(flag))
+        sets.append([flag, *names])
+        names_of[i] = names
+    grouping = [c for s in sets for c in s]
+    wide = source.select(*cols)
+    distinct_rows = wide.groupingSets([[F.col(c) for c in s] for s in sets], *grouping).agg(
+        F.grouping_id().alias("__gid")
+    )
+    staged = cut_lineage(distinct_rows)
+    counts = {r["__gid"]: r["n"] for r in staged.groupBy("__gid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = len(grouping)
+    out: dict[str, DimensionLoad] = {}
+    for (i, spec), s in zip(chunk, sets):
+        gid = sum(1 << (n - 1 - k) for k, c in enumerate(grouping) if c not in s)
+        rows = staged.filter((F.col("__gid") == gid) & F.col(f"__ok{i}")).select(
+            *[F.col(nm).alias(c) for nm, (c, _) in zip(names_of[i], spec.columns)]
+        )
+        for pred in spec.predicates():
+            rows = rows.filter(F.expr(pred))
+        out[spec.name] = _finish_load(rows, existing.get(spec.name), spec, int(counts.get(gid, 0)), max_broadcast_rows)
+    return out
+
+
 def load_dimension_sources(
     sources: Iterable[tuple[DataFrame, DimensionSpec]],
     existing: DataFrame | None = None,
@@ -211,7 +312,7 @@ def time_month_spec(year_expr: str, month_expr: str) -> DimensionSpec:
             ("SEGUNDO", "CAST(NULL AS INT)"),
         ),
         key=("IdTiempo",),
-        require=(f"{y} IS NOT NULL", f"{m} IS NOT NULL"),
+        require=("ANIO IS NOT NULL", "MES IS NOT NULL"),
     )
 
 

@@ -41,6 +41,7 @@ def assign_surrogate_keys(
     start: int = 0,
     num_partitions: int | None = None,
     small_rows: int = SMALL_BATCH_ROWS,
+    known_max_rows: int | None = None,
 ) -> DataFrame:
     """Return ``df`` with ``id_col`` = ``start`` + dense 1-based rank in ``order_cols`` order.
 
@@ -49,6 +50,14 @@ def assign_surrogate_keys(
     """
     cols = list(df.columns)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
+    if known_max_rows is not None and known_max_rows <= small_rows:
+        # the caller proves the size and that ``df`` is deterministic (e.g. a
+        # filter over checkpointed rows): number it in one task, no extra job
+        ranked = df.coalesce(1).select(
+            (F.lit(start).cast("bigint") + F.row_number().over(Window.orderBy(*order))).cast("bigint").alias(id_col),
+            *cols,
+        )
+        return set_row_bound(ranked, known_max_rows)
     staged = cut_lineage(df)
     total = staged.count()
     if total <= small_rows:

@@ -27,7 +27,8 @@ DIM_ANIO_APLICACION = DimensionSpec(
         ("FECHA_ING", "0"),
     ),
     key=("ANO_APLICACION",),
-    require=("try_cast(ANO_APLICACION AS INT) IS NOT NULL",),
+    source_filter="try_cast(ANO_APLICACION AS INT) IS NOT NULL",
+    require=(),
 )
 
 DIM_FORMULARIO = DimensionSpec(

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from strata.operators.dims import DimensionSpec, load_dimension, time_month_spec
+from strata.operators.dims import DimensionSpec, load_dimension, load_dimensions, time_month_spec
 from strata.operators.facts import FactSpec, Lookup, build_fact
 from strata.operators.gold import DimJoin, add_budget_measures, aggregate_dashboard
 
@@ -192,14 +192,22 @@ def load_revenue_dimensions(
     bronze: DataFrame,
     existing: Mapping[str, DataFrame] | None = None,
     specs: tuple[DimensionSpec, ...] = REVENUE_DIMENSIONS,
+    single_pass: bool = False,
 ) -> dict[str, DataFrame]:
     """Incremental load of every revenue dimension from one bronze batch.
 
-    The loads are independent (each reads its own columns of the bronze), so
-    they are submitted concurrently; Spark schedules their jobs side by side.
+    Default: independent loads submitted concurrently, each scanning only its
+    own columns of the (parquet) bronze. ``single_pass=True`` computes all of
+    them from one scan with ``GROUPING SETS`` instead -- fewer jobs, but every
+    row is expanded once per dimension, so it pays off only when the bronze
+    is expensive to rescan (not a columnar table).
     """
     existing = dict(existing or {})
     out: dict[str, DataFrame] = dict(existing)
+    if single_pass:
+        for name, loaded in load_dimensions(bronze, specs, existing).items():
+            out[name] = loaded.dim
+        return out
     with ThreadPoolExecutor(max_workers=min(len(specs), 8) or 1) as pool:
         futures = {spec.name: pool.submit(load_dimension, bronze, existing.get(spec.name), spec) for spec in specs}
         for name, fut in futures.items():

@@ -83,3 +83,23 @@ def test_time_dimension_mixed_grain_and_members(spark):
     t = ensure_members(t, [time_member(0, 0), time_member(2020, 2020)], ["IdTiempo"])
     got = rows(t.select("IdTiempo", "ANIO", "MES"))
     assert got == [(0, 0, None), (2020, 2020, None), (202401, 2024, 1)]
+
+
+def test_single_pass_dimension_loads_equal_individual_loads(spark):
+    from strata.operators.dims import load_dimensions
+
+    src = spark.createDataFrame(
+        [("1", "a", "x", "2024"), ("1", "a2", "y", "bad"), ("2", "b", None, "2025"), (None, "n", "z", "2024")],
+        "code string, name string, other string, yr string",
+    )
+    other = DimensionSpec(
+        name="DIM_O",
+        id_col="IdO",
+        columns=(("O", "CAST(other AS STRING)"), ("Y", "coalesce(try_cast(yr AS INT), 0)")),
+        key=("O",),
+        source_filter="try_cast(yr AS INT) IS NOT NULL",
+    )
+    existing = {"DIM_X": spark.createDataFrame([(7, "2", "old")], "IdX bigint, CODE string, NAME string")}
+    together = load_dimensions(src, [SPEC, other], existing)
+    assert rows(together["DIM_X"].dim) == rows(load_dimension(src, existing["DIM_X"], SPEC).dim)
+    assert rows(together["DIM_O"].dim) == rows(load_dimension(src, None, other).dim) == [(1, "x", 2024), (2, "z", 2024)]
