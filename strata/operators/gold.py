@@ -86,6 +86,20 @@ def kpi_yearly(dashboard: DataFrame) -> DataFrame:
     return sums.withColumn("PORC_AVANCE_RECAUDACION", safe_ratio(F.col("MONTO_RECAUDADO"), F.col("MONTO_PIM")))
 
 
+def string_agg(
+    df: DataFrame, group_cols: Sequence[str], value_col: str, sep: str = ",", alias: str | None = None
+) -> DataFrame:
+    """Per group, the distinct non-NULL values joined with ``sep`` in ascending order
+    (``STRING_AGG(DISTINCT x, sep ORDER BY x)``).
+
+    ``collect_set`` combines map-side, so the shuffle carries at most one set per
+    group and map task; the result per group is bounded by the number of
+    distinct values, which is why this aggregates distinct values only.
+    """
+    out = alias or f"{value_col}_agg"
+    return df.groupBy(*group_cols).agg(F.array_join(F.array_sort(F.collect_set(value_col)), sep).alias(out))
+
+
 def kpi_by_department(dashboard: DataFrame) -> DataFrame:
     return dashboard.groupBy("ANIO", "DEPARTAMENTO").agg(
         *[F.sum(c).cast(SUM_TYPE).alias(c) for c in ("MONTO_RECAUDADO", "MONTO_PIM", "SALDO_POR_RECAUDAR")]

@@ -183,8 +183,9 @@ def q_link_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_string_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comma-joined sorted distinct types per brand (bounded by the distinct types)."""
-    part = read_table(spark, sf_dir, "part")
-    return part.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("types"))
+    from strata.operators.gold import string_agg
+
+    return string_agg(read_table(spark, sf_dir, "part"), ["p_brand"], "p_type", ",", alias="types")
 
 
 # ---------------------------------------------------------------------------
