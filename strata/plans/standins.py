@@ -5,9 +5,11 @@ workload reads (budget rows, forms/answers, a wide municipal survey), so the
 warehouse operators run on data whose size grows with the driver tables.
 The SQL twins used by the oracle live in ``strata.plans.oracle``.
 
-Large joins (lineitem x orders x customer, x part, x supplier) are shuffle
-joins chosen by the planner; only ``nation`` and ``region`` (25 and 5 rows by
-definition) are broadcast, behind the row bound.
+Join strategies are left to the planner: its file-size statistics broadcast
+the small sides (nation, region, and at small scale factors part, supplier,
+orders) and AQE re-plans at run time; at large scale the same joins are
+shuffled. The widest input (lineitem) is spread over the cores when its scan
+has fewer splits than cores.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import bounded_broadcast
 from strata.sources.files import read_table
 
 
@@ -45,12 +46,14 @@ def revenue_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = bounded_broadcast(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = bounded_broadcast(_t(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
     supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
 
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    # join strategies are left to the planner: file-size statistics and AQE
+    # broadcast the small sides at small scale factors and shuffle them at large
     rows = (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
@@ -146,8 +149,8 @@ def forms_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def survey_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    nation = bounded_broadcast(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = bounded_broadcast(_t(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
     rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     return rows.selectExpr(
         "c_custkey AS idmunici",
