@@ -77,5 +77,5 @@ def anti_join(
     A NULL key part never compares equal, so such rows are always kept, as in
     the correlated ``NOT EXISTS`` this replaces.
     """
-    right = existing.select(*keys).distinct()
+    right = keep_row_bound(single_partition_if_bounded(existing, max_rows).select(*keys).distinct(), existing)
     return new_rows.join(bounded_broadcast(right, max_rows), on=list(keys), how="left_anti")
