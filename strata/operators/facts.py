@@ -68,8 +68,14 @@ def resolve_lookups(
     lookups: Sequence[Lookup],
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Inner-join ``fact`` to each lookup in order, adding the resolved id columns."""
+    """Inner-join ``fact`` to each lookup in order, adding the resolved id columns.
+
+    The fact-side keys are join-condition expressions (the planner extracts them
+    as equi-join keys), so the chain adds no projection per lookup; helper
+    columns are dropped once at the end.
+    """
     cur = fact
+    helpers: list[str] = []
     for i, lk in enumerate(lookups):
         names = [f"__lk{i}_{j}" for j in range(len(lk.dim_keys))]
         cuts = lk.truncations()
@@ -81,10 +87,14 @@ def resolve_lookups(
             side = keep_row_bound(small.groupBy(*dim_keys).agg(F.min(lk.dim_id).alias(lk.out)), dim)
         else:
             side = keep_row_bound(dim.select(*dim_keys, F.col(lk.dim_id).alias(lk.out)), dim)
-        fact_keys = [_key(F.expr(e), n).alias(a) for e, n, a in zip(lk.fact_keys, cuts, names)]
-        cur = cur.select("*", *fact_keys)
-        cur = cur.join(bounded_broadcast(side, max_broadcast_rows), on=names, how="inner").drop(*names)
-    return cur
+        side = bounded_broadcast(side, max_broadcast_rows)
+        cond = reduce(
+            lambda a, b: a & b,
+            [_key(F.expr(e), n) == side[a] for e, n, a in zip(lk.fact_keys, cuts, names)],
+        )
+        cur = cur.join(side, cond, "inner")
+        helpers += names
+    return cur.drop(*helpers)
 
 
 def build_fact(

@@ -45,7 +45,8 @@ def denormalise(
     for i, j in enumerate(joins):
         fid = f"__dj{i}"
         side = keep_row_bound(dims[j.dim].select(F.col(j.dim_id).alias(fid), *[F.col(d).alias(o) for o, d in j.columns]), dims[j.dim])
-        cur = cur.withColumn(fid, F.col(j.fact_col)).join(bounded_broadcast(side, max_broadcast_rows), on=fid, how="inner").drop(fid)
+        side = bounded_broadcast(side, max_broadcast_rows)
+        cur = cur.join(side, F.col(j.fact_col) == side[fid], "inner")
         out_cols.extend(o for o, _ in j.columns)
     return cur.select(*keep, *out_cols)
 
