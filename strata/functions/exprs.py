@@ -76,10 +76,11 @@ def to_text_truncated(c: str | Column, n: int = LOOKUP_KEY_CHARS) -> Column:
 def lenient_timestamp(c: str | Column) -> Column:
     """Drop a trailing ``.fraction`` and parse leniently; NULL when unparsable.
 
-    Returns ``timestamp_ntz`` (wall-clock value, independent of the session zone).
+    Returns ``timestamp_ntz``: the text is read as a wall-clock value directly,
+    so no session time zone (and no daylight-saving gap) is involved.
     """
     cleaned = F.regexp_replace(to_text(c), FRACTION_SUFFIX, "")
-    return F.try_to_timestamp(cleaned).cast("timestamp_ntz")
+    return cleaned.try_cast("timestamp_ntz")
 
 
 def strip_leading_zeros(c: str | Column) -> Column:
