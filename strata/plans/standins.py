@@ -143,6 +143,24 @@ def forms_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def esat_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Municipal statistics rows (executing unit + location) from customers."""
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.selectExpr(
+        "c_custkey AS SEC_EJEC",
+        "c_name AS MUNICIPALIDAD_NOMBRE",
+        "CAST(n_regionkey AS STRING) AS DEPARTAMENTO",
+        "r_name AS DEPARTAMENTO_NOMBRE",
+        "CAST(c_nationkey AS STRING) AS PROVINCIA",
+        "n_name AS PROVINCIA_NOMBRE",
+        "CAST(c_custkey % 10 AS STRING) AS DISTRITO",
+        "concat(n_name, '-', CAST(c_custkey % 10 AS STRING)) AS DISTRITO_NOMBRE",
+    )
+
+
 # ---------------------------------------------------------------------------
 # Wide municipal survey (one row per customer)
 

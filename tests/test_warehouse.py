@@ -1,6 +1,6 @@
 import os
 
-from strata.plans.standins import forms_sources, revenue_bronze, survey_wide
+from strata.plans.standins import esat_statistics, forms_sources, revenue_bronze, survey_wide
 from strata.plans.warehouse import Bronze, Warehouse, kpi_views, load_gold_all, load_silver_all
 from strata.session import materialize
 from strata.sources.files import read_module_dir, modules_to_parquet
@@ -15,6 +15,7 @@ def _bronze(spark):
         formulario=src["formulario"],
         preguntas=src["preguntas"],
         respuestas=src["respuestas"],
+        estadistica=esat_statistics(spark, SF_SMALL),
         survey=survey_wide(spark, SF_SMALL),
     )
 
@@ -30,6 +31,16 @@ def test_silver_then_gold_and_rerun_is_incremental(spark, tmp_dir):
     # ids are dense and unique in the stored dimension
     ids = [r[0] for r in wh.read("silver", "DIM_EJECUTORA").select("IdEjecutora").collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
+    # executing units: budget suppliers first, then statistics customers not seen, then answer roles
+    ej = wh.read("silver", "DIM_EJECUTORA")
+    n_supp = spark.read.parquet(os.path.join(SF_SMALL, "supplier.parquet")).count()
+    n_cust = spark.read.parquet(os.path.join(SF_SMALL, "customer.parquet")).count()
+    assert ej.filter("IdEjecutora <= %d" % n_supp).count() == n_supp
+    assert ej.count() >= n_cust  # every customer code exists once (codes overlap with suppliers)
+    # locations: every customer location exists once the statistics source is loaded
+    assert wh.read("silver", "DIM_UBIGEO").select("CODIGODEPARTAMENTO", "CODIGOPROVINCIA", "CODIGODISTRITO").distinct().count() == (
+        esat_statistics(spark, SF_SMALL).select("DEPARTAMENTO", "PROVINCIA", "DISTRITO").distinct().count()
+    )
 
     # second run with the same batch: dimensions unchanged, facts fully refreshed
     load_silver_all(wh, bronze)
