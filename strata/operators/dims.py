@@ -11,8 +11,10 @@ rows; lookups therefore collapse the dimension to its lowest id per key
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,6 +238,16 @@ def _load_chunk(source, chunk, existing, max_broadcast_rows) -> dict[str, Dimens
     return out
 
 
+def run_concurrently(tasks: Mapping[str, Callable[[], Any]], max_workers: int = 8) -> dict[str, Any]:
+    """Run independent loads from a thread pool; Spark schedules their jobs side
+    by side (each load is a few small jobs, so latency, not throughput, bounds it)."""
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(len(tasks), max_workers)) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def load_dimension_sources(
     sources: Iterable[tuple[DataFrame, DimensionSpec]],
     existing: DataFrame | None = None,

@@ -9,7 +9,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.dims import DimensionSpec, ensure_members, load_dimension, load_time_years, time_member
+from strata.operators.dims import (
+    DimensionSpec,
+    ensure_members,
+    load_dimension,
+    load_time_years,
+    run_concurrently,
+    time_member,
+)
 from strata.operators.facts import FactSpec, Lookup, build_fact
 from strata.operators.gold import DimJoin, denormalise
 from strata.operators.joins import bounded_broadcast, keep_row_bound
@@ -169,17 +176,28 @@ def load_forms_dimensions(
         from strata.operators.dims import TIME_SCHEMA
 
         tiempo = anio.sparkSession.createDataFrame([(0, 0, None, None, None, None, None)], TIME_SCHEMA)
-    out["DIM_TIEMPO"] = load_time_years(anio, ["ANO_APLICACION", "ANO_APLICACION_INICIO", "ANO_APLICACION_FIN"], tiempo)
-    out["DIM_ANIO_APLICACION"] = load_dimension(anio, ex.get("DIM_ANIO_APLICACION"), DIM_ANIO_APLICACION).dim
-    out["DIM_FORMULARIO_SISMEPRE"] = load_dimension(formulario, ex.get("DIM_FORMULARIO_SISMEPRE"), DIM_FORMULARIO).dim
-    q = questions_with_form(preguntas, out["DIM_FORMULARIO_SISMEPRE"])
-    out["DIM_PREGUNTA_SISMEPRE"] = load_dimension(q, ex.get("DIM_PREGUNTA_SISMEPRE"), DIM_PREGUNTA).dim
-    ejecutora = ex.get("DIM_EJECUTORA")
-    if estadistica is not None:
-        ejecutora = load_dimension(estadistica, ejecutora, DIM_EJECUTORA_ESTADISTICA).dim
-    out["DIM_EJECUTORA"] = load_dimension(respuestas, ejecutora, DIM_EJECUTORA_RESPUESTAS).dim
+    def forms_and_questions():
+        form = load_dimension(formulario, ex.get("DIM_FORMULARIO_SISMEPRE"), DIM_FORMULARIO).dim
+        q = questions_with_form(preguntas, form)
+        return form, load_dimension(q, ex.get("DIM_PREGUNTA_SISMEPRE"), DIM_PREGUNTA).dim
+
+    def executing_units():
+        ejecutora = ex.get("DIM_EJECUTORA")
+        if estadistica is not None:
+            ejecutora = load_dimension(estadistica, ejecutora, DIM_EJECUTORA_ESTADISTICA).dim
+        return load_dimension(respuestas, ejecutora, DIM_EJECUTORA_RESPUESTAS).dim
+
+    tasks = {
+        "DIM_TIEMPO": lambda: load_time_years(anio, ["ANO_APLICACION", "ANO_APLICACION_INICIO", "ANO_APLICACION_FIN"], tiempo),
+        "DIM_ANIO_APLICACION": lambda: load_dimension(anio, ex.get("DIM_ANIO_APLICACION"), DIM_ANIO_APLICACION).dim,
+        "forms": forms_and_questions,
+        "DIM_EJECUTORA": executing_units,
+    }
     if estadistica is not None:
-        out["DIM_UBIGEO"] = load_dimension(estadistica, ex.get("DIM_UBIGEO"), DIM_UBIGEO_ESTADISTICA).dim
+        tasks["DIM_UBIGEO"] = lambda: load_dimension(estadistica, ex.get("DIM_UBIGEO"), DIM_UBIGEO_ESTADISTICA).dim
+    done = run_concurrently(tasks)
+    out["DIM_FORMULARIO_SISMEPRE"], out["DIM_PREGUNTA_SISMEPRE"] = done.pop("forms")
+    out.update(done)
     return out
 
 

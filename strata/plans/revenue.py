@@ -10,12 +10,11 @@ cheap to rescan (a parquet table), not an expensive un-materialised join.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from strata.operators.dims import DimensionSpec, load_dimension, load_dimensions, time_month_spec
+from strata.operators.dims import DimensionSpec, load_dimension, load_dimensions, run_concurrently, time_month_spec
 from strata.operators.facts import FactSpec, Lookup, build_fact
 from strata.operators.gold import DimJoin, add_budget_measures, aggregate_dashboard
 
@@ -208,10 +207,9 @@ def load_revenue_dimensions(
         for name, loaded in load_dimensions(bronze, specs, existing).items():
             out[name] = loaded.dim
         return out
-    with ThreadPoolExecutor(max_workers=min(len(specs), 8) or 1) as pool:
-        futures = {spec.name: pool.submit(load_dimension, bronze, existing.get(spec.name), spec) for spec in specs}
-        for name, fut in futures.items():
-            out[name] = fut.result().dim
+    tasks = {spec.name: (lambda s=spec: load_dimension(bronze, existing.get(s.name), s)) for spec in specs}
+    for name, loaded in run_concurrently(tasks).items():
+        out[name] = loaded.dim
     return out
 
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.dims import TIME_SCHEMA, DimensionSpec, ensure_members, load_dimension, time_member
+from strata.operators.dims import TIME_SCHEMA, DimensionSpec, ensure_members, load_dimension, run_concurrently, time_member
 from strata.operators.facts import FactSpec, Lookup, build_fact
 from strata.operators.gold import DimJoin, denormalise
 from strata.operators.reshape import SURVEY_INCLUDE, select_columns_like, unpivot_to_text
@@ -88,9 +88,15 @@ def load_survey(
     if tiempo is None:
         tiempo = survey.sparkSession.createDataFrame([], TIME_SCHEMA)
     dims["DIM_TIEMPO"] = ensure_members(tiempo, [time_member(year, year)], ["IdTiempo"])
-    dims["DIM_UBIGEO"] = load_dimension(survey, ex.get("DIM_UBIGEO"), DIM_UBIGEO_SURVEY).dim
     long = survey_long(survey, include, exclude)
-    dims["DIM_PREGUNTA_RENAMU"] = load_dimension(long, ex.get("DIM_PREGUNTA_RENAMU"), question_spec(tag)).dim
+    dims.update(
+        run_concurrently(
+            {
+                "DIM_UBIGEO": lambda: load_dimension(survey, ex.get("DIM_UBIGEO"), DIM_UBIGEO_SURVEY).dim,
+                "DIM_PREGUNTA_RENAMU": lambda: load_dimension(long, ex.get("DIM_PREGUNTA_RENAMU"), question_spec(tag)).dim,
+            }
+        )
+    )
     fact = build_fact(long, dims, fact_spec(tag, year))
     return dims, fact
 
