@@ -11,7 +11,7 @@ from strata.operators.profiling import (
     parse_declared,
     partial_dependencies,
 )
-from strata.sources.catalog import discover_links, first_matching_link, select_resources
+from strata.sources.catalog import available_titles, discover_links, first_matching_link, select_resources
 from strata.sources.manifest import build_entries, ingest
 from tests.conftest import rows
 
@@ -77,6 +77,9 @@ def test_select_resources(spark):
     )
     assert rows(select_resources(res, [2024]).select("resource_url")) == [("http://h/a.csv",)]
     assert select_resources(res, download_all=True).count() == 3
+    # nothing for 2030: the caller reports what is on offer instead
+    assert select_resources(res, [2030]).count() == 0
+    assert rows(available_titles(res)) == [("Ingreso 2023",), ("Ingreso 2024",), ("Sin año",)]
 
 
 def test_link_discovery_and_first_zip(spark):
