@@ -155,8 +155,9 @@ def _finish_load(
         start = _max_id(existing, spec.id_col)
         order = list(spec.key) + spec.attributes
         new_rows = assign_surrogate_keys(batch, order, spec.id_col, start=start, known_max_rows=batch_bound)
-        # the bound is an upper bound (the anti-join may drop rows): exact only without existing rows
-        max_id = start + batch_bound if existing is None else None
+        # the bound is only an upper bound (filters and the anti-join may drop
+        # rows), so no maximum id is recorded; a later load computes it
+        max_id = None
     new_rows = keep_row_bound(new_rows.select(*spec.all_columns()), new_rows)
     if existing is None:
         full = new_rows

@@ -103,3 +103,7 @@ def test_single_pass_dimension_loads_equal_individual_loads(spark):
     together = load_dimensions(src, [SPEC, other], existing)
     assert rows(together["DIM_X"].dim) == rows(load_dimension(src, existing["DIM_X"], SPEC).dim)
     assert rows(together["DIM_O"].dim) == rows(load_dimension(src, None, other).dim) == [(1, "x", 2024), (2, "z", 2024)]
+    # a chained load after a filtered single-pass load continues densely (the NULL code was filtered)
+    more = spark.createDataFrame([("9", "q")], "code string, name string")
+    chained = load_dimension(more, load_dimensions(src, [SPEC])["DIM_X"].dim, SPEC).dim
+    assert rows(chained) == [(1, "1", "a"), (2, "1", "a2"), (3, "2", "b"), (4, "9", "q")]
