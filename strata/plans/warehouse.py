@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold
+from strata.operators.schema import SchemaChange, align, append_vintages, reconcile
 from strata.plans import forms, revenue, survey
 from strata.sources.files import append_table, overwrite_table
+from strata.sources.manifest import ingest
 
 # dimension -> surrogate id column (None: the key itself, IdTiempo)
 DIMENSIONS = {
@@ -58,6 +60,34 @@ class Warehouse:
     def replace(self, layer: str, table: str, df: DataFrame) -> None:
         overwrite_table(df, self.path(layer, table))
 
+    def stage(self, table: str, df: DataFrame) -> list[SchemaChange]:
+        """Append a load to a bronze table, evolving its schema.
+
+        Unchanged schema: the aligned rows are appended. New columns or widened
+        types: parquet cannot change a column in place, so the stored rows and
+        the new ones are aligned to the evolved schema and the table is
+        rewritten (the stored rows are materialised first, see
+        ``overwrite_table``). Returns the schema changes applied.
+        """
+        target = self.path("bronze", table)
+        stored = self.read("bronze", table)
+        if stored is None:
+            overwrite_table(df, target)
+            return [SchemaChange(f.name, "add", f.dataType.simpleString()) for f in df.schema.fields]
+        evolved, changes = reconcile(stored.schema, df.schema)
+        if not changes:
+            append_table(align(df, evolved), target)
+        else:
+            overwrite_table(append_vintages([stored, df], evolved), target)
+        return changes
+
+    def stage_manifest(self, config: Mapping, data_dir: str) -> DataFrame:
+        """Manifest ingest into bronze: every loaded table staged; returns the status report."""
+        status, tables = ingest(self.spark, config, data_dir)
+        for name, df in tables.items():
+            self.stage(name, df)
+        return status
+
     def append_new(self, table: str, final: DataFrame, existing: DataFrame | None, id_col: str | None) -> None:
         """Append the rows of ``final`` that this run added to ``existing``."""
         target = self.path("silver", table)

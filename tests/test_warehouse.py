@@ -59,6 +59,30 @@ def test_silver_then_gold_and_rerun_is_incremental(spark, tmp_dir):
     assert 0 in tiempo and 2020 in tiempo and any(t > 100000 for t in tiempo)
 
 
+def test_stage_evolves_bronze_schema(spark, tmp_dir):
+    wh = Warehouse(spark, os.path.join(tmp_dir, "wh"))
+    wh.stage("t_raw", spark.createDataFrame([(1, 10)], "k bigint, v int"))
+    # int -> text widening and a new column: the table is rewritten under the evolved schema
+    changes = wh.stage("t_raw", spark.createDataFrame([(2, "x", "n")], "k bigint, v string, w string"))
+    assert {(c.column, c.action) for c in changes} == {("v", "widen"), ("w", "add")}
+    # same schema, columns reordered and one missing: plain append of the aligned rows
+    assert wh.stage("t_raw", spark.createDataFrame([("y", 3)], "v string, k bigint")) == []
+    got = wh.read("bronze", "t_raw")
+    assert [f.dataType.simpleString() for f in got.schema.fields] == ["bigint", "string", "string"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "10", None), (2, "x", "n"), (3, "y", None)]
+
+
+def test_stage_manifest(spark, tmp_dir):
+    data = os.path.join(tmp_dir, "data")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(os.path.join(data, "A_2023.parquet"))
+    spark.createDataFrame([(2, 7)], "k int, v int").write.parquet(os.path.join(data, "A_2024.parquet"))
+    cfg = {"datasets": [{"S": {"tables": [{"names": ["A"], "years": [2023, 2024], "tablename": "a_raw"}]}}]}
+    wh = Warehouse(spark, os.path.join(tmp_dir, "wh"))
+    status = wh.stage_manifest(cfg, data)
+    assert {r["status"] for r in status.collect()} == {"loaded"}
+    assert sorted(tuple(r) for r in wh.read("bronze", "a_raw").collect()) == [(1, "a"), (2, "7")]
+
+
 def test_module_folder_to_parquet(spark, tmp_dir):
     folder = os.path.join(tmp_dir, "zip")
     os.makedirs(os.path.join(folder, "sub"))
