@@ -2,10 +2,11 @@
 
 ``denormalise`` joins a fact to dimensions by surrogate id (unique on the
 dimension side, so no fan-out) and picks display columns. ``aggregate_dashboard``
-first aggregates the fact by its id columns (partial + final hash aggregation,
-map-side combine, so a hot id combination never reaches one task as raw rows),
-then joins the reduced rows to the dimensions and aggregates again by the
-display columns (names may repeat across ids, so the second step is needed).
+sums by display columns. With every dimension under the broadcast bound it
+joins map-side and aggregates once (partial aggregation before the only
+shuffle, so a hot group never reaches one task as raw rows); otherwise it first
+reduces the fact by its id columns so the shuffled joins see fewer rows, then
+aggregates again by display columns (names may repeat across ids).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import safe_ratio
-from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, keep_row_bound
+from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, is_bounded, keep_row_bound
 
 SUM_TYPE = "decimal(38,2)"  # SUM(DECIMAL(18,2)) keeps the full precision of the source engine
 
@@ -58,12 +59,23 @@ def aggregate_dashboard(
     measures: Sequence[str],
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Group by every joined display column and sum ``measures`` (as ``decimal(38,2)``)."""
+    """Group by every joined display column and sum ``measures`` (as ``decimal(38,2)``).
+
+    When every dimension is under the broadcast bound, the joins are map-side
+    and the partial aggregation by display columns (never finer than the ids)
+    combines before the only shuffle. When some dimension is larger, its join
+    would shuffle the fact, so the fact is first reduced by its id columns and
+    the joins run on the reduced rows.
+    """
+    group_cols = [o for j in joins for o, _ in j.columns]
+    sums = [F.sum(m).cast(SUM_TYPE).alias(m) for m in measures]
+    if all(is_bounded(dims[j.dim], max_broadcast_rows) for j in joins):
+        wide = denormalise(fact, dims, joins, keep=measures, max_broadcast_rows=max_broadcast_rows)
+        return wide.groupBy(*group_cols).agg(*sums)
     ids = list(dict.fromkeys(j.fact_col for j in joins))
-    reduced = fact.groupBy(*ids).agg(*[F.sum(m).cast(SUM_TYPE).alias(m) for m in measures])
+    reduced = fact.groupBy(*ids).agg(*sums)
     wide = denormalise(reduced, dims, joins, keep=measures, max_broadcast_rows=max_broadcast_rows)
-    group_cols = [o for j in joins for o, _ in j.columns]
-    return wide.groupBy(*group_cols).agg(*[F.sum(m).cast(SUM_TYPE).alias(m) for m in measures])
+    return wide.groupBy(*group_cols).agg(*sums)
 
 
 def add_budget_measures(df: DataFrame, pia: str = "MONTO_PIA", pim: str = "MONTO_PIM", rec: str = "MONTO_RECAUDADO") -> DataFrame:

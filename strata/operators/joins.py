@@ -39,6 +39,16 @@ def keep_row_bound(derived: DataFrame, source: DataFrame) -> DataFrame:
     return set_row_bound(derived, bound) if bound is not None else derived
 
 
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (recorded bound, else a
+    ``limit(max_rows + 1)`` count, which is then recorded)."""
+    n = row_bound(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+        set_row_bound(df, n)
+    return n <= max_rows
+
+
 def single_partition_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``coalesce(1)`` a frame with a recorded row bound under ``max_rows``.
 

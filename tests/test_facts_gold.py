@@ -54,6 +54,24 @@ def test_dashboard_sums_ratio_and_kpi(spark):
     assert k == {2024: Decimal("0.250000"), 2025: Decimal("0.250000")}
 
 
+def test_dashboard_plans_agree(spark):
+    """Broadcast path (join, then one aggregation) == over-the-bound path
+    (reduce by ids, shuffled joins, aggregate again)."""
+    fact = spark.createDataFrame(
+        [(i % 3, i % 5, Decimal(f"{i}.25"), Decimal("1.00"), Decimal("0.50")) for i in range(40)],
+        "IdT int, IdN bigint, MONTO_PIA decimal(18,2), MONTO_PIM decimal(18,2), MONTO_RECAUDADO decimal(18,2)",
+    )
+    dims = {
+        "T": spark.createDataFrame([(0, 2024), (1, 2024), (2, 2025)], "IdT int, ANIO int"),
+        "N": spark.createDataFrame([(k, f"n{k % 2}") for k in range(5)], "IdN bigint, NAME string"),
+    }
+    joins = (DimJoin("T", "IdT", "IdT", (("ANIO", "ANIO"),)), DimJoin("N", "IdN", "IdN", (("DEPARTAMENTO", "NAME"),)))
+    m = ("MONTO_PIA", "MONTO_PIM", "MONTO_RECAUDADO")
+    small = aggregate_dashboard(fact, dims, joins, m)
+    large = aggregate_dashboard(fact, dims, joins, m, max_broadcast_rows=0)
+    assert rows(small) == rows(large) and len(rows(small)) == 4
+
+
 def test_zero_pim_ratio_is_zero(spark):
     fact = spark.createDataFrame([(1, Decimal("0.00"), Decimal("0.00"), Decimal("3.00"))],
                                  "IdT int, MONTO_PIA decimal(18,2), MONTO_PIM decimal(18,2), MONTO_RECAUDADO decimal(18,2)")
