@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import extract_year, resolve_relative_url
+from strata.functions.exprs import ends_with_suffix, extract_year, resolve_relative_url
 
 # anchor with a double-quoted href and plain text content
 ANCHOR_PATTERN = r'<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
@@ -27,7 +27,7 @@ def select_resources(
 ) -> DataFrame:
     """Resources whose url ends with ``suffix`` and (unless ``download_all``) whose
     title's first stand-alone ``20xx`` year is in ``years``; adds ``year``."""
-    out = resources.filter(F.col(url_col).endswith(suffix)).withColumn("year", extract_year(title_col))
+    out = resources.filter(ends_with_suffix(url_col, suffix)).withColumn("year", extract_year(title_col))
     if not download_all:
         out = out.filter(F.col("year").isin([int(y) for y in years]))
     return out
