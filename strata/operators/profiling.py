@@ -205,14 +205,30 @@ def _unique_combos(df: DataFrame, combos: Sequence[Sequence[str]], max_sets_per_
 
 def candidate_keys(df: DataFrame, max_key_size: int | None = 3) -> list[list[str]]:
     """Minimal column combinations with no duplicate rows (NULLs equal), found
-    level by level; supersets of a found key are not tested. One job per level.
+    level by level; supersets of a found key are not tested, nor is a
+    combination whose product of exact column cardinalities (NULL counted as a
+    value) is below the row count, which cannot be unique. One job per level.
     Columns are tried in descending cardinality (then name)."""
     cards = column_cardinalities(df)
+    n_rows = df.count()
     cols = sorted(cards, key=lambda c: (-cards[c], c))
     found: list[list[str]] = []
     top = len(cols) if max_key_size is None else min(max_key_size, len(cols))
+
+    def may_be_unique(combo: tuple[str, ...]) -> bool:
+        product = 1
+        for c in combo:
+            product *= cards[c]
+            if product >= n_rows:
+                return True
+        return product >= n_rows
+
     for r in range(1, top + 1):
-        combos = [list(k) for k in combinations(cols, r) if not any(set(f) <= set(k) for f in found)]
+        combos = [
+            list(k)
+            for k in combinations(cols, r)
+            if not any(set(f) <= set(k) for f in found) and may_be_unique(k)
+        ]
         if not combos:
             continue
         for combo, ok in zip(combos, _unique_combos(df, combos)):
