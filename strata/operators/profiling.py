@@ -33,6 +33,12 @@ def _orderable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
 
 
+def unprofiled_columns(df: DataFrame) -> list[str]:
+    """Columns the dependency profiling leaves out (map-typed: no order, so no
+    min/max and no grouping); reported next to the profiling results."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
+
+
 def _gid(grouping_cols: Sequence[str], group: Sequence[str]) -> int:
     n = len(grouping_cols)
     return sum(1 << (n - 1 - i) for i, c in enumerate(grouping_cols) if c not in group)

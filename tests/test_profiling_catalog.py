@@ -70,6 +70,15 @@ def test_candidate_keys_minimal_and_capped(spark):
     assert candidate_keys(dup, max_key_size=2) == []
 
 
+def test_map_columns_are_left_out_and_reported(spark):
+    from strata.operators.profiling import unprofiled_columns
+
+    df = spark.createDataFrame([(1, {"a": 1}, "x"), (2, {"b": 2}, "x")], "k int, m map<string,int>, v string")
+    assert unprofiled_columns(df) == ["m"]
+    pairs = {(r["determinant"], r["dependent"]) for r in fd_matrix(df).collect()}
+    assert pairs == {("k", "v")}
+
+
 def test_select_resources(spark):
     res = spark.createDataFrame(
         [("Ingreso 2024", "http://h/a.csv"), ("Ingreso 2023", "http://h/b.csv"), ("Ingreso 2024", "http://h/c.json"), ("Sin año", "http://h/d.csv")],
