@@ -51,14 +51,18 @@ def revenue_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
 
-    cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     # join strategies are left to the planner: file-size statistics and AQE
-    # broadcast the small sides at small scale factors and shuffle them at large
+    # broadcast the small sides at small scale factors and shuffle them at large.
+    # Each side is a plain scan (nation/region are joined last): without cost-based
+    # statistics a pre-joined side is estimated at the product of its inputs and
+    # would never be broadcast.
     rows = (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return rows.selectExpr(
         "year(l_shipdate) AS ANO_DOC",
