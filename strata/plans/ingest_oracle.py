@@ -155,6 +155,21 @@ SELECT doc_id, source,
 FROM documents
 """
 
+CSV_MULTILINE_REPORT = """
+WITH rec AS (
+  SELECT doc_id, '"' || CAST(doc_id AS VARCHAR) || '","' || replace(text, '"', '') || '"' AS r FROM documents
+),
+ln AS (
+  SELECT doc_id, unnest(string_split(r, chr(10))) AS line,
+         unnest(range(0, len(string_split(r, chr(10))))) AS line_no
+  FROM rec
+)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+       CAST(length(line) - length(replace(line, '"', '')) AS INTEGER) AS n_quotes
+FROM ln
+WHERE (length(line) - length(replace(line, '"', ''))) % 2 = 1
+"""
+
 NAME_SANITISE = r"""
 SELECT page_id,
        upper(regexp_replace(replace(replace(replace(lower(url || ' File.CSV'), '.csv', ''), '.zip', ''), ' ', '_'),
@@ -230,6 +245,7 @@ ORACLE_SQL = {
     "module_split_price": MODULE_SPLIT_PRICE,
     "module_split_flags": MODULE_SPLIT_FLAGS,
     "csv_quote_repair": CSV_QUOTE_REPAIR,
+    "csv_multiline_report": CSV_MULTILINE_REPORT,
     "name_sanitise": NAME_SANITISE,
     "catalog_year_filter": CATALOG_YEAR_FILTER,
     "link_discovery": LINK_DISCOVERY,

@@ -12,7 +12,7 @@ from strata.functions.exprs import sanitise_name, try_decimal_or_zero, try_int,
 from strata.operators.modules import merge_modules, normalise_module, split_columns
 from strata.operators.schema import align, append_vintages, fitted_schema, profile, reconcile, sanitise_dates
 from strata.sources.catalog import discover_links, first_matching_link, select_resources
-from strata.sources.files import parse_csv_lines, read_table, repair_quotes
+from strata.sources.files import lines_in_multiline_fields, parse_csv_lines, read_table, repair_quotes
 from strata.sources.manifest import ingest
 
 # ---------------------------------------------------------------------------
@@ -156,6 +156,17 @@ def q_csv_quote_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_csv_lines(lines, CSV_SCHEMA, ",")
 
 
+def q_csv_multiline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents exported as CSV records whose text field keeps its line breaks:
+    the lines that open or close a field spanning lines are reported."""
+    docs = read_table(spark, sf_dir, "documents")
+    record = F.concat(F.lit('"'), F.col("doc_id").cast("string"), F.lit('","'), F.replace("text", F.lit('"'), F.lit("")), F.lit('"'))
+    lines = docs.select("doc_id", F.posexplode(F.split(record, "\n")).alias("line_no", "value"))
+    flagged = lines_in_multiline_fields(lines)
+    n_quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return flagged.select("doc_id", "line_no", n_quotes.alias("n_quotes"))
+
+
 def q_name_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     return pages.select("page_id", sanitise_name(F.concat(F.col("url"), F.lit(" File.CSV"))).alias("name"))
@@ -221,6 +232,7 @@ QUERIES = {
     "module_split_price": q_module_split_price,
     "module_split_flags": q_module_split_flags,
     "csv_quote_repair": q_csv_quote_repair,
+    "csv_multiline_report": q_csv_multiline_report,
     "name_sanitise": q_name_sanitise,
     "catalog_year_filter": q_catalog_year_filter,
     "link_discovery": q_link_discovery,
