@@ -120,13 +120,26 @@ def _constancy_pass(
     )
 
 
-def functional_dependencies(df: DataFrame, key_col: str, nulls: str = NULLS_AS_VALUE) -> DataFrame:
+def functional_dependencies(
+    df: DataFrame, key_col: str, nulls: str = NULLS_AS_VALUE, sample_rows: int | None = None
+) -> DataFrame:
     """Columns with at most one value in every group of ``key_col``: (determinant, dependent)."""
-    return fd_matrix(df, [key_col], nulls)
+    return fd_matrix(df, [key_col], nulls, sample_rows)
+
 
+def fd_matrix(
+    df: DataFrame,
+    determinants: Sequence[str] | None = None,
+    nulls: str = NULLS_AS_VALUE,
+    sample_rows: int | None = None,
+) -> DataFrame:
+    """All single-column dependencies ``x -> y`` (x in ``determinants``, default every column).
 
-def fd_matrix(df: DataFrame, determinants: Sequence[str] | None = None, nulls: str = NULLS_AS_VALUE) -> DataFrame:
-    """All single-column dependencies ``x -> y`` (x in ``determinants``, default every column)."""
+    ``sample_rows``: profile only the first N rows (a quick look, as the
+    surveyed tool did with 10,000 rows); default is the whole table.
+    """
+    if sample_rows is not None:
+        df = df.limit(sample_rows)
     dets = list(determinants or _orderable(df))
     res = constancy(df, [[c] for c in dets], nulls=nulls)
     return res.filter(F.col("n_violations") == 0).select("determinant", "dependent")

@@ -38,6 +38,12 @@ def test_fd_null_semantics(spark):
     assert ignoring == {"dep", "allnull", "mixed"}
 
 
+def test_fd_on_a_sample(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k int, v string").coalesce(1)
+    assert fd_matrix(df, ["k"]).count() == 0  # whole table: k -> v does not hold
+    assert {(r[0], r[1]) for r in fd_matrix(df, ["k"], sample_rows=2).collect()} == {("k", "v")}
+
+
 def test_fd_matrix_and_declared(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", "y")], "id int, g string, h string")
     pairs = {(r["determinant"], r["dependent"]) for r in fd_matrix(df).collect()}
