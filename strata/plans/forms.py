@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dims import (
+    TIME_SCHEMA,
     DimensionSpec,
     ensure_members,
     load_dimension,
@@ -20,6 +21,7 @@ from strata.operators.dims import (
 from strata.operators.facts import FactSpec, Lookup, build_fact
 from strata.operators.gold import DimJoin, denormalise
 from strata.operators.joins import bounded_broadcast, keep_row_bound
+from strata.plans.revenue import ubigeo_spec
 
 DIM_ANIO_APLICACION = DimensionSpec(
     name="DIM_ANIO_APLICACION",
@@ -92,16 +94,10 @@ DIM_EJECUTORA_ESTADISTICA = DimensionSpec(
     require=("SEC_EJEC IS NOT NULL", "EJECUTORA_NOMBRE IS NOT NULL"),
 )
 
-def _esat_ubigeo() -> DimensionSpec:
-    from strata.plans.revenue import ubigeo_spec
-
-    return ubigeo_spec(
-        "DEPARTAMENTO", "DEPARTAMENTO_NOMBRE", "PROVINCIA", "PROVINCIA_NOMBRE", "DISTRITO", "DISTRITO_NOMBRE"
-    )
-
-
 # locations from the municipal statistics source
-DIM_UBIGEO_ESTADISTICA = _esat_ubigeo()
+DIM_UBIGEO_ESTADISTICA = ubigeo_spec(
+    "DEPARTAMENTO", "DEPARTAMENTO_NOMBRE", "PROVINCIA", "PROVINCIA_NOMBRE", "DISTRITO", "DISTRITO_NOMBRE"
+)
 
 FACT_FORMULARIO = FactSpec(
     name="FACT_FORMULARIO_SISMEPRE",
@@ -173,9 +169,7 @@ def load_forms_dimensions(
     out = dict(ex)
     tiempo = ensure_members(ex["DIM_TIEMPO"], [time_member(0, 0)], ["IdTiempo"]) if "DIM_TIEMPO" in ex else None
     if tiempo is None:
-        from strata.operators.dims import TIME_SCHEMA
-
-        tiempo = anio.sparkSession.createDataFrame([(0, 0, None, None, None, None, None)], TIME_SCHEMA)
+        tiempo =anio.sparkSession.createDataFrame([(0, 0, None, None, None, None, None)], TIME_SCHEMA)
     def forms_and_questions():
         form = load_dimension(formulario, ex.get("DIM_FORMULARIO_SISMEPRE"), DIM_FORMULARIO).dim
         q = questions_with_form(preguntas, form)

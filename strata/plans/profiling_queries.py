@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations, permutations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.profiling import (
     NULLS_IGNORED,
@@ -46,9 +47,7 @@ def q_fd_declared_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _part_supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_partkey, l_suppkey) with sum(l_quantity), joined to part and supplier."""
-    from pyspark.sql import functions as F
-
-    li = read_table(spark, sf_dir, "lineitem")
+    li =read_table(spark, sf_dir, "lineitem")
     pairs = li.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("sum_qty"))
     part = read_table(spark, sf_dir, "part")
     supp = read_table(spark, sf_dir, "supplier")

@@ -16,6 +16,7 @@ from strata.operators.dims import (
     ensure_members,
     load_dimension,
     load_time_years,
+    lookup_table,
     time_member,
     time_month_spec,
 )
@@ -138,9 +139,7 @@ DIM_GENERICA_PART = DimensionSpec(
 
 def q_dim_lookup_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension with several names per code, collapsed to its lowest id per 50-char key."""
-    from strata.operators.dims import lookup_table
-
-    dim = load_dimension(read_table(spark, sf_dir, "part"), None, DIM_GENERICA_PART).dim
+    dim =load_dimension(read_table(spark, sf_dir, "part"), None, DIM_GENERICA_PART).dim
     return lookup_table(dim, "IdGenerica", ["GENERICA", "SUBGENERICA"]).select("IdGenerica", "GENERICA", "SUBGENERICA")
 
 
