@@ -35,7 +35,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize(
     "name",
-    ["dim_incremental_load", "fact_survey", "module_merge_full_join", "fd_matrix", "csv_quote_repair", "link_discovery", "kpi_by_department"],
+    [
+        "dim_incremental_load", "fact_survey", "module_merge_full_join", "fd_matrix", "csv_quote_repair",
+        "csv_multiline_report", "link_discovery", "kpi_by_department",
+    ],
 )
 def test_query_matches_oracle(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
