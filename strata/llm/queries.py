@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.packing import pack_sequences
+from strata.llm.quality import quality_scores
 from strata.llm.token_counts import token_counts
 from strata.llm.token_output import encode_to_files
+from strata.llm.toxicity import toxicity_scores
 
 TOKEN_LIMIT = 1024
 
@@ -24,11 +27,27 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_files(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into windows of 2048 ids."""
+    pieces = pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by compression."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by class-conditional language models."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and byte-level BPE tokens of every document."""
     counts = token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op9_toxicity, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
