@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.mixing import mixing_copies
 from strata.llm.packing import pack_sequences
 from strata.llm.quality import quality_scores
 from strata.llm.token_counts import token_counts
 from strata.llm.token_output import encode_to_files
 from strata.llm.toxicity import toxicity_scores
+from strata.llm.warc import archive_round_trip
 
 TOKEN_LIMIT = 1024
 
@@ -38,6 +40,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive, normalised and read back."""
+    return archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0).drop("block_bytes")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words each document gives to the mix of sources."""
+    mixed = mixing_copies(table(spark, sf_dir, "documents"), ["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by class-conditional language models."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -49,5 +62,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op9_toxicity, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op5_warc, op7_mixing, op9_toxicity, op10_token_counts)}
+
+# Base 32 of a digest, five bits of its 160 at a time.
+_BITS = "concat(" + ", ".join(f"lpad(bin(('0x' || substr(sha1(coalesce(html, '')), {i}, 5))::BIGINT), 20, '0')" for i in range(1, 41, 5)) + ")"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, {_BITS} AS bits, coalesce(html, '') AS payload FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST('0b' || substr(bits, 5 * CAST(i AS INT) + 1, 5) AS INT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f""",
+}
