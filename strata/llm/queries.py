@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.jaccard_join import jaccard_classes
 from strata.llm.mixing import mixing_copies
 from strata.llm.packing import pack_sequences
 from strata.llm.quality import quality_scores
@@ -51,6 +52,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes and link counts of all documents: five words, 0.8."""
+    joined = jaccard_classes(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "representative", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by class-conditional language models."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -62,7 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op5_warc, op7_mixing, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op5_warc, op7_mixing, op8_jaccard_join, op9_toxicity, op10_token_counts)}
 
 # Base 32 of a digest, five bits of its 160 at a time.
 _BITS = "concat(" + ", ".join(f"lpad(bin(('0x' || substr(sha1(coalesce(html, '')), {i}, 5))::BIGINT), 20, '0')" for i in range(1, 41, 5)) + ")"
