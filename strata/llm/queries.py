@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.embedding_dedup import embedding_classes
 from strata.llm.jaccard_join import jaccard_classes
 from strata.llm.mixing import mixing_copies
 from strata.llm.packing import pack_sequences
 from strata.llm.quality import quality_scores
 from strata.llm.token_counts import token_counts
 from strata.llm.token_output import encode_to_files
+from strata.llm.topk import top_k
 from strata.llm.toxicity import toxicity_scores
 from strata.llm.warc import archive_round_trip
 
@@ -41,11 +43,22 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors by cosine of at least 0.95."""
+    classes = embedding_classes(table(spark, sf_dir, "embeddings"), 0.95)
+    return classes.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive, normalised and read back."""
     return archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0).drop("block_bytes")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all vectors for each hundredth."""
+    return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix of sources."""
     mixed = mixing_copies(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -69,7 +82,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op5_warc, op7_mixing, op8_jaccard_join, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op4_embedding_dedup, op5_warc, op6_topk, op7_mixing, op8_jaccard_join, op9_toxicity, op10_token_counts)}
 
 # Base 32 of a digest, five bits of its 160 at a time.
 _BITS = "concat(" + ", ".join(f"lpad(bin(('0x' || substr(sha1(coalesce(html, '')), {i}, 5))::BIGINT), 20, '0')" for i in range(1, 41, 5)) + ")"
@@ -84,4 +97,41 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM f""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op6_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum(list_transform(list_zip(q.x, r.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id AND len(q.x) = len(r.x)
+), k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 10""",
+    "op8_jaccard_join": """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0b\\f\\r]+') AS ws FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS gram FROM w
+), s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT m.a, m.b FROM m JOIN s x ON x.doc_id = m.a JOIN s y ON y.doc_id = m.b WHERE 9 * m.common >= 4 * (x.n + y.n)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS class_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+t AS (SELECT doc_id, md5(array_to_string(list_sort(list(gram)), chr(10))) AS key FROM g GROUP BY doc_id),
+p AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY key) AS representative FROM t)
+SELECT d.doc_id, c.class_id, coalesce(n.n_links, 0) AS n_links, coalesce(p.representative, d.doc_id) AS representative, d.doc_id = c.class_id AS kept
+FROM documents d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.a = d.doc_id LEFT JOIN p ON p.doc_id = d.doc_id""",
 }
