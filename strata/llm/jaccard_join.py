@@ -252,3 +252,26 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, threshold: Fraction = T
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("representative")).alias("representative"),
     )
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, all columns: of each class the
+    row of the smallest doc_id stays, one row if that id repeats. Rows of null id
+    stay only if their class has no id, one for each text."""
+    found = store(jaccard_classes(docs), "classes-of-rows")
+    gone = store(found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct(), "gone")
+    again = store(
+        found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n")).where("n > 1").select("_id"), "again"
+    )
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(docs.columns, names)), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"))
+    same = (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id"))
+    rows = rows.join(checked_broadcast(gone), same, "left_anti")
+    if again.isEmpty():
+        return rows.select(*names).toDF(*docs.columns)
+    repeated = F.col("id").eqNullSafe(F.col("_id"))
+    single = rows.join(checked_broadcast(again), repeated, "left_anti")
+    first = rows.join(checked_broadcast(again), repeated, "left_semi")
+    # one row of each repeated id; null ids differ by their text
+    first = first.dropDuplicates(["id", "th"]).withColumn("by", F.when(F.col("id").isNull(), F.col("th"))).dropDuplicates(["id", "by"])
+    return single.select(*names).unionByName(first.select(*names)).toDF(*docs.columns)

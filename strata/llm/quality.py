@@ -105,28 +105,38 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
     return {"dictionaries": raw, "calibration": model}
 
 
-def score_quality(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with ``score``, the probability of label 1, computed
-    from the whole text alone. Null texts count as empty; every row, repeated or
-    of null id, gets its own score; an empty table gives an empty result."""
+def _scored(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
+    """``columns`` renamed c0, c1, ..., so that no name clashes, and score."""
     spark = prepare(docs.sparkSession)
+    names = [f"c{i}" for i in range(len(columns))]
+    kept = docs.select(*(F.col(c).alias(n) for c, n in zip(columns, names)), *([] if "text" in columns else [F.col("text").alias("t")]))
     if "constant" in model:
-        return docs.select(*columns, F.lit(model["constant"]).alias("score"))
+        return kept.select(*names, F.lit(model["constant"]).alias("score"))
     shared = spark.sparkContext.broadcast(model)
-    kept = docs.select(*columns)
-    names = [f"c{i}" for i in range(len(columns))]
+    at = columns.index("text") if "text" in columns else len(names)
 
     def run(batches):
         m = shared.value
         good, bad = _compressor(m["dictionaries"][1]), _compressor(m["dictionaries"][0])
         for batch in batches:
-            texts = batch.column(len(names))
-            score = apply_logistic(m["calibration"], _features(good, bad, texts)) if len(texts) else np.empty(0)
+            score = apply_logistic(m["calibration"], _features(good, bad, batch.column(at))) if batch.num_rows else np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(score, pa.float64())], [*names, "score"])
 
-    ddl = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields)) + ", score double"
-    out = docs.select(*(F.col(c).alias(n) for c, n in zip(columns, names)), F.col("text").alias("t")).mapInArrow(run, ddl)
-    return out.toDF(*columns, "score")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[: len(names)]) + ", score double"
+    return kept.mapInArrow(run, ddl)
+
+
+def score_quality(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` with ``score``, the probability of label 1, computed
+    from the whole text alone. Null texts count as empty; every row, repeated or
+    of null id, gets its own score; an empty table gives an empty result."""
+    return _scored(docs, model, columns).toDF(*columns, "score")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, all columns."""
+    scored = _scored(docs, fit_quality(docs, labels), docs.columns).where(F.col("score") >= threshold)
+    return scored.drop("score").toDF(*docs.columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
