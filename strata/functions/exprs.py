@@ -39,6 +39,7 @@ FORBIDDEN_NAME_CHARS = '\\/*?:"<>|'
 YEAR_PATTERN = r"\b(20\d{2})\b"
 # fractional-seconds suffix stripped before parsing a timestamp
 FRACTION_SUFFIX = r"\.\d+$"
+DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})((?:[ T]\d{1,2}:\d{2}(?::\d{2})?)?)$"
 # length of the truncated lookup keys (NVARCHAR(50))
 LOOKUP_KEY_CHARS = 50
 
@@ -74,13 +75,21 @@ def to_text_truncated(c: str | Column, n: int = LOOKUP_KEY_CHARS) -> Column:
 
 
 def lenient_timestamp(c: str | Column) -> Column:
-    """Drop a trailing ``.fraction`` and parse leniently; NULL when unparsable.
+    """Drop a trailing ``.fraction`` and parse leniently (ISO, or day first with
+    ``/`` or ``-``); NULL when unparsable.
 
     Returns ``timestamp_ntz``: the text is read as a wall-clock value directly,
     so no session time zone (and no daylight-saving gap) is involved.
     """
-    cleaned = F.regexp_replace(to_text(c), FRACTION_SUFFIX, "")
-    return cleaned.try_cast("timestamp_ntz")
+    cleaned = F.trim(F.regexp_replace(to_text(c), FRACTION_SUFFIX, ""))
+    # day first: 31/12/2020 or 31-12-2020, with or without a time of day
+    parts = F.regexp_extract(cleaned, DAY_FIRST, 0)
+    iso = F.concat_ws(
+        "-", F.regexp_extract(cleaned, DAY_FIRST, 3), F.lpad(F.regexp_extract(cleaned, DAY_FIRST, 2), 2, "0"),
+        F.lpad(F.regexp_extract(cleaned, DAY_FIRST, 1), 2, "0"),
+    )
+    day_first = F.concat(iso, F.regexp_extract(cleaned, DAY_FIRST, 4))
+    return F.when(parts != "", day_first).otherwise(cleaned).try_cast("timestamp_ntz")
 
 
 def strip_leading_zeros(c: str | Column) -> Column:
@@ -110,8 +119,9 @@ def extract_year(c: str | Column) -> Column:
 
 
 def year_month_key(year: str | Column, month: str | Column) -> Column:
-    """Intelligent date key ``YYYY*100 + MM`` from lenient integer parts."""
-    return try_int(year) * F.lit(100) + try_int(month)
+    """Intelligent date key ``YYYY*100 + MM`` from lenient integer parts; NULL when
+    a part is unparsable or the key does not fit an INT."""
+    return F.try_add(F.try_multiply(try_int(year), F.lit(100)), try_int(month))
 
 
 def safe_ratio(num: Column, den: Column, precision: int = 18, scale: int = 6) -> Column:

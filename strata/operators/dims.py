@@ -312,7 +312,7 @@ def time_month_spec(year_expr: str, month_expr: str) -> DimensionSpec:
     return DimensionSpec(
         name="DIM_TIEMPO",
         columns=(
-            ("IdTiempo", f"{y} * 100 + {m}"),
+            ("IdTiempo", f"try_add(try_multiply({y}, 100), {m})"),
             ("ANIO", y),
             ("MES", m),
             ("DIA", "CAST(NULL AS INT)"),

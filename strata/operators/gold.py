@@ -102,15 +102,18 @@ def kpi_yearly(dashboard: DataFrame) -> DataFrame:
 def string_agg(
     df: DataFrame, group_cols: Sequence[str], value_col: str, sep: str = ",", alias: str | None = None
 ) -> DataFrame:
-    """Per group, the distinct non-NULL values joined with ``sep`` in ascending order
-    (``STRING_AGG(DISTINCT x, sep ORDER BY x)``).
+    """Per group, its non-NULL values joined with ``sep`` in ascending order,
+    duplicates kept (``STRING_AGG(x, sep) WITHIN GROUP (ORDER BY x)``).
 
-    ``collect_set`` combines map-side, so the shuffle carries at most one set per
-    group and map task; the result per group is bounded by the number of
-    distinct values, which is why this aggregates distinct values only.
+    Equal values are counted first, by a combinable aggregation, so a group's one
+    row is built from its distinct values; the text itself is as long as all the
+    values of the group, which is what the operator returns.
     """
     out = alias or f"{value_col}_agg"
-    return df.groupBy(*group_cols).agg(F.array_join(F.array_sort(F.collect_set(value_col)), sep).alias(out))
+    counted = df.groupBy(*group_cols, F.col(value_col).cast("string").alias("__v")).agg(F.count("*").alias("__n"))
+    pair = F.when(F.col("__v").isNotNull(), F.struct("__v", "__n"))
+    runs = F.transform(F.array_sort(F.collect_list(pair)), lambda p: F.array_join(F.array_repeat(p["__v"], p["__n"].cast("int")), sep))
+    return counted.groupBy(*group_cols).agg(F.when(F.count("__v") > 0, F.array_join(runs, sep)).alias(out))
 
 
 def kpi_by_department(dashboard: DataFrame) -> DataFrame:

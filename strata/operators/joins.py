@@ -41,11 +41,13 @@ def keep_row_bound(derived: DataFrame, source: DataFrame) -> DataFrame:
 
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (recorded bound, else a
-    ``limit(max_rows + 1)`` count, which is then recorded)."""
+    ``limit(max_rows + 1)`` count, which is recorded only when it is the row
+    count, that is when it stays within ``max_rows``)."""
     n = row_bound(df)
     if n is None:
         n = df.limit(max_rows + 1).count()
-        set_row_bound(df, n)
+        if n <= max_rows:
+            set_row_bound(df, n)
     return n <= max_rows
 
 
@@ -69,11 +71,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     ``max_rows + 1`` rows), which is an action: call this on small,
     materialised frames (dimensions, lookup tables), never on a fact.
     """
-    n = row_bound(df)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    out = F.broadcast(df) if n <= max_rows else df
-    return set_row_bound(out, n)
+    if not is_bounded(df, max_rows):
+        return df
+    return keep_row_bound(F.broadcast(df), df)
 
 
 def anti_join(

@@ -39,6 +39,16 @@ def unprofiled_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
 
 
+def _text(s: str) -> str:
+    """``s`` as a SQL string."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(column: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def _gid(grouping_cols: Sequence[str], group: Sequence[str]) -> int:
     n = len(grouping_cols)
     return sum(1 << (n - 1 - i) for i, c in enumerate(grouping_cols) if c not in group)
@@ -60,21 +70,43 @@ def constancy(
     """
     dets = [list(d) for d in determinants]
     per_pass = max_sets_per_pass or MAX_SETS_PER_PASS
-    if len(dets) <= per_pass:
-        return _constancy_pass(df, dets, targets, nulls)
+    text = frozenset(f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType)))
     parts = []
     for lo in range(0, len(dets), per_pass):
         chunk = dets[lo : lo + per_pass]
         sub = None if targets is None else {i - lo: targets[i] for i in range(lo, lo + len(chunk)) if i in targets}
-        parts.append(_constancy_pass(df, chunk, sub, nulls))
+        parts.append(_verified(df, chunk, sub, nulls, text))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _verified(df: DataFrame, dets: list[list[str]], targets: Mapping[int, Sequence[str]] | None, nulls: str, text: frozenset[str]) -> DataFrame:
+    """One pass by hashes refutes; a text column that survives as constant is
+    compared again by its values, on the surviving pairs' columns alone. The
+    intermediate result has one row per determinant and column."""
+    first = _constancy_pass(df, dets, targets, nulls, text)
+    if not text:
+        return first
+    found = first.collect()
+    place = {",".join(d): i for i, d in enumerate(dets)}
+    left: dict[int, list[str]] = {}
+    for r in found:
+        if r["n_violations"] == 0 and r["dependent"] in text:
+            left.setdefault(place[r["determinant"]], []).append(r["dependent"])
+    out = {(r["determinant"], r["dependent"]): tuple(r) for r in found}
+    if left:
+        again = [dets[i] for i in left]
+        needed = list(dict.fromkeys(c for i, ys in left.items() for c in [*dets[i], *ys]))
+        exact = _constancy_pass(df.select(*map(_name, needed)), again, dict(enumerate(left.values())), nulls)
+        out.update({(r["determinant"], r["dependent"]): tuple(r) for r in exact.collect()})
+    return df.sparkSession.createDataFrame(list(out.values()), first.schema)
+
+
 def _constancy_pass(
     df: DataFrame,
     dets: list[list[str]],
     targets: Mapping[int, Sequence[str]] | None,
     nulls: str,
+    hashed: frozenset[str] = frozenset(),
 ) -> DataFrame:
     cols = _orderable(df)
     grouping_cols = list(dict.fromkeys(c for d in dets for c in d))
@@ -82,15 +114,18 @@ def _constancy_pass(
     ys = list(dict.fromkeys(c for t in tmap.values() for c in t))
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")]
     for j, y in enumerate(ys):
-        aggs += [F.count(y).alias(f"__c{j}"), F.min(y).alias(f"__mn{j}"), F.max(y).alias(f"__mx{j}")]
-    grouped = df.groupingSets([[F.col(c) for c in d] for d in dets], *grouping_cols).agg(*aggs)
+        # text is compared by its hash: a fixed-size buffer, so the aggregation hashes
+        # instead of sorting the expanded rows; see _verified for equal hashes
+        value = F.xxhash64(_name(y)) if y in hashed else _name(y)
+        aggs += [F.count(_name(y)).alias(f"__c{j}"), F.min(F.when(_name(y).isNotNull(), value)).alias(f"__mn{j}"), F.max(F.when(_name(y).isNotNull(), value)).alias(f"__mx{j}")]
+    grouped = df.groupingSets([[_name(c) for c in d] for d in dets], *map(_name, grouping_cols)).agg(*aggs)
 
     gids = [_gid(grouping_cols, d) for d in dets]
     if nulls == NULLS_IGNORED:
         # a group whose key has a NULL part is dropped (NULL keys form no group)
         drop = F.lit(False)
         for g, d in zip(gids, dets):
-            drop = F.when(F.col("__gid") == g, reduce(lambda a, b: a | b, [F.col(c).isNull() for c in d])).otherwise(drop)
+            drop = F.when(F.col("__gid") == g, reduce(lambda a, b: a | b, [_name(c).isNull() for c in d])).otherwise(drop)
         grouped = grouped.filter(~drop)
     flags = []
     for j, _ in enumerate(ys):
@@ -104,10 +139,10 @@ def _constancy_pass(
 
     rows = []
     for i, (g, d) in enumerate(zip(gids, dets)):
-        name = ",".join(d).replace("'", "\\'")
+        name = _text(",".join(d))
         for y in tmap[i]:
             j = ys.index(y)
-            rows.append(f"{g}, '{name}', '{y}', __v{j}")
+            rows.append(f"{g}, {name}, {_text(y)}, __v{j}")
     if not rows:
         schema = "determinant string, dependent string, n_groups bigint, n_violations bigint"
         return df.sparkSession.createDataFrame([], schema)
@@ -120,26 +155,18 @@ def _constancy_pass(
     )
 
 
-def functional_dependencies(
-    df: DataFrame, key_col: str, nulls: str = NULLS_AS_VALUE, sample_rows: int | None = None
-) -> DataFrame:
+def functional_dependencies(df: DataFrame, key_col: str, nulls: str = NULLS_AS_VALUE) -> DataFrame:
     """Columns with at most one value in every group of ``key_col``: (determinant, dependent)."""
-    return fd_matrix(df, [key_col], nulls, sample_rows)
+    return fd_matrix(df, [key_col], nulls)
 
 
 def fd_matrix(
     df: DataFrame,
     determinants: Sequence[str] | None = None,
     nulls: str = NULLS_AS_VALUE,
-    sample_rows: int | None = None,
 ) -> DataFrame:
-    """All single-column dependencies ``x -> y`` (x in ``determinants``, default every column).
-
-    ``sample_rows``: profile only the first N rows (a quick look, as the
-    surveyed tool did with 10,000 rows); default is the whole table.
-    """
-    if sample_rows is not None:
-        df = df.limit(sample_rows)
+    """All single-column dependencies ``x -> y`` of the whole table (x in
+    ``determinants``, default every column)."""
     dets = list(determinants or _orderable(df))
     res = constancy(df, [[c] for c in dets], nulls=nulls)
     return res.filter(F.col("n_violations") == 0).select("determinant", "dependent")
@@ -181,6 +208,7 @@ def normalize_2nf(df: DataFrame, primary_key: Sequence[str], nulls: str = NULLS_
     """One distinct table per key subset with partial dependencies (subset + its
     columns) and ``main`` with every column used by no subset table (not
     de-duplicated). The dependency list is combination-sized and collected."""
+    parts = {",".join(s): s for r in range(1, len(primary_key)) for s in combinations(primary_key, r)}
     deps: dict[str, list[str]] = {}
     for r in partial_dependencies(df, primary_key, nulls).collect():
         deps.setdefault(r["subset"], []).append(r["dependent"])
@@ -188,9 +216,9 @@ def normalize_2nf(df: DataFrame, primary_key: Sequence[str], nulls: str = NULLS_
     used: set[str] = set()
     for subset in sorted(deps):
         cols = [c for c in df.columns if c in deps[subset]]
-        tables[subset] = df.select(*subset.split(","), *cols).distinct()
+        tables[subset] = df.select(*map(_name, parts[subset]), *map(_name, cols)).distinct()
         used.update(cols)
-    tables["main"] = df.select(*[c for c in df.columns if c not in used])
+    tables["main"] = df.select(*[_name(c) for c in df.columns if c not in used])
     return tables
 
 
@@ -202,7 +230,7 @@ def column_cardinalities(df: DataFrame, columns: Sequence[str] | None = None) ->
         for lo in range(0, len(cols), MAX_SETS_PER_PASS):
             out.update(column_cardinalities(df, cols[lo : lo + MAX_SETS_PER_PASS]))
         return out
-    g = df.groupingSets([[F.col(c)] for c in cols], *cols).agg(F.grouping_id().alias("__gid"))
+    g = df.groupingSets([[_name(c)] for c in cols], *map(_name, cols)).agg(F.grouping_id().alias("__gid"))
     counts = {r["__gid"]: r["n"] for r in g.groupBy("__gid").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {c: int(counts.get(_gid(cols, [c]), 0)) for c in cols}
 
@@ -215,14 +243,14 @@ def _unique_combos(df: DataFrame, combos: Sequence[Sequence[str]], max_sets_per_
             out += _unique_combos(df, combos[lo : lo + per_pass], per_pass)
         return out
     cols = list(dict.fromkeys(c for k in combos for c in k))
-    g = df.groupingSets([[F.col(c) for c in k] for k in combos], *cols).agg(
+    g = df.groupingSets([[_name(c) for c in k] for k in combos], *map(_name, cols)).agg(
         F.grouping_id().alias("__gid"), F.count(F.lit(1)).alias("__n")
     )
     worst = {r["__gid"]: r["m"] for r in g.groupBy("__gid").agg(F.max("__n").alias("m")).collect()}
     return [worst.get(_gid(cols, k), 0) <= 1 for k in combos]
 
 
-def candidate_keys(df: DataFrame, max_key_size: int | None = 3) -> list[list[str]]:
+def candidate_keys(df: DataFrame, max_key_size: int | None = None) -> list[list[str]]:
     """Minimal column combinations with no duplicate rows (NULLs equal), found
     level by level; supersets of a found key are not tested, nor is a
     combination whose product of exact column cardinalities (NULL counted as a
@@ -256,7 +284,7 @@ def candidate_keys(df: DataFrame, max_key_size: int | None = 3) -> list[list[str
     return found
 
 
-def candidate_keys_frame(df: DataFrame, table_name: str, max_key_size: int | None = 3) -> DataFrame:
+def candidate_keys_frame(df: DataFrame, table_name: str, max_key_size: int | None = None) -> DataFrame:
     """``candidate_keys`` as rows (table_name, key_size, key_columns sorted by name)."""
     keys = candidate_keys(df, max_key_size)
     rows = [(table_name, len(k), ",".join(sorted(k))) for k in keys]

@@ -122,11 +122,38 @@ def _rank(dt: T.DataType) -> int:
     return _RANK.get(type(dt), 0)
 
 
+# decimal digits that hold every value of an integer type
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_BINARY = (T.FloatType, T.DoubleType)
+
+
+def _wider_number(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The number type that holds the values of both; a decimal that would need
+    more than 38 digits becomes a double."""
+    if _rank(a) < 4 and _rank(b) < 4:
+        return b if _rank(b) > _rank(a) else a
+    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
+        if isinstance(a, _BINARY) or isinstance(b, _BINARY):
+            return T.DoubleType()
+        whole, scale = 0, 0
+        for t in (a, b):
+            digits, s = (t.precision, t.scale) if isinstance(t, T.DecimalType) else (_DIGITS[type(t)], 0)
+            whole, scale = max(whole, digits - s), max(scale, s)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    if type(a) is type(b):
+        return a
+    if T.DoubleType() in (a, b) or T.LongType() in (a, b) or T.IntegerType() in (a, b):
+        return T.DoubleType()  # a float has too few digits for an int
+    return T.FloatType()
+
+
 def widen(existing: T.DataType, new: T.DataType) -> T.DataType | None:
     """The wider of two column types, or ``None`` when ``existing`` already holds ``new``.
 
     Equal -> keep; text stays text; anything into text -> text; numeric ranks
-    smallint < int < bigint < fractional (ties keep the existing type);
+    smallint < int < bigint < fractional; two decimals (or a decimal and an
+    integer) become the decimal with the larger integer and fraction parts, a
+    decimal beside a binary fraction a double, float beside double a double;
     date + timestamp -> timestamp; other mixes -> text.
     """
     if existing == new:
@@ -135,9 +162,9 @@ def widen(existing: T.DataType, new: T.DataType) -> T.DataType | None:
         return None
     if isinstance(new, T.StringType):
         return T.StringType()
-    re_, rn = _rank(existing), _rank(new)
-    if re_ and rn:
-        return new if rn > re_ else None
+    if _rank(existing) and _rank(new):
+        wider = _wider_number(existing, new)
+        return None if wider == existing else wider
     if isinstance(existing, (T.TimestampType, T.TimestampNTZType)) and isinstance(new, T.DateType):
         return None
     if isinstance(existing, T.DateType) and isinstance(new, (T.TimestampType, T.TimestampNTZType)):

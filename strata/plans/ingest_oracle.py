@@ -62,15 +62,17 @@ FROM supplier
 
 MULTI_VINTAGE_APPEND = """
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice,
+       CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DECIMAL(18,4)) AS amount, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS approximate,
        CAST(NULL AS VARCHAR) AS o_orderpriority, CAST(NULL AS TIMESTAMP) AS o_orderdate
 FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
 UNION ALL
-SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(NULL AS DOUBLE), o_orderpriority, CAST(NULL AS TIMESTAMP)
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(NULL AS DOUBLE), CAST(o_totalprice AS DECIMAL(18,4)), o_totalprice / 3,
+       o_orderpriority, CAST(NULL AS TIMESTAMP)
 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
 UNION ALL
-SELECT o_orderkey, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE),
+SELECT o_orderkey, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE), NULL, NULL,
        o_orderpriority, o_orderdate
-FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
+FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' OR o_orderdate IS NULL
 """
 
 TIMESTAMP_SANITISE = r"""
@@ -215,8 +217,15 @@ SELECT page_id, href, CASE WHEN starts_with(href, '/') THEN {_ROOT} || href ELSE
 FROM f WHERE href IS NOT NULL
 """
 
+CSV_ROUND_TRIP = r"""
+WITH d AS (SELECT doc_id, source, regexp_replace(text, '["\r]', '', 'g') AS plain FROM documents)
+SELECT doc_id, source, md5('a quoted C:\ ' || regexp_replace(plain, '\n', ' ', 'g')) AS text_md5 FROM d WHERE doc_id % 2 = 0
+UNION ALL SELECT doc_id, source, md5(plain) FROM d WHERE doc_id % 2 <> 0
+UNION ALL SELECT NULL, 'source', md5('note, text')
+"""
+
 STRING_AGG = """
-SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types FROM part GROUP BY p_brand
+SELECT p_brand, string_agg(p_type, ',' ORDER BY p_type) AS types FROM part GROUP BY p_brand
 """
 
 
@@ -251,5 +260,6 @@ ORACLE_SQL = {
     "link_discovery": LINK_DISCOVERY,
     "link_first_match": LINK_FIRST_MATCH,
     "string_agg": STRING_AGG,
+    "csv_round_trip": CSV_ROUND_TRIP,
     "manifest_ingest_report": MANIFEST_INGEST_REPORT,
 }

@@ -4,6 +4,9 @@ link selection, manifest ingest, string aggregation. Each has a DuckDB twin."""
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +16,8 @@ from strata.operators.gold import string_agg
 from strata.operators.modules import merge_modules, normalise_module, split_columns
 from strata.operators.schema import align, append_vintages, fitted_schema, profile, reconcile, sanitise_dates
 from strata.sources.catalog import discover_links, first_matching_link, select_resources
-from strata.sources.files import lines_in_multiline_fields, parse_csv_lines, read_table, repair_quotes
+from strata.session import ensure_checkpoint_dir
+from strata.sources.files import lines_in_multiline_fields, list_files, parse_csv_lines, read_csv_repaired, read_table, repair_quotes
 from strata.sources.manifest import ingest
 
 # ---------------------------------------------------------------------------
@@ -44,15 +48,20 @@ def q_schema_reconcile_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_multi_vintage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in three yearly vintages whose columns differ (missing, new, int vs text)."""
+    """Orders in three yearly vintages whose columns differ (missing, new, int vs
+    text, decimals of two scales, float vs double); undated orders are in the last."""
     o = read_table(spark, sf_dir, "orders")
     d97 = F.lit("1997-01-01").cast("timestamp_ntz")
     d99 = F.lit("1999-01-01").cast("timestamp_ntz")
-    v1 = o.filter(F.col("o_orderdate") < d97).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    v1 = o.filter(F.col("o_orderdate") < d97).selectExpr(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "CAST(o_totalprice AS DECIMAL(10,2)) AS amount",
+        "CAST(o_totalprice AS FLOAT) AS approximate",
+    )
     v2 = o.filter((F.col("o_orderdate") >= d97) & (F.col("o_orderdate") < d99)).selectExpr(
-        "o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey", "o_orderstatus", "o_orderpriority"
+        "o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey", "o_orderstatus",
+        "CAST(o_totalprice AS DECIMAL(18,4)) AS amount", "o_totalprice / 3 AS approximate", "o_orderpriority",
     )
-    v3 = o.filter(F.col("o_orderdate") >= d99).selectExpr(
+    v3 = o.filter((F.col("o_orderdate") >= d99) | F.col("o_orderdate").isNull()).selectExpr(
         "o_orderkey", "o_orderpriority", "CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice", "o_orderdate"
     )
     return append_vintages([v1, v2, v3])
@@ -116,7 +125,7 @@ def q_module_merge_same_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("pedidos", normalise_module(orders, ["idmunici"], order_by=["o_orderkey"])),
         ("proveedores", normalise_module(supplier, ["idmunici"])),
     ]
-    return merge_modules(mods, ["idmunici"]).frame
+    return merge_modules(mods, ["idmunici"], unique_on_keys=True).frame
 
 
 LINEITEM_MODULES = (
@@ -157,6 +166,40 @@ def q_csv_quote_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_csv_lines(lines, CSV_SCHEMA, ",")
 
 
+def _csv_file(lines: DataFrame, header: str, target: str) -> list[str]:
+    """Write ``lines`` (value) as text files that each begin with ``header`` and end
+    with a row equal to it; returns the files."""
+
+    def framed(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header + "\r"])], ["value"])
+        yield from batches
+        yield pa.RecordBatch.from_arrays([pa.array([header + "\r"])], ["value"])
+
+    lines.mapInArrow(framed, "value string").write.text(target)
+    return [p for p in list_files(lines.sparkSession, target) if "/part-" in p]
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as untidy CSV (header name that holds the separator, a data
+    row equal to the header, trailing CR; even ids with stray quotes and
+    backslashes, odd ids with line breaks in fields and another column order) and
+    read back by the repairing scan with types inferred over all rows."""
+    docs = read_table(spark, sf_dir, "documents")
+    root = f"{ensure_checkpoint_dir(spark)}/csv/{uuid.uuid4().hex}"
+    plain = F.regexp_replace("text", '["\r]', "")
+    row_id = F.col("doc_id").cast("string")
+    record = lambda *cols: F.concat(F.lit('"'), F.concat_ws('","', *cols), F.lit('"\r')).alias("value")
+    one_line = F.concat(F.lit('a "quoted" C:\\ '), F.regexp_replace(plain, "\n", " "))
+    even = docs.filter(F.col("doc_id") % 2 == 0).select(record(row_id, one_line, F.col("source")))
+    odd = docs.filter(F.col("doc_id") % 2 != 0).select(record(F.col("source"), row_id, plain))
+    paths = _csv_file(even, '"doc_id","note, text","source"', f"{root}/even") + _csv_file(odd, '"source","doc_id","note, text"', f"{root}/odd")
+    read = read_csv_repaired(spark, paths)
+    out = read.select(F.col("doc_id").try_cast("bigint").alias("doc_id"), "source", F.md5(F.col("`note, text`")).alias("text_md5"))
+    # each file's data row equal to its header stays; one of them is kept here,
+    # as their number is that of the files
+    return out.filter("doc_id is not null").unionByName(out.filter("doc_id is null").distinct())
+
+
 def q_csv_multiline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents exported as CSV records whose text field keeps its line breaks:
     the lines that open or close a field spanning lines are reported."""
@@ -194,7 +237,7 @@ def q_link_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_string_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comma-joined sorted distinct types per brand (bounded by the distinct types)."""
+    """Comma-joined sorted types per brand, one for each part."""
     return string_agg(read_table(spark, sf_dir, "part"), ["p_brand"], "p_type", ",", alias="types")
 
 
@@ -231,6 +274,7 @@ QUERIES = {
     "module_split_price": q_module_split_price,
     "module_split_flags": q_module_split_flags,
     "csv_quote_repair": q_csv_quote_repair,
+    "csv_round_trip": q_csv_round_trip,
     "csv_multiline_report": q_csv_multiline_report,
     "name_sanitise": q_name_sanitise,
     "catalog_year_filter": q_catalog_year_filter,

@@ -428,9 +428,10 @@ UNION ALL SELECT 'not_null', 'l_suppkey', CAST(count(*) FILTER (WHERE l_suppkey
 UNION ALL SELECT 'not_null', 'l_shipdate', CAST(count(*) FILTER (WHERE l_shipdate IS NULL) AS BIGINT) FROM lineitem
 UNION ALL SELECT 'unique', 'l_orderkey,l_linenumber', CAST(count(*) AS BIGINT)
           FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1) d
-UNION ALL SELECT 'foreign_key', 'l_orderkey->orders_before_2000', CAST(count(*) AS BIGINT)
-          FROM lineitem l WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS
-            (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderdate < TIMESTAMP '2000-01-01')
+UNION ALL SELECT 'foreign_key', 'l_orderkey->orders', CAST(count(*) AS BIGINT)
+          FROM lineitem l WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+UNION ALL SELECT 'foreign_key', 'l_orderkey->customer', CAST(count(*) AS BIGINT)
+          FROM lineitem l WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = l.l_orderkey)
 UNION ALL SELECT 'foreign_key', 'l_partkey->part', CAST(count(*) AS BIGINT)
           FROM lineitem l WHERE l.l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
 UNION ALL SELECT 'foreign_key', 'l_suppkey->supplier', CAST(count(*) AS BIGINT)

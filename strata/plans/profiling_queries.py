@@ -169,9 +169,9 @@ def _unique(table: str, combo: tuple[str, ...]) -> str:
     return f"(SELECT count(*) FROM (SELECT {cols} FROM {table} GROUP BY {cols} HAVING count(*) > 1) d) = 0"
 
 
-def _candidate_keys_sql(table: str, cols: list[str], max_size: int = 3) -> list[str]:
+def _candidate_keys_sql(table: str, cols: list[str], max_size: int | None = None) -> list[str]:
     parts = []
-    for r in range(1, min(max_size, len(cols)) + 1):
+    for r in range(1, (max_size or len(cols)) + 1):
         for combo in combinations(sorted(cols), r):
             proper = [s for k in range(1, r) for s in combinations(combo, k)]
             cond = " AND ".join([_unique(table, combo)] + [f"NOT ({_unique(table, s)})" for s in proper])

@@ -128,7 +128,7 @@ def _lk(dim: DimensionSpec, fact_keys: tuple[str, ...] | None = None, truncate:
 FACT_INGRESO_DIARIO = FactSpec(
     name="FACT_INGRESO_DIARIO",
     lookups=(
-        _lk(DIM_TIEMPO_MES, ("try_cast(ANO_DOC AS INT) * 100 + try_cast(MES_DOC AS INT)",), truncate=None),
+        _lk(DIM_TIEMPO_MES, ("try_add(try_multiply(try_cast(ANO_DOC AS INT), 100), try_cast(MES_DOC AS INT))",), truncate=None),
         _lk(DIM_NIVEL_GOBIERNO),
         _lk(DIM_SECTOR),
         _lk(DIM_PLIEGO),

@@ -13,14 +13,13 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold
 from strata.operators.schema import SchemaChange, align, append_vintages, reconcile
 from strata.plans import forms, revenue, survey
-from strata.sources.files import append_table, overwrite_table
+from strata.sources.files import append_table, overwrite_table, path_exists
 from strata.sources.manifest import ingest
 
 # dimension -> surrogate id column (None: the key itself, IdTiempo)
@@ -52,25 +51,24 @@ class Warehouse:
         return os.path.join(self.root, layer, table)
 
     def read(self, layer: str, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(layer, table))
-        except AnalysisException:
-            return None
+        path = self.path(layer, table)
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def replace(self, layer: str, table: str, df: DataFrame) -> None:
         overwrite_table(df, self.path(layer, table))
 
-    def stage(self, table: str, df: DataFrame) -> list[SchemaChange]:
+    def stage(self, table: str, df: DataFrame, drop: bool = False) -> list[SchemaChange]:
         """Append a load to a bronze table, evolving its schema.
 
         Unchanged schema: the aligned rows are appended. New columns or widened
         types: parquet cannot change a column in place, so the stored rows and
         the new ones are aligned to the evolved schema and the table is
         rewritten (the stored rows are materialised first, see
-        ``overwrite_table``). Returns the schema changes applied.
+        ``overwrite_table``). Returns the schema changes applied. ``drop``: the
+        stored table is replaced instead of appended to.
         """
         target = self.path("bronze", table)
-        stored = self.read("bronze", table)
+        stored = None if drop else self.read("bronze", table)
         if stored is None:
             overwrite_table(df, target)
             return [SchemaChange(f.name, "add", f.dataType.simpleString()) for f in df.schema.fields]
@@ -81,11 +79,12 @@ class Warehouse:
             overwrite_table(append_vintages([stored, df], evolved), target)
         return changes
 
-    def stage_manifest(self, config: Mapping, data_dir: str) -> DataFrame:
-        """Manifest ingest into bronze: every loaded table staged; returns the status report."""
+    def stage_manifest(self, config: Mapping, data_dir: str, drop: bool = False) -> DataFrame:
+        """Manifest ingest into bronze: every loaded table staged (``drop``: replaced);
+        returns the status report."""
         status, tables = ingest(self.spark, config, data_dir)
         for name, df in tables.items():
-            self.stage(name, df)
+            self.stage(name, df, drop)
         return status
 
     def append_new(self, table: str, final: DataFrame, existing: DataFrame | None, id_col: str | None) -> None:

@@ -70,3 +70,10 @@ def test_like_to_regex():
     assert rx.match("P01") and rx.match("Provincia") and rx.match("p_x") and not rx.match("VFI")
     assert re.match(X.like_to_regex("a_c"), "abc") and not re.match(X.like_to_regex("a_c"), "abbc")
     assert re.match(X.like_to_regex("a.b%"), "a.bx") and not re.match(X.like_to_regex("a.b"), "axb")
+
+
+def test_day_first_dates_and_overflow(spark):
+    df = spark.createDataFrame([("31/12/2020 10:00:00", "2000000000"), ("31-12-2020", "2020"), ("1/2/2020", "x")], "v string, y string")
+    got = [str(r[0]) for r in df.select(X.lenient_timestamp("v")).collect()]
+    assert got == ["2020-12-31 10:00:00", "2020-12-31 00:00:00", "2020-02-01 00:00:00"]
+    assert [r[0] for r in df.select(X.year_month_key("y", F.lit("3"))).collect()] == [None, 202003, None]

@@ -41,7 +41,6 @@ def test_fd_null_semantics(spark):
 def test_fd_on_a_sample(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k int, v string").coalesce(1)
     assert fd_matrix(df, ["k"]).count() == 0  # whole table: k -> v does not hold
-    assert {(r[0], r[1]) for r in fd_matrix(df, ["k"], sample_rows=2).collect()} == {("k", "v")}
 
 
 def test_fd_matrix_and_declared(spark):
@@ -157,3 +156,36 @@ def test_profiling_in_several_passes_equals_one_pass(spark):
     finally:
         P.MAX_SETS_PER_PASS = old
     assert keys_one == keys_many
+
+
+def test_key_of_all_columns_is_found(spark):
+    df = spark.createDataFrame([(a, b, c, d) for a in (0, 1) for b in (0, 1) for c in (0, 1) for d in (0, 1)], "a int, b int, c int, d int")
+    assert [sorted(k) for k in candidate_keys(df)] == [["a", "b", "c", "d"]]
+
+
+def test_names_with_dots_commas_and_quotes(spark):
+    df = spark.createDataFrame([(1, "x", 1.0), (1, "x", 2.0)], ["a.b", "it's, so", "c`d"])
+    assert ("a.b", "it's, so") in {tuple(r) for r in fd_matrix(df).collect()}
+
+
+def test_ingest_same_for_path_and_uri_and_isolates_bad_files(spark, tmp_dir):
+    import os
+
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "good.parquet"))
+    os.makedirs(os.path.join(tmp_dir, "bad.parquet"))
+    with open(os.path.join(tmp_dir, "bad.parquet", "part-0.parquet"), "wb") as fh:
+        fh.write(b"no parquet")
+    cfg = {"datasets": [{"S": {"tables": [{"names": ["good", "bad", "none"], "tablename": "t"}]}}]}
+    for folder in (tmp_dir, "file://" + tmp_dir):
+        status, tables = ingest(spark, cfg, folder)
+        assert {(r["filename"], r["status"], r["n_rows"]) for r in status.collect()} == {
+            ("good.parquet", "loaded", 3), ("bad.parquet", "failed", None), ("none.parquet", "missing", None)
+        }
+        assert tables["t"].count() == 3
+
+
+def test_false_row_bound_is_not_recorded(spark):
+    from strata.operators.joins import is_bounded
+
+    df = spark.range(1000)
+    assert not is_bounded(df, 10) and not is_bounded(df, 100) and is_bounded(df, 1000)

@@ -101,3 +101,11 @@ def test_unpivot_keeps_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None, "", 7)], "id int, P1 string, P2 string, P3 int")
     out = unpivot_to_text(df, ["id"], ["P1", "P2", "P3"])
     assert rows(out) == [(1, "P1", None), (1, "P2", ""), (1, "P3", "7")]
+
+
+def test_widening_keeps_every_digit(spark):
+    D, F_, B = T.DecimalType, T.FloatType(), T.DoubleType()
+    assert widen(D(10, 2), D(18, 4)) == D(18, 4) and widen(D(18, 4), D(10, 2)) is None
+    assert widen(D(10, 2), D(8, 6)) == D(14, 6) and widen(D(5, 2), T.LongType()) == D(21, 2)
+    assert widen(F_, B) == B and widen(B, F_) is None and widen(D(5, 2), B) == B and widen(F_, T.IntegerType()) == B
+    assert widen(D(38, 0), D(38, 30)) == B
