@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare
@@ -72,7 +72,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if set(totals) != {0, 1}:
         return {"constant": float(next(iter(totals), 0.5))}
-    order = Window.partitionBy("label").orderBy("h", "doc_id")
     # each class's rows of smallest hash: at most 2 * SAMPLE_ROWS ids to broadcast
     keyed = known.withColumn("h", F.xxhash64("doc_id"))
     picked = None
@@ -83,10 +82,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
         F.broadcast(picked), "doc_id"
     )
     building = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
-    texts = (
-        sample.where(building).withColumn("total", F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("total") <= DICTIONARY_TEXT).select("label", "h", "doc_id", "text").toPandas().sort_values(["h", "doc_id"])
-    )
+    # lengths first, so that the texts to fetch are bounded in bytes too
+    lengths = sample.where(building).select("label", "h", "doc_id", F.octet_length("text").alias("n")).toPandas().sort_values(["h", "doc_id"])
+    chosen = lengths[lengths.groupby("label")["n"].cumsum() <= DICTIONARY_TEXT]
+    ids = docs.sparkSession.createDataFrame([(int(i),) for i in chosen["doc_id"].unique()], "doc_id long")
+    texts = sample.join(F.broadcast(ids), "doc_id").select("label", "h", "doc_id", "text").toPandas().sort_values(["h", "doc_id"])
     raw = {v: _dictionary([t.encode() for t in texts.loc[texts["label"] == v, "text"]]) for v in (0, 1)}
     shared = docs.sparkSession.sparkContext.broadcast(raw)
 
