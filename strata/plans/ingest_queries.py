@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,15 +166,12 @@ def q_csv_quote_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_file(lines: DataFrame, header: str, target: str) -> list[str]:
-    """Write ``lines`` (value) as text files that each begin with ``header`` and end
-    with a row equal to it; returns the files."""
-
-    def framed(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([header + "\r"])], ["value"])
-        yield from batches
-        yield pa.RecordBatch.from_arrays([pa.array([header + "\r"])], ["value"])
-
-    lines.mapInArrow(framed, "value string").write.text(target)
+    """Write ``lines`` (value) as text files that each begin with ``header`` and hold
+    a row equal to it; returns the files."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its partition, so of its file
+    head = F.lit(header + "\r")
+    framed = F.when(first, F.array(head, F.col("value"), head)).otherwise(F.array("value"))
+    lines.select(F.explode(framed).alias("value")).write.text(target)
     return [p for p in list_files(lines.sparkSession, target) if "/part-" in p]
 
 
