@@ -99,3 +99,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_STORED: dict[tuple, object] = {}
+
+
+def once_per_input(spark: SparkSession, label: str, paths: list[str], build):
+    """``build()`` once for each state of the input files in this application.
+
+    For stored intermediate tables that several queries read (silver and gold):
+    the first query builds them, the others read them. The state is the name,
+    length and modification time of every file under ``paths``, so changed inputs
+    are built anew.
+    """
+    conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    state = []
+    for p in paths:
+        walk = Path(p).getFileSystem(conf).listFiles(Path(p), True)
+        while walk.hasNext():
+            f = walk.next()
+            state.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    key = (spark.sparkContext.applicationId, label, tuple(sorted(state)))
+    if key not in _STORED:
+        _STORED[key] = build()
+    return _STORED[key]
