@@ -87,7 +87,7 @@ def _settle(units: DataFrame, seed: int, level: int) -> DataFrame:
         ma, mb = a["p"] * a["size"], b["p"] * b["size"]  # masses in words
         ra, rb = a["size"] - ma, b["size"] - mb  # and what is missing to a whole
         up, down = F.least(ra, mb), F.least(ma, rb)  # what a could gain or lose
-        gains = _uniform(F.lit(seed), F.lit(level), a["id"], a["size"], b["id"], b["size"], a["u"], b["u"]) * (up + down) < down
+        gains = _uniform(F.lit(seed), F.lit(level), a["id"], a["size"], b["id"], b["size"]) * (up + down) < down
         # whoever reaches its bound gets it exactly
         pa = F.when(gains, F.when(ra <= mb, 1.0).otherwise((ma + mb) / a["size"])).otherwise(F.when(ma <= rb, 0.0).otherwise((ma - rb) / a["size"]))
         pb = F.when(gains, F.when(mb <= ra, 0.0).otherwise((mb - ra) / b["size"])).otherwise(F.when(rb <= ma, 1.0).otherwise((mb + ma) / b["size"]))
