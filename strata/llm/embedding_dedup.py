@@ -9,9 +9,10 @@ border between a half's nearest centroid and the cell's. It stops at the reach
 that a similar vector keeps within with probability TARGET_RECALL a half.
 
 The codebooks are fitted on a bounded sample (SAMPLE_ROWS vectors, the first by
-hash of their ids); every vector is indexed. Vectors that meet in a cell are
-compared exactly, in double precision; what these links connect is then compared
-pair by pair, block by block, so each link is counted once.
+hash of their contents); every vector is indexed. Of two vectors the one of the
+higher home cell visits the other's. The members of a cell are compared with its
+members and visitors, in blocks; what this connects is then compared pair by pair
+in double precision, so a link is counted once and none is below the threshold.
 """
 
 from __future__ import annotations
@@ -26,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import connected_components, prepare, store
-from strata.llm.groups import bucket_links
+from strata.llm.groups import bucket_links, checked_broadcast, unit_links
 
 THRESHOLD = 0.95
-TARGET_RECALL = 0.995
+TARGET_RECALL = 0.98
 SAMPLE_ROWS = 16_384
 CELL_ROWS = 64  # rows a cell should have on average
 MAX_CENTROIDS = 1024
+HOME_BLOCK, VISIT_BLOCK = 256, 1024
 _SEED = 11
 
 
@@ -98,10 +100,10 @@ def visited_cells(half: tuple[np.ndarray, np.ndarray], books: tuple[np.ndarray,
     return cells
 
 
-def _close(threshold: float):
+def _close(threshold: float, dtype=np.float64):
     def verify(a: list, b: list | None) -> np.ndarray:
-        x = np.frombuffer(b"".join(a), np.float64).reshape(len(a), -1)
-        y = x if b is None else np.frombuffer(b"".join(b), np.float64).reshape(len(b), -1)
+        x = np.frombuffer(b"".join(a), dtype).reshape(len(a), -1)
+        y = x if b is None else np.frombuffer(b"".join(b), dtype).reshape(len(b), -1)
         return x @ y.T >= threshold
 
     return verify
@@ -165,18 +167,39 @@ def _cell_links(units: DataFrame, books: tuple[np.ndarray, np.ndarray], cut: int
         own = shared.value
         gaps = tuple(np.sqrt(((b[:, None, :] - b[None, :, :]) ** 2).sum(2)) if len(b) <= 256 else _distances(b) for b in own)
         for batch in batches:
-            cells, take = [], []
+            cells, take, home, small = [], [], [], []
             for r, raw in enumerate(batch.column(2).to_pylist()):
                 x = np.frombuffer(raw, np.float64)
                 found = visited_cells((x[:cut], x[cut:]), own, gaps, limit)
+                found = [found[0], *(c for c in found[1:] if c < found[0])]
                 cells += found
                 take += [r] * len(found)
+                home += [True] + [False] * (len(found) - 1)
+                small.append(x.astype(np.float32).tobytes())  # single precision finds candidates
             at = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), batch.column(0).take(at), batch.column(2).take(at)], ["cell", "node", "unit"])
-
-    visits = store(units.mapInArrow(visit, "cell long, node long, unit binary"), "cells")
-    rows = visits.select(F.xxhash64(F.lit(dims), "cell").alias("bucket"), "node", F.lit(1).cast("long").alias("weight"), F.col("unit").alias("payload"))
-    return bucket_links(rows, _close(threshold))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells, pa.int64()), pa.array(home, pa.bool_()), batch.column(0).take(at), pa.array(small, pa.binary()).take(at)],
+                ["cell", "home", "node", "payload"],
+            )
+
+    visits = store(units.mapInArrow(visit, "cell long, home boolean, node long, payload binary"), "cells")
+    blocks = lambda n, size: F.greatest(F.ceil(n / size), F.lit(1)).cast("int")
+    sizes = store(
+        visits.groupBy("cell").agg(
+            blocks(F.count_if("home"), HOME_BLOCK).alias("homes"), blocks(F.count("*"), VISIT_BLOCK).alias("visitors"), F.count_if("home").alias("n")
+        ).where("n > 0").drop("n"), "cell-sizes",
+    )
+    rows = visits.join(checked_broadcast(sizes), "cell").withColumn("h", F.xxhash64("node"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    member = F.pmod("h", F.col("homes")).cast("int")
+    visitor = F.pmod("h", F.col("visitors")).cast("int")
+    # units (i, j) with j below 0 never equal i: members i against visitors -1 - j
+    first = rows.where("home").select("*", member.alias("i"), F.explode(F.transform(every("visitors"), lambda k: -1 - k)).alias("j"), F.lit(False).alias("second"))
+    second = rows.select("*", F.explode(every("homes")).alias("i"), (-1 - visitor).alias("j"), F.lit(True).alias("second"))
+    dealt = first.unionByName(second).select(
+        F.xxhash64(F.lit(dims), "cell").alias("bucket"), "i", "j", "second", "node", F.lit(1).cast("long").alias("weight"), "payload"
+    )
+    return unit_links(dealt, _close(threshold - 1e-4, np.float32))
 
 
 def _distances(b: np.ndarray) -> np.ndarray:

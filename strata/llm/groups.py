@@ -45,6 +45,13 @@ def bucket_links(
     )
     # in unit (i, j), block i comes first
     dealt = dealt.select("bucket", "i", "j", (F.col("mine") != F.col("i")).alias("second"), "node", "weight", "payload")
+    return unit_links(dealt, verify)
+
+
+def unit_links(dealt: DataFrame, verify: Callable[[list, list | None], np.ndarray]) -> DataFrame:
+    """``bucket_links`` of rows already dealt to units (bucket, i, j), each row
+    ``second`` or not: i = j compares the rows of a unit with each other, else the
+    first ones with the second ones."""
     units = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "second", "node")
 
     def run(batches):
@@ -85,11 +92,10 @@ def _unit(held: list, key, verify, out: list) -> None:
     linked = np.zeros((len(held), len(held)), bool)
     if within:
         linked[:] = verify(payloads, None)
-        np.fill_diagonal(linked, False)
-        linked &= nodes[:, None] != nodes[None, :]
     else:
         linked[:split, split:] = verify(payloads[:split], payloads[split:])
         linked[split:, :split] = linked[:split, split:].T
+    linked &= nodes[:, None] != nodes[None, :]
     some = np.flatnonzero(linked.any(1))
     if not len(some):
         return
