@@ -3,7 +3,7 @@
 Components become integers. A block of rows is indexed by dimension: its rows in
 order of the component, cut into segments of equal quantised impact (component
 divided by SEGMENT, rounded down). A query processes all segments of a block in
-descending order of |query component x segment impact|, in rounds of halving
+descending order of |query component x segment impact|, in ROUNDS of falling
 impact, adding exact products to accumulators. After each round the segments not
 yet processed bound what any row can still gain or lose. A query stops when its
 k-th best guaranteed score shows that at most RESCORE rows can be among the best;
@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from strata.llm.common import prepare, store
 
 SCALE = 1024
-SEGMENT = 32
+SEGMENT = 64
 QUERY_BLOCK, ROW_BLOCK = 1024, 4096
-TILE = 64  # queries whose accumulators are held at once
+TILE = 256  # queries whose accumulators are held at once
+# Rounds process segments down to these shares of a query's greatest impact.
+ROUNDS = (0.5, 0.125, 0.0)
 RESCORE = 256
 
 
@@ -51,42 +53,46 @@ class ImpactIndex:
         Rows whose id is the query's name are left out."""
         q = queries.astype(np.float64)
         n = len(self.x)
-        scores = np.zeros((len(q), n))
+        scores = np.zeros((n, len(q)))  # accumulators: a row's are side by side
         per = q[:, self.dims]
-        impact = np.maximum(np.abs(per * self.low), np.abs(per * self.high))
         top, bottom = np.maximum(per * self.low, per * self.high), np.minimum(per * self.low, per * self.high)
+        impact = np.maximum(top, -bottom)
         ceiling = impact.max(1, initial=0)
         done = np.zeros(impact.shape, bool)
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(self.dims) != 0])) if len(self.dims) else np.empty(0, int)
         open_queries = np.arange(len(q))
         out: list = [None] * len(q)
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(self.dims) != 0])) if len(self.dims) else np.empty(0, int)
-        level = 0.5
-        while len(open_queries):
-            last = level < 1 / 64
-            now = ~done[open_queries] & ((impact[open_queries] >= ceiling[open_queries, None] * level) | last)
-            for s in np.flatnonzero(now.any(0)):  # descending impact: rounds halve it
+        for level in ROUNDS:
+            now = np.zeros(impact.shape, bool)
+            now[open_queries] = ~done[open_queries] & (impact[open_queries] >= ceiling[open_queries, None] * level)
+            for s in np.flatnonzero(now.any(0)):
                 d, rows, part, _, _ = self.segments[s]
-                at = open_queries[now[:, s]]
-                scores[np.ix_(at, rows)] += q[at, d][:, None] * part[None, :]
-            done[open_queries] |= now
-            level /= 2
-            waiting = ~done[open_queries]
+                active = np.flatnonzero(now[:, s])
+                if 2 * len(active) > len(q):
+                    scores[rows] += part[:, None] * np.where(now[:, s], q[:, d], 0.0)[None, :]
+                else:
+                    scores[np.ix_(rows, active)] += part[:, None] * q[active, d][None, :]
+            done |= now
             # per dimension, the most and the least an unprocessed posting can add
-            gain = np.maximum.reduceat(np.where(waiting, np.maximum(top[open_queries], 0), 0), starts, axis=1).sum(1) if len(starts) else np.zeros(len(open_queries))
-            loss = np.minimum.reduceat(np.where(waiting, np.minimum(bottom[open_queries], 0), 0), starts, axis=1).sum(1) if len(starts) else np.zeros(len(open_queries))
+            gain, loss = np.zeros(len(q)), np.zeros(len(q))
+            if len(starts):
+                gain = np.maximum.reduceat(np.where(done, 0, np.maximum(top, 0)), starts, axis=1).sum(1)
+                loss = np.minimum.reduceat(np.where(done, 0, np.minimum(bottom, 0)), starts, axis=1).sum(1)
             left = []
-            for i, up, down in zip(open_queries, gain, loss):
-                held = scores[i].copy()
+            for i in open_queries:
+                held = scores[:, i].copy()
                 held[ids == names[i]] = -np.inf
                 best = np.partition(held, n - k)[n - k] if n > k else -np.inf
-                possible = np.flatnonzero((held + up >= best + down) & (held > -np.inf))
-                if last or len(possible) <= RESCORE:
+                possible = np.flatnonzero((held + gain[i] >= best + loss[i]) & (held > -np.inf))
+                if level == 0 or len(possible) <= RESCORE:
                     exact = self.x[possible] @ queries[i]
                     order = np.lexsort((ids[possible], -exact))[:k]
                     out[i] = possible[order], exact[order]
                 else:
                     left.append(i)
             open_queries = np.array(left, int)
+            if not len(open_queries):
+                break
         return out
 
 
