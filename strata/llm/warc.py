@@ -11,7 +11,7 @@ Of records with equal payloads the one with the smallest page id holds the
 payload (response); the others refer to it (revisit).
 
 Files are written by Spark's text writer with lineSep NUL, one archive a file
-(``archive=<id>/part-*``): gzip readers skip zero bytes after the last member.
+(``archive=<id>/kind=warc/part-*``): gzip readers skip zero bytes after the last member.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import new_path, prepare, store
+from strata.llm.common import drop_path, new_path, prepare, store
 
 # Uncompressed bytes of an archive (a record stays whole), and of one step of inflation.
 ARCHIVE_BYTES = 16 << 20
@@ -161,15 +161,13 @@ def write_monolithic(records: DataFrame, path: str) -> None:
     )
 
 
-_INDEX = "array<struct<record_id:string,offset:bigint,length:bigint>>"
-
-
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrite every archive under ``source`` under ``target`` with a member per
-    record, write the sidecar index to ``target``-index, and return the index:
-    archive, record_id, offset, length. Each archive is inflated once."""
+    record, and its sidecar index beside it (``archive=<id>/kind=warc`` and
+    ``kind=index``: lines of record id, offset and length). Both come from one pass
+    that inflates each archive once. Returns the index: archive, record_id,
+    offset, length."""
     prepare(spark)
-    entry = pa.struct([("record_id", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -179,23 +177,37 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                     z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                     member = z.compress(record) + z.flush()
                     fields, _ = parse_record(record[: record.index(b"\r\n\r\n") + 4])
-                    index.append({"record_id": fields["warc-record-id"], "offset": at, "length": len(member)})
+                    index.append(f"{fields['warc-record-id']} {at} {len(member)}\n")
                     members.append(member)
                     at += len(member)
-                name = hashlib.md5(path.encode("utf-8")).hexdigest()
+                name = "a" + hashlib.md5(path.encode("utf-8")).hexdigest()  # never read as a number
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]), pa.array([b"".join(members)], pa.binary()), pa.array([index], pa.list_(entry))], ["archive", "raw", "index"]
+                    [pa.array([name, name]), pa.array(["index", "warc"]), pa.array(["".join(index).encode("utf-8"), b"".join(members)], pa.binary())],
+                    ["archive", "kind", "raw"],
                 )
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
-    done = store(files.select("path", "content").mapInArrow(run, f"archive string, raw binary, index {_INDEX}"), "normalised")
     (
-        done.select("archive", F.col("raw").cast("string").alias("value"))
-        .write.partitionBy("archive").option("lineSep", "\x00").option("maxRecordsPerFile", 1).text(target)
+        files.select("path", "content").mapInArrow(run, "archive string, kind string, raw binary")
+        .select("archive", "kind", F.col("raw").cast("string").alias("value"))
+        .write.partitionBy("archive", "kind").option("lineSep", "\x00").option("maxRecordsPerFile", 1).text(target)
     )
-    index = done.select("archive", F.explode("index").alias("e")).select("archive", "e.*")
-    index.write.parquet(target + "-index")
-    return spark.read.schema(index.schema).parquet(target + "-index")
+    return read_index(spark, target)
+
+
+def _files(spark: SparkSession, target: str, kind: str) -> DataFrame:
+    """(archive, content) of the files of one kind; none, if nothing was written."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(target)
+    if "kind" not in files.columns:
+        return spark.createDataFrame([], "archive string, content binary")
+    return files.where(F.col("kind") == kind).select("archive", "content")
+
+
+def read_index(spark: SparkSession, target: str) -> DataFrame:
+    """The sidecar indexes of all archives: archive, record_id, offset, length."""
+    lines = _files(spark, target, "index").select("archive", F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\x00")), "\n")).alias("line"))
+    parts = lines.where("line <> ''").select("archive", F.split("line", " ").alias("p"))
+    return parts.select("archive", F.col("p")[0].alias("record_id"), F.col("p")[1].cast("long").alias("offset"), F.col("p")[2].cast("long").alias("length"))
 
 
 def read_records(spark: SparkSession, target: str, index: DataFrame) -> DataFrame:
@@ -227,10 +239,7 @@ def read_records(spark: SparkSession, target: str, index: DataFrame) -> DataFram
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(target)
-        .select(F.col("archive").cast("string").alias("archive"), "content")
-    )
+    files = _files(spark, target, "warc")
     entries = index.groupBy("archive").agg(F.collect_list(F.struct("record_id", "offset", "length")).alias("entries"))  # bounded by an archive's size
     return files.join(entries, "archive").select("content", "entries").mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, block_bytes long"
@@ -244,6 +253,7 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     raw, normal = new_path(spark, "warc-monolithic"), new_path(spark, "warc")
     write_monolithic(plan_revisits(pages, least_bytes), raw)
     index = normalise(spark, raw, normal)
+    drop_path(spark, raw)
     if index.isEmpty():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, block_bytes long")
     return read_records(spark, normal, index)
