@@ -56,7 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a Spark Connect session has no driver-side context
-        return spark.conf.get("spark.checkpoint.dir", "")
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named:
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage") from None
+        return named
     current = sc.getCheckpointDir()
     if current:
         return current
