@@ -8,7 +8,6 @@ Sub-packages:
                   unpivot, dashboards, module merge/split, dependency profiling
 * ``plans``     - declarative specs wired into whole warehouse loads, plus the
                   queries registered in ``__spark_entry__``
-* ``streaming`` - intentionally empty (the surveyed workload is batch only)
 """
 
 from strata.session import build_session, cut_lineage, ensure_checkpoint_dir, materialize
