@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.tokenization import release_memory
+
 BLOCK = 256
 # Rows up to this many (a few dozen bytes each) may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -74,6 +76,7 @@ def unit_links(dealt: DataFrame, verify: Callable[[list, list | None], np.ndarra
         _unit(held, key, verify, out)
         if out:
             yield batch()
+        release_memory()
 
     return units.mapInArrow(run, "node long, links long, root long")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import connected_components, prepare, store
 from strata.llm.groups import bucket_links, checked_broadcast
-from strata.llm.tokenization import slices
+from strata.llm.tokenization import release_memory, slices
 
 WORDS = 5
 THRESHOLD = Fraction(4, 5)
@@ -115,6 +115,7 @@ def _describe(words: int, paths: int):
                 [batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(path, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                 ["doc_id", "th", "key", "n", "path", "sketch"],
             )
+        release_memory()
 
     return run
 
@@ -235,6 +236,7 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, threshold: Fraction = T
             same = pa.array([_digest(s) == k for s, k in zip(sets, key.to_pylist())], pa.bool_())
             made = pa.RecordBatch.from_arrays([bucket, node, copies, pa.array([s.tobytes() for s in sets], pa.binary())], ["bucket", "node", "weight", "payload"])
             yield made.filter(same)
+        release_memory()
 
     members = store(found.mapInArrow(sets_of, "bucket long, node long, weight long, payload binary").dropDuplicates(["node"]), "members")
     links = store(bucket_links(members, _similar(threshold)), "links")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare, store
-from strata.llm.tokenization import WordEncoder
+from strata.llm.tokenization import WordEncoder, release_memory
 
 WINDOW = 2048
 OPEN_WINDOWS = 512
@@ -213,6 +213,7 @@ def pack_sequences(
             for made in levels.rest():
                 rows.write(made, closed=False)
             yield rows.batch()
+        release_memory(encoders=False)
 
     def merge(base: int, last: bool):
         def run(key, pdf):

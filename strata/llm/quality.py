@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import prepare
 from strata.llm.labels import apply_logistic, fit_logistic, remainder, training_labels
+from strata.llm.tokenization import release_memory
 
 SAMPLE_ROWS = 8000
 DICTIONARY_TEXT = 6 << 20
@@ -121,6 +122,7 @@ def _scored(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
         for batch in batches:
             score = apply_logistic(m["calibration"], _features(good, bad, batch.column(at))) if batch.num_rows else np.empty(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(score, pa.float64())], [*names, "score"])
+        release_memory()
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[: len(names)]) + ", score double"
     return kept.mapInArrow(run, ddl)
