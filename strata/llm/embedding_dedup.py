@@ -9,10 +9,10 @@ border between a half's nearest centroid and the cell's. It stops at the reach
 that a similar vector keeps within with probability TARGET_RECALL a half.
 
 The codebooks are fitted on a bounded sample (SAMPLE_ROWS vectors, the first by
-hash of their contents); every vector is indexed. Of two vectors the one of the
-higher home cell visits the other's. The members of a cell are compared with its
-members and visitors, in blocks; what this connects is then compared pair by pair
-in double precision, so a link is counted once and none is below the threshold.
+hash of their contents); every vector is indexed and visits. The members of a cell
+are compared with its members and visitors, in blocks, so two vectors meet if either
+visits the other's home; what this connects is then compared pair by pair in double
+precision, so a link is counted once and none is below the threshold.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from strata.llm.common import connected_components, prepare, store
 from strata.llm.groups import bucket_links, checked_broadcast, unit_links
 
 THRESHOLD = 0.95
-TARGET_RECALL = 0.98
+TARGET_RECALL = 0.995
 SAMPLE_ROWS = 16_384
 CELL_ROWS = 64  # rows a cell should have on average
 MAX_CENTROIDS = 1024
@@ -171,7 +171,6 @@ def _cell_links(units: DataFrame, books: tuple[np.ndarray, np.ndarray], cut: int
             for r, raw in enumerate(batch.column(2).to_pylist()):
                 x = np.frombuffer(raw, np.float64)
                 found = visited_cells((x[:cut], x[cut:]), own, gaps, limit)
-                found = [found[0], *(c for c in found[1:] if c < found[0])]
                 cells += found
                 take += [r] * len(found)
                 home += [True] + [False] * (len(found) - 1)

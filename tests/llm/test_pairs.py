@@ -1,11 +1,13 @@
 """Joins, searches and components against brute force."""
 
+import math
 import random
 from fractions import Fraction
 
 import numpy as np
 import pytest
 
+from strata.llm import embedding_dedup
 from strata.llm.common import connected_components, prepare
 from strata.llm.embedding_dedup import embedding_classes, visited_cells
 from strata.llm.groups import bucket_links
@@ -150,6 +152,19 @@ def test_embedding_classes_equal_brute_force(spark):
     assert found < total or got == {i: (len(links.get(i, ())), component[i]) for i, _ in data}
 
 
+def test_isolated_pairs_near_the_threshold_are_found(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 1)  # many cells for few rows
+    rng = np.random.default_rng(21)
+    a, b = rng.normal(size=(2, 1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.951 * a + math.sqrt(1 - 0.951**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    df = spark.createDataFrame(list(enumerate(np.concatenate([a, b]).tolist())), "vec_id long, embedding array<double>").repartition(4)
+    found = embedding_classes(df).where("vec_id >= 1500 and component_id = vec_id - 1500").count()
+    assert found >= 0.998 * 1500
+
+
 def test_embedding_edge_tables(spark):
     prepare(spark)
     schema = "vec_id long, embedding array<float>"
