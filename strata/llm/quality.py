@@ -8,14 +8,16 @@ the length that qualify it, into a score.
 
 The fit uses a bounded sample of labelled rows (SAMPLE_ROWS of each class, the
 first by hash of the id, half for the dictionaries and half for calibration, and
-DICTIONARY_TEXT bytes of text a dictionary); every whole text is scored.
+DICTIONARY_TEXT bytes of text a dictionary, of which one document gives at most
+DOCUMENT_BLOCKS blocks from all over its text); every whole text is scored.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare
@@ -28,12 +30,40 @@ DICTIONARY_BYTES = 1 << 18
 LEVEL = 3
 # A dictionary helps most where a block begins, so long texts are cut into blocks.
 BLOCK_BYTES = 8192
+SAMPLE_BYTES = BLOCK_BYTES // 4
+DOCUMENT_BLOCKS = 8  # of SAMPLE_BYTES each, from one document
+
+
+def _pieces(text: Column, h: Column) -> Column:
+    """What a document gives to a dictionary: its text, or of a longer one a block
+    from each of DOCUMENT_BLOCKS equal parts, its place there chosen by hash."""
+    part = F.floor(F.octet_length(text) / DOCUMENT_BLOCKS)
+
+    def block(whole, k):
+        return F.substring(whole, (k * part + F.pmod(F.xxhash64(h, k), part - SAMPLE_BYTES + 1) + 1).cast("int"), F.lit(SAMPLE_BYTES))
+
+    whole = F.array(text.cast("binary"))
+    spread = F.transform(whole, lambda t: F.transform(F.sequence(F.lit(0), F.lit(DOCUMENT_BLOCKS - 1)), lambda k: block(t, k)))
+    return F.when(part < SAMPLE_BYTES, whole).otherwise(F.get(spread, F.lit(0)))
+
+
+def _fitting(lengths: pd.DataFrame) -> list[int]:
+    """Ids of the rows (h, doc_id, n) that fit into DICTIONARY_TEXT, in hash order;
+    one that does not is skipped."""
+    chosen, total = [], 0
+    for i, n in lengths.sort_values(["h", "doc_id"])[["doc_id", "n"]].itertuples(index=False):
+        if total + n <= DICTIONARY_TEXT:
+            chosen.append(int(i))
+            total += n
+    return chosen
 
 
 def _dictionary(texts: list[bytes]):
+    import xxhash
     import zstandard
 
-    samples = [t[i : i + BLOCK_BYTES // 4] for t in texts for i in range(0, len(t), BLOCK_BYTES // 4)]
+    # Distinct and mixed by hash: the trainer gives up after a run of samples alike.
+    samples = sorted({t[i : i + SAMPLE_BYTES] for t in texts for i in range(0, len(t), SAMPLE_BYTES)}, key=lambda t: (xxhash.xxh3_64_intdigest(t), t))
     total = sum(map(len, samples))
     try:
         raw = zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, total // 4)), samples, level=LEVEL).as_bytes()
@@ -83,12 +113,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
         F.broadcast(picked), "doc_id"
     )
     building = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
-    # lengths first, so that the texts to fetch are bounded in bytes too
-    lengths = sample.where(building).select("label", "h", "doc_id", F.octet_length("text").alias("n")).toPandas().sort_values(["h", "doc_id"])
-    chosen = lengths[lengths.groupby("label")["n"].cumsum() <= DICTIONARY_TEXT]
-    ids = docs.sparkSession.createDataFrame([(int(i),) for i in chosen["doc_id"].unique()], "doc_id long")
-    texts = sample.join(F.broadcast(ids), "doc_id").select("label", "h", "doc_id", "text").toPandas().sort_values(["h", "doc_id"])
-    raw = {v: _dictionary([t.encode() for t in texts.loc[texts["label"] == v, "text"]]) for v in (0, 1)}
+    # lengths first, so that the texts to fetch are bounded in bytes too; a repeated id gives one text
+    most = F.lit(DOCUMENT_BLOCKS * SAMPLE_BYTES)
+    measured = sample.withColumn("building", building).withColumn("th", F.xxhash64("text")).withColumn("n", F.least(F.octet_length("text"), most))
+    first = F.struct(F.col("n") == 0, F.col("th"))
+    lengths = measured.groupBy("label", "building", "h", "doc_id").agg(F.min_by("th", first).alias("th"), F.min_by("n", first).alias("n")).toPandas()
+    lengths = lengths[lengths["n"] > 0]
+    chosen = []
+    for value in (0, 1):
+        own = lengths[lengths["label"] == value]
+        # a class without text in its half takes the texts that calibrate
+        chosen += _fitting(own[own["building"]] if own["building"].any() else own)
+    hashes = lengths.set_index("doc_id")["th"]
+    ids = docs.sparkSession.createDataFrame([(i, int(hashes[i])) for i in chosen], "doc_id long, th long")
+    given = sample.withColumn("th", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "th"])
+    texts = given.select("label", "h", "doc_id", _pieces(F.col("text"), F.col("h")).alias("pieces")).dropDuplicates(["doc_id"]).toPandas().sort_values(["h", "doc_id"])
+    raw = {v: _dictionary([bytes(t) for pieces in texts.loc[texts["label"] == v, "pieces"] for t in pieces]) for v in (0, 1)}
     shared = docs.sparkSession.sparkContext.broadcast(raw)
 
     def measure(batches):

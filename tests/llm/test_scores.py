@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from strata.llm import toxicity
+from strata.llm import quality, toxicity
 from strata.llm.common import prepare, table
 from strata.llm.labels import fit_logistic, remainder, sigmoid
 from strata.llm.quality import keep_quality, quality_scores
@@ -57,6 +58,41 @@ def test_nulls_empty_repeated_and_clashing_columns(spark, tables):
         assert kept.count() == want
 
 
+@pytest.mark.parametrize("size", [7 << 20, (6 << 20) - 100])
+def test_one_long_text_leaves_the_dictionary_to_the_others(spark, tables, monkeypatch, size):
+    docs, labels = tables
+    ids = spark.range(10**6, 2 * 10**6).withColumnRenamed("id", "doc_id").where((remainder("doc_id") != 0) & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0))
+    first = ids.orderBy(F.xxhash64("doc_id")).first()[0]  # before all others of its class
+    long = spark.createDataFrame([(first, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "_dictionary", lambda texts, made=quality._dictionary: seen.append(texts) or made(texts))
+    quality.fit_quality(docs, labels)
+    plain = [sorted(t) for t in seen]
+    seen.clear()
+    known = labels.select("doc_id", "quality").unionByName(long)
+    edge = docs.select("doc_id", "text").unionByName(long.select("doc_id", F.repeat(F.lit("Q"), F.lit(size)).alias("text")))
+    model = quality.fit_quality(edge, known)
+    assert all(len(raw) > 1000 for raw in model["dictionaries"].values())
+    given = [t for t in seen[0] if not t.strip(b"Q")]
+    assert 0 < sum(map(len, given)) <= 1 << 14
+    assert [sorted(t for t in texts if t not in given) for texts in seen] == plain
+
+
+def test_blocks_come_from_all_over_a_long_text(spark):
+    text = "".join(chr(0x61 + k // 10_000) for k in range(260_000))
+    pieces = spark.createDataFrame([(text, 5), ("short é", 5), ("", 5)], "t string, h long").select(quality._pieces(F.col("t"), F.col("h"))).collect()
+    assert len(pieces[0][0]) == quality.DOCUMENT_BLOCKS and {len(p) for p in pieces[0][0]} == {quality.SAMPLE_BYTES}
+    assert len(set(b"".join(pieces[0][0]))) >= quality.DOCUMENT_BLOCKS
+    assert [bytes(p) for r in pieces[1:] for p in r[0]] == ["short é".encode(), b""]
+
+
+def test_a_class_without_text_in_its_half_still_has_a_dictionary(spark, tables):
+    docs, labels = tables
+    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
+    emptied = docs.join(labels.select("doc_id", "quality"), "doc_id").withColumn("text", F.when(half & (F.col("quality") == 0), "").otherwise(F.col("text")))
+    assert all(raw.strip() for raw in quality.fit_quality(emptied, labels)["dictionaries"].values())
+
+
 def test_toxic_rows_score_higher(spark, tables):
     docs, labels = tables
     rows = toxicity_scores(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").collect()
