@@ -36,19 +36,34 @@ LEAF = 128
 DEPTH = 3  # splits after the root's
 SKETCH = 128
 # Positions a level chooses from; each level has its own, so no path repeats one.
-LEVEL_POSITIONS = 8
+LEVEL_POSITIONS = 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def runs_needed(threshold: float, recall: float = TARGET_RECALL, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``."""
-    two = 1 / threshold - 1  # share of nodes that split on two positions
-    meet = 1.0
-    for _ in range(depth + 1):
-        p = threshold * meet
-        meet = (1 - two) * p + two * (1 - (1 - p) ** 2)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    """Runs after which a pair at the threshold has met with probability ``recall``
+    if every node it shares is split ``depth`` times. All runs choose from the same
+    positions of a level, so they are independent only given how many of each
+    level's positions agree; the miss is the sum over these numbers."""
+    n, two = LEVEL_POSITIONS, 1 / threshold - 1  # two: share of nodes that split on two positions
+    agree = np.arange(n + 1)
+    chance = np.array([math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k) for k in agree])
+    both, one = agree * (agree - 1) / (n * (n - 1)), 2 * agree * (n - agree) / (n * (n - 1))
+    meet, weight = np.ones(1), np.ones(1)  # below a shared node, for each choice of numbers
+    for _ in range(depth):
+        m = meet[:, None]
+        meet = ((1 - two) * agree / n * m + two * (both * (1 - (1 - m) ** 2) + one * m)).ravel()
+        weight = (weight[:, None] * chance).ravel()
+    runs = 1
+    while weight @ (1 - threshold * meet) ** _roots(runs, threshold) > 1 - recall:
+        runs += 1
+    return runs
+
+
+def _roots(runs: int, threshold: float) -> int:
+    """Roots of ``runs`` runs: some have two."""
+    return runs + round(runs * (1 / threshold - 1))
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -98,7 +113,7 @@ def _digest(grams: np.ndarray) -> bytes:
 
 
 def _describe(words: int, paths: int):
-    """(doc_id, th, key, n, path values, sketch) of each row."""
+    """(doc_id, th, key, n, path values of 32 bits, sketch) of each row."""
 
     def run(batches):
         multipliers = _multipliers(max(SKETCH, paths))
@@ -108,11 +123,11 @@ def _describe(words: int, paths: int):
                 s = signature(grams, multipliers) if len(grams) else None
                 rows.append(
                     (None, 0, None, None) if s is None
-                    else (_digest(grams), len(grams), s[:paths].view(np.int64).tolist(), ((s[:SKETCH] * _MIX) >> np.uint64(48)).astype("<u2").tobytes())
+                    else (_digest(grams), len(grams), ((s[:paths] * _MIX) >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), ((s[:SKETCH] * _MIX) >> np.uint64(48)).astype("<u2").tobytes())
                 )
             key, n, path, sketch = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(path, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(path, pa.list_(pa.int32())), pa.array(sketch, pa.binary())],
                 ["doc_id", "th", "key", "n", "path", "sketch"],
             )
         release_memory()
@@ -168,9 +183,8 @@ def _similar(threshold: Fraction):
 
 def _leaves(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
     """(bucket, node) of the small leaves, and of the leaves still large at the end."""
-    runs = runs_needed(threshold)
     two = 1 / threshold - 1
-    roots = list(range(runs + round(runs * two)))  # root positions of all runs, each its own
+    roots = list(range(_roots(runs_needed(threshold), threshold)))  # root positions of all runs, each its own
     value = lambda p: F.element_at("path", (p + 1).cast("int"))
     level = classes.select("node", F.explode(F.transform(F.array(*map(F.lit, roots)), lambda p: F.xxhash64(F.lit(0), p, value(p)))).alias("bucket"))
     small, big = None, None
@@ -208,9 +222,9 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, threshold: Fraction = T
     and is a class's id only if no member has one. Other columns are not read."""
     spark = prepare(docs.sparkSession)
     t = float(threshold)
-    paths = runs_needed(t) + round(runs_needed(t) * (1 / t - 1)) + DEPTH * LEVEL_POSITIONS
+    paths = _roots(runs_needed(t), t) + DEPTH * LEVEL_POSITIONS
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    rows = store(texts.mapInArrow(_describe(words, paths), "doc_id long, th long, key binary, n long, path array<long>, sketch binary"), "sets")
+    rows = store(texts.mapInArrow(_describe(words, paths), "doc_id long, th long, key binary, n long, path array<int>, sketch binary"), "sets")
     classes = store(
         rows.where("key is not null").groupBy("key").agg(
             F.min_by(F.struct("doc_id", "th"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"))).alias("rep"),

@@ -5,10 +5,12 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from strata.llm import embedding_dedup
-from strata.llm.common import connected_components, prepare
+from strata.llm import embedding_dedup, jaccard_join
+from strata.llm.common import connected_components, prepare, store
 from strata.llm.embedding_dedup import embedding_classes, visited_cells
 from strata.llm.groups import bucket_links
 from strata.llm.jaccard_join import _similar, jaccard_classes, keep_one_of_each, runs_needed
@@ -111,6 +113,19 @@ def test_runs_reach_the_recall():
     assert runs_needed(0.8, 0.9999) > runs_needed(0.8, 0.9) >= 1
 
 
+def test_pairs_at_the_threshold_meet_after_all_splits(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(jaccard_join, "LEAF", 1)  # every shared node is split to the last level
+    rng, pairs, width = np.random.default_rng(17), 20_000, 128
+    a = rng.integers(-(1 << 31), 1 << 31, (pairs, width))
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(-(1 << 31), 1 << 31, a.shape))
+    nodes = pa.table({"node": np.arange(2 * pairs), "path": pa.array(list(np.stack([a, b], 1).reshape(-1, width)))})
+    small, big = jaccard_join._leaves(store(spark.createDataFrame(nodes), "classes"), 0.8)
+    assert small.count() == 0
+    met = big.select((F.col("node") / 2).cast("long").alias("pair")).distinct().count()
+    assert met >= 0.9997 * pairs, met
+
+
 def test_exact_comparison_in_both_ways():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 60, rng.integers(30, 60))).astype(np.uint64) for _ in range(30)]
