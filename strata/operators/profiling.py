@@ -181,6 +181,45 @@ def declared_fd_check(
     return constancy(df, dets, targets, nulls)
 
 
+def declared_fd_violations(
+    df: DataFrame, declared: Sequence[tuple[str | Sequence[str], Sequence[str]]], nulls: str = NULLS_AS_VALUE, groups: int = 3
+) -> DataFrame:
+    """The first ``groups`` violating groups (by key) of each violated declared
+    dependency: (determinant, dependent, key, n_rows, samples). ``samples`` are two
+    rows of the group that disagree, of its smallest (NULL first) and its largest
+    value; key and rows are JSON."""
+    broken = {(r["determinant"], r["dependent"]) for r in declared_fd_check(df, declared, nulls).where("n_violations > 0").collect()}
+    out = df.sparkSession.createDataFrame([], "determinant string, dependent string, key string, n_rows bigint, samples array<string>")
+
+    def json(columns):
+        return F.to_json(F.struct(*map(_name, columns)), {"ignoreNullFields": "false"})
+
+    for det, deps in declared:
+        d = [det] if isinstance(det, str) else list(det)
+        keys = [f"__k{i}" for i in range(len(d))]
+        for y in deps:
+            if (",".join(d), y) not in broken:
+                continue
+            broken.discard((",".join(d), y))
+            keyed = df.select(*(_name(c).alias(k) for c, k in zip(d, keys)), _name(y).alias("__y"), *map(_name, df.columns))
+            differs = F.min("__y") != F.max("__y")
+            if nulls == NULLS_IGNORED:
+                keyed = keyed.dropna(subset=keys)
+            else:
+                differs = differs | ((F.count("__y") > 0) & (F.count("__y") < F.count(F.lit(1))))
+            first = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), differs.alias("__v")).where("__v").orderBy(*keys).limit(groups)
+            few = F.broadcast(first.select(*(F.col(k).alias(f"_{k}") for k in keys), "__n"))
+            back = keyed.join(few, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]))
+            if nulls == NULLS_IGNORED:
+                back = back.where("__y is not null")
+            rank, row = F.struct("__y"), json(df.columns)  # NULL is the smallest
+            out = out.unionByName(
+                back.groupBy(*keys).agg(F.first(json(d)).alias("key"), F.first("__n").alias("n_rows"), F.array(F.min_by(row, rank), F.max_by(row, rank)).alias("samples"))
+                .select(F.lit(",".join(d)).alias("determinant"), F.lit(y).alias("dependent"), "key", "n_rows", "samples")
+            )
+    return out
+
+
 def parse_declared(lines: Sequence[str]) -> list[tuple[str, list[str]]]:
     """``DET:DEP1,DEP2`` lines (blank lines ignored)."""
     out = []

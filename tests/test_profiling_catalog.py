@@ -5,6 +5,7 @@ from strata.operators.profiling import (
     NULLS_AS_VALUE,
     candidate_keys,
     declared_fd_check,
+    declared_fd_violations,
     fd_matrix,
     functional_dependencies,
     normalize_2nf,
@@ -52,6 +53,26 @@ def test_fd_matrix_and_declared(spark):
     assert rep == {("g", "h"): 0, ("g", "id"): 1, ("id", "g"): 0}
 
 
+def test_violating_groups_of_declared_dependencies(spark):
+    data = [(g, v, n) for n, (g, v) in enumerate([("a", "x"), ("a", "y"), ("a", "y"), ("b", "x"), ("c", None), ("c", "z"), (None, "p"), (None, "q"), ("e", None), ("f", "x"), ("f", "z")])]
+    df = spark.createDataFrame(data, "g string, v string, n int")
+    decl = parse_declared(["g:v,n", "n:v"])
+
+    def found(nulls, groups=10):
+        return {
+            (r["determinant"], r["dependent"], json.loads(r["key"])["g"]): (r["n_rows"], [json.loads(s)["v"] for s in r["samples"]])
+            for r in declared_fd_violations(df, decl, nulls, groups).collect() if r["dependent"] == "v"
+        }
+
+    both = {("g", "v", "a"): (3, ["x", "y"]), ("g", "v", "f"): (2, ["x", "z"])}
+    assert found("ignore") == both
+    assert found(NULLS_AS_VALUE) == both | {("g", "v", "c"): (2, [None, "z"]), ("g", "v", None): (2, ["p", "q"])}
+    assert len(found(NULLS_AS_VALUE, 2)) == 2
+    for nulls in (NULLS_AS_VALUE, "ignore"):
+        counts = {(r["determinant"], r["dependent"]): r["n_violations"] for r in declared_fd_check(df, decl, nulls).collect()}
+        assert counts["g", "v"] == len(found(nulls)) and counts["n", "v"] == 0
+
+
 def test_partial_dependencies_and_2nf(spark):
     df = spark.createDataFrame(
         [(1, 10, "p1", "s10", 5.0), (1, 20, "p1", "s20", 6.0), (2, 10, "p2", "s10", 7.0), (None, 10, "pn", "s10", 1.0)],
