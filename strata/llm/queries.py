@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bpe_codec import codec_digests
 from strata.llm.common import table
 from strata.llm.embedding_dedup import embedding_classes
 from strata.llm.jaccard_join import jaccard_classes
+from strata.llm.merkle_manifest import document_manifest
 from strata.llm.mixing import mixing_copies
 from strata.llm.packing import pack_sequences
+from strata.llm.periodic_runs import run_digests
 from strata.llm.quality import quality_scores
 from strata.llm.token_counts import token_counts
 from strata.llm.token_output import encode_to_files
@@ -82,7 +85,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_packing, op3_quality, op4_embedding_dedup, op5_warc, op6_topk, op7_mixing, op8_jaccard_join, op9_toxicity, op10_token_counts)}
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the distinct-word table and decoded again."""
+    return codec_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and the text without repeats."""
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, with proofs checked on tampered texts."""
+    return document_manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_output, op2_packing, op3_quality, op4_embedding_dedup, op5_warc, op6_topk, op7_mixing, op8_jaccard_join, op9_toxicity,
+        op10_token_counts, op11_bpe_codec, op12_periodic_runs, op13_merkle_manifest,
+    )
+}
 
 # Base 32 of a digest, five bits of its 160 at a time.
 _BITS = "concat(" + ", ".join(f"lpad(bin(('0x' || substr(sha1(coalesce(html, '')), {i}, 5))::BIGINT), 20, '0')" for i in range(1, 41, 5)) + ")"
