@@ -1,7 +1,6 @@
 """Quality and toxicity: held-out accuracy, brute-force model, edge cases."""
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from strata.llm import quality, toxicity
 from strata.llm.common import prepare, table
 from strata.llm.labels import fit_logistic, remainder, sigmoid
 from strata.llm.quality import keep_quality, quality_scores
-from strata.llm.toxicity import KeyTable, characters, evidence, fit_counts, keep_ordinary, toxicity_scores
+from strata.llm.toxicity import KeyTable, evidence, fit_counts, keep_ordinary, toxicity_scores, word_keys
 from tests.conftest import SF_ORACLE
 
 EDGE = [(10, None), (11, ""), (None, "a null id"), (12, "same"), (12, "same"), (13, "very long " * 20_000), (14, "%%% ### !!")]
@@ -101,76 +100,84 @@ def test_toxic_rows_score_higher(spark, tables):
     assert np.mean([a > b for a in toxic for b in ordinary]) >= 0.9
 
 
-TRAIN = [(1, "you idiot moron", 1), (2, "the cat sat on the mat", 0), (3, "a cat and a dog", 0), (4, "idiot Idiot the", 1), (6, "dogs sat", 0)]
-
-
-def _brute(discount):
-    """The model's log ratio of a text, straight from the docstring."""
-    grams = {1: Counter(), 0: Counter()}
-    for _, text, label in TRAIN:
-        x = toxicity.BEGIN * 3 + " " + "".join(w + " " for w in "".join(c if c.isalnum() else " " for c in text.lower()).split())
-        grams[label].update(x[i - 3 : i + 1] for i in range(3, len(x)))
-    nt, no = sum(grams[1].values()), sum(grams[0].values())
-    d = {1: discount, 0: discount * no / nt}
-    three = {c: Counter() for c in (0, 1)}
-    for c in (0, 1):
-        for g, n in grams[c].items():
-            three[c][g[1:]] += n
-    pooled3 = set(three[0]) | set(three[1])
-    two = Counter(g[1:] for g in pooled3)
-    one = Counter(g[1] for g in two)
-    sd, total, kinds = toxicity.SHARED_DISCOUNT, sum(one.values()), len(one)
-
-    def p1(x):
-        return (one[x] - sd) / total + sd * kinds / total / (kinds + 1) if x in one else 1e-6
-
-    def p2(c, x):
-        after = {g: n for g, n in two.items() if g[0] == c}
-        if not after:
-            return p1(x)
-        back = sd * len(after) / sum(after.values()) * p1(x)
-        return (two[c + x] - sd) / sum(after.values()) + back if c + x in two else back
-
-    def kept(counts, c, ctx, x, lower):
-        own = {g: n for g, n in counts[c].items() if g[:-1] == ctx}
-        n = sum(own.values())
-        if not n:
-            return lower
-        return max(own.get(ctx + x, 0) - d[c], 0) / n + (1 - sum(max(v - d[c], 0) for v in own.values()) / n) * lower
-
-    def ratio(text):
-        words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-        x, total = toxicity.BEGIN * 3 + " " + "".join(w + " " for w in words), 0.0
-        for i in range(3, len(x)):
-            a, b, c, y = x[i - 3], x[i - 2], x[i - 1], x[i]
-            p = {k: kept(grams, k, a + b + c, y, kept(three, k, b + c, y, p2(c, y))) for k in (0, 1)}
-            total += math.log(p[1] / p[0])
-        return total / (len(x) - 3)
-
-    return ratio
-
-
-@pytest.mark.parametrize("entries", [1_000_000, 20])
-def test_evidence_equals_brute_force_in_one_or_many_shards(spark, entries):
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (table(prepare(spark), "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    rows = toxicity_scores(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    found, flagged = (sum(r["predicted"] for r in rows if r["toxic"] == x) for x in (1, 0))
+    assert found >= 0.85 * sum(r["toxic"] for r in rows) and flagged <= 5
+
+
+TRAIN = [(1, "you idiot moron", 1), (2, "the cat sat on the mat", 0), (3, "a cat and a dog", 0), (4, "idiot Idiot the moron", 1), (6, "dogs sat, a moron", 0), (8, "you idiot moron", 1)]
+
+
+def _words(text):
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
+def _brute(rows, d):
+    """The evidence of a text, straight from the docstring."""
+    before = {1: {}, 0: {}}
+    for _, text, label in rows:
+        words = _words(text)
+        for v, w in zip([None, *words], words):
+            before[label].setdefault(w, set()).add(v)
+    both = {w: before[0].get(w, set()) | before[1].get(w, set()) for w in {*before[0], *before[1]}}
+    n, sd = sum(map(len, both.values())), toxicity.SHARED_DISCOUNT
+    total = {c: sum(map(len, before[c].values())) for c in (0, 1)}
+    keep = lambda k: max(k - d, toxicity.LEAST_SHARE * k)
+    left = {c: 1 - sum(keep(len(v)) for v in before[c].values()) / total[c] for c in (0, 1)}
+
+    def e(w):
+        if w not in both:
+            return 0.0
+        shared = (len(both[w]) - sd) / n + sd * len(both) / n / (len(both) + 1)
+        p = {c: keep(len(before[c].get(w, ()))) / total[c] + left[c] * shared for c in (0, 1)}
+        return max(math.log(p[1] / p[0]) - math.log(left[1] / left[0]), 0.0)
+
+    def evidences(text):
+        words = _words(text)
+        best = sorted((e(w) for w in set(words)), reverse=True)[: toxicity.TELLING]
+        return sum(best) / toxicity.TELLING, sum(map(e, words)) / max(len(words), 1)
+
+    return evidences
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 1])
+def test_evidence_equals_brute_force_by_broadcast_or_join(spark, entries):
     prepare(spark)
     docs = spark.createDataFrame([(i, t) for i, t, _ in TRAIN], "doc_id long, text string")
     known = spark.createDataFrame([(i, y) for i, _, y in TRAIN], "doc_id long, label int")
     folds = {r[0]: r[1] for r in docs.select("doc_id", remainder("doc_id")).collect()}
     used = [t for t in TRAIN if folds[t[0]] != toxicity.CALIBRATION_FOLD]
     assert {y for _, _, y in used} == {0, 1}
-    TRAIN[:] = used
     model = {"table": fit_counts(docs, known, 0.5), "entries": entries}
-    texts = ["idiot", "the cat", "a moron sat, on a dog", "Zzz 9", "cat idiot moron the you", ""]
+    texts = ["idiot", "the cat", "a moron sat, on a dog", "Zzz 9", "cat idiot moron idiot you you", "", None, "x " * 3000 + "moron"]
     scored = evidence(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, ["doc_id"]).collect()
-    assert (len(model["shared"]) > 1) == (entries == 20)
-    ratio = _brute(0.5)
+    assert len(scored) == len(texts) and model["few"] == (entries > 1)
+    brute = _brute(used, 0.5)
     for r in scored:
-        assert r["e"] == pytest.approx(ratio(texts[r["c0"]]), rel=1e-9, abs=1e-12)
+        assert (r["peak"], r["mean"]) == pytest.approx(brute(texts[r["c0"]] or ""), rel=1e-9, abs=1e-12)
+    assert max(r["peak"] for r in scored) > 0
 
 
-def test_characters_and_key_table():
-    x, at = characters(pa.array(["Ab, c!!", None], pa.large_string()))
-    assert "".join(map(chr, x)) == "\x02\x02\x02 ab c " + "\x02\x02\x02 " and at.tolist() == [0, 9, 13]
+def test_copies_add_no_contexts(spark):
+    prepare(spark)
+    rows = [(i, t, y) for i, t, y in TRAIN] + [(100 + i, "the cat sat on a moron", 1) for i in range(50)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    known = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    once = spark.createDataFrame([r for r in known.collect() if r[0] <= 100], known.schema)
+    fold = remainder("doc_id") != toxicity.CALIBRATION_FOLD
+    if known.where(fold & (F.col("doc_id") > 100)).isEmpty() or once.where(fold & (F.col("doc_id") == 100)).isEmpty():
+        once = known
+    assert sorted(map(tuple, fit_counts(docs, known, 0.5).collect())) == sorted(map(tuple, fit_counts(docs, once, 0.5).collect()))
+
+
+def test_word_keys_and_key_table():
+    long = "Ab, c!! " + "word é " * 500_000
+    keys, at = word_keys(pa.array(["Ab, c!!", None, long, "ab c ab"], pa.large_string()))
+    assert at.tolist() == [0, 2, 2, 1_000_004, 1_000_007]
+    assert keys[at[2] - 2 :][:2].tolist() == keys[:2].tolist() == keys[-3:-1].tolist() and keys[-1] == keys[0]
+    assert len(np.unique(keys)) == 4
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 5000, dtype=np.uint64))
     t = KeyTable(keys)
     assert (t.find(keys) == np.arange(len(keys))).all() and (t.find(keys + np.uint64(1)) < 0).mean() > 0.99
