@@ -91,6 +91,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder for one stored intermediate table, on the checkpoint storage;
+    Hadoop removes it when the application ends."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
@@ -98,9 +107,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     columns they use and get filters pushed down. Used for an intermediate
     that several later plans scan (e.g. a bronze frame built by joins).
     """
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
