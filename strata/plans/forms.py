@@ -151,11 +151,14 @@ def questions_with_form(preguntas: DataFrame, dim_formulario: DataFrame) -> Data
     return keyed.join(bounded_broadcast(forms), on="__fid", how="inner").drop("__fid")
 
 
+FACT_DIMENSIONS = tuple(x.dim for x in FACT_FORMULARIO.lookups)
+
+
 def load_forms_dimensions(
-    anio: DataFrame,
-    formulario: DataFrame,
-    preguntas: DataFrame,
-    respuestas: DataFrame,
+    anio: DataFrame | None,
+    formulario: DataFrame | None,
+    preguntas: DataFrame | None,
+    respuestas: DataFrame | None,
     existing: Mapping[str, DataFrame] | None = None,
     estadistica: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
@@ -163,36 +166,46 @@ def load_forms_dimensions(
 
     Time gets the unknown member 0 and the year members of the three
     application-year columns; executing units come first from the statistics
-    source (when given) and then from the answers (code as name).
+    source (when given) and then from the answers (code as name). Any source may
+    be absent: its dimensions stay as they are (questions need their forms, which
+    may be stored already).
     """
     ex = dict(existing or {})
     out = dict(ex)
-    tiempo = ensure_members(ex["DIM_TIEMPO"], [time_member(0, 0)], ["IdTiempo"]) if "DIM_TIEMPO" in ex else None
-    if tiempo is None:
-        tiempo =anio.sparkSession.createDataFrame([(0, 0, None, None, None, None, None)], TIME_SCHEMA)
+
+    def time_members():
+        if "DIM_TIEMPO" in ex:
+            tiempo = ensure_members(ex["DIM_TIEMPO"], [time_member(0, 0)], ["IdTiempo"])
+        else:
+            tiempo = anio.sparkSession.createDataFrame([(0, 0, None, None, None, None, None)], TIME_SCHEMA)
+        return load_time_years(anio, ["ANO_APLICACION", "ANO_APLICACION_INICIO", "ANO_APLICACION_FIN"], tiempo)
+
     def forms_and_questions():
-        form = load_dimension(formulario, ex.get("DIM_FORMULARIO_SISMEPRE"), DIM_FORMULARIO).dim
-        q = questions_with_form(preguntas, form)
-        return form, load_dimension(q, ex.get("DIM_PREGUNTA_SISMEPRE"), DIM_PREGUNTA).dim
+        form, asked = ex.get("DIM_FORMULARIO_SISMEPRE"), ex.get("DIM_PREGUNTA_SISMEPRE")
+        if formulario is not None:
+            form = load_dimension(formulario, form, DIM_FORMULARIO).dim
+        if preguntas is not None and form is not None:
+            asked = load_dimension(questions_with_form(preguntas, form), asked, DIM_PREGUNTA).dim
+        return form, asked
 
     def executing_units():
         ejecutora = ex.get("DIM_EJECUTORA")
         if estadistica is not None:
             ejecutora = load_dimension(estadistica, ejecutora, DIM_EJECUTORA_ESTADISTICA).dim
-        return load_dimension(respuestas, ejecutora, DIM_EJECUTORA_RESPUESTAS).dim
-
-    tasks = {
-        "DIM_TIEMPO": lambda: load_time_years(anio, ["ANO_APLICACION", "ANO_APLICACION_INICIO", "ANO_APLICACION_FIN"], tiempo),
-        "DIM_ANIO_APLICACION": lambda: load_dimension(anio, ex.get("DIM_ANIO_APLICACION"), DIM_ANIO_APLICACION).dim,
-        "forms": forms_and_questions,
-        "DIM_EJECUTORA": executing_units,
-    }
+        if respuestas is not None:
+            ejecutora = load_dimension(respuestas, ejecutora, DIM_EJECUTORA_RESPUESTAS).dim
+        return ejecutora
+
+    tasks = {"forms": forms_and_questions, "DIM_EJECUTORA": executing_units}
+    if anio is not None:
+        tasks["DIM_TIEMPO"] = time_members
+        tasks["DIM_ANIO_APLICACION"] = lambda: load_dimension(anio, ex.get("DIM_ANIO_APLICACION"), DIM_ANIO_APLICACION).dim
     if estadistica is not None:
         tasks["DIM_UBIGEO"] = lambda: load_dimension(estadistica, ex.get("DIM_UBIGEO"), DIM_UBIGEO_ESTADISTICA).dim
     done = run_concurrently(tasks)
     out["DIM_FORMULARIO_SISMEPRE"], out["DIM_PREGUNTA_SISMEPRE"] = done.pop("forms")
     out.update(done)
-    return out
+    return {name: dim for name, dim in out.items() if dim is not None}
 
 
 def load_forms_fact(respuestas: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

@@ -46,7 +46,7 @@ def q_schema_reconcile_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(v1, evolved).unionByName(align(v2, evolved))
 
 
-def q_multi_vintage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_vintages(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Orders in three yearly vintages whose columns differ (missing, new, int vs
     text, decimals of two scales, float vs double); undated orders are in the last."""
     o = read_table(spark, sf_dir, "orders")
@@ -63,7 +63,12 @@ def q_multi_vintage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     v3 = o.filter((F.col("o_orderdate") >= d99) | F.col("o_orderdate").isNull()).selectExpr(
         "o_orderkey", "o_orderpriority", "CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice", "o_orderdate"
     )
-    return append_vintages([v1, v2, v3])
+    return [v1, v2, v3]
+
+
+def q_multi_vintage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vintages of ``order_vintages`` as one frame."""
+    return append_vintages(order_vintages(spark, sf_dir))
 
 
 def q_timestamp_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:

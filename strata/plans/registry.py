@@ -264,9 +264,11 @@ ORACLE_SQL: dict[str, str] = {
     "integrity_violations": oracle.INTEGRITY_VIOLATIONS,
 }
 
-from strata.plans import ingest_oracle, ingest_queries, profiling_queries  # noqa: E402
+from strata.plans import ingest_oracle, ingest_queries, profiling_queries, table_queries  # noqa: E402
 
 QUERIES.update(ingest_queries.QUERIES)
 ORACLE_SQL.update(ingest_oracle.ORACLE_SQL)
 QUERIES.update(profiling_queries.QUERIES)
 ORACLE_SQL.update(profiling_queries.ORACLE_SQL)
+QUERIES.update(table_queries.QUERIES)
+ORACLE_SQL.update(table_queries.ORACLE_SQL)

@@ -1,10 +1,11 @@
 """Whole-warehouse loads: silver (dimensions, then facts) and gold (dashboards),
-persisted as parquet tables under one root folder (``<root>/<layer>/<table>``).
+persisted as versioned tables under one root folder (``<root>/<layer>/<table>``).
 
 Dimensions are incremental: only rows added by this run are appended (ids
 continue after the stored maximum). Facts and dashboards are full refreshes.
-Every write happens after the in-memory chain of loads is planned, in
-dependency order; a failed run leaves earlier tables as they were written.
+Every write is one commit of one table (``sources.tables``), in dependency order: a
+run that fails between any two of them leaves all tables readable, and a run of the
+same id does what is left and nothing twice. ``Warehouse.journal`` tells all commits.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold
-from strata.operators.schema import SchemaChange, align, append_vintages, reconcile
+from strata.operators.schema import SchemaChange
 from strata.plans import forms, revenue, survey
-from strata.sources.files import append_table, overwrite_table, path_exists
+from strata.session import materialize
 from strata.sources.manifest import ingest
+from strata.sources.tables import JOURNAL, VersionedTable
 
 # dimension -> surrogate id column (None: the key itself, IdTiempo)
 DIMENSIONS = {
@@ -47,37 +49,40 @@ class Warehouse:
     spark: SparkSession
     root: str
 
-    def path(self, layer: str, table: str) -> str:
-        return os.path.join(self.root, layer, table)
+    def table(self, layer: str, table: str) -> VersionedTable:
+        return VersionedTable(self.spark, os.path.join(self.root, layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame | None:
-        path = self.path(layer, table)
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
-
-    def replace(self, layer: str, table: str, df: DataFrame) -> None:
-        overwrite_table(df, self.path(layer, table))
-
-    def stage(self, table: str, df: DataFrame, drop: bool = False) -> list[SchemaChange]:
-        """Append a load to a bronze table, evolving its schema.
-
-        Unchanged schema: the aligned rows are appended. New columns or widened
-        types: parquet cannot change a column in place, so the stored rows and
-        the new ones are aligned to the evolved schema and the table is
-        rewritten (the stored rows are materialised first, see
-        ``overwrite_table``). Returns the schema changes applied. ``drop``: the
-        stored table is replaced instead of appended to.
-        """
-        target = self.path("bronze", table)
-        stored = None if drop else self.read("bronze", table)
-        if stored is None:
-            overwrite_table(df, target)
-            return [SchemaChange(f.name, "add", f.dataType.simpleString()) for f in df.schema.fields]
-        evolved, changes = reconcile(stored.schema, df.schema)
-        if not changes:
-            append_table(align(df, evolved), target)
-        else:
-            overwrite_table(append_vintages([stored, df], evolved), target)
-        return changes
+        return self.table(layer, table).read()
+
+    def replace(self, layer: str, table: str, df: DataFrame, run_id: str | None = None) -> None:
+        self.table(layer, table).replace(df, run_id)
+
+    def stage(self, table: str, df: DataFrame, drop: bool = False, load_id: str | None = None) -> list[SchemaChange]:
+        """Append a load to a bronze table, evolving its schema in the log: stored
+        files are not rewritten. Returns the schema changes applied. ``drop``: the
+        stored table is replaced instead of appended to. A ``load_id`` that the table
+        holds is not loaded again."""
+        target = self.table("bronze", table)
+        if not drop:
+            return target.append(df, load_id)
+        target.replace(df, load_id)
+        return [SchemaChange(f.name, "add", f.dataType.simpleString()) for f in df.schema.fields]
+
+    def journal(self) -> DataFrame:
+        """Every commit of every table: layer, table, and the table's own journal."""
+        found = None
+        for layer, name in self.tables():
+            rows = self.table(layer, name).journal().select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "*")
+            found = rows if found is None else found.unionByName(rows)
+        return found if found is not None else self.spark.createDataFrame([], f"layer string, table string, {JOURNAL}")
+
+    def tables(self) -> list[tuple[str, str]]:
+        """(layer, table) of all tables, sorted."""
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = Path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        below = lambda p: [s.getPath() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+        return sorted((layer.getName(), t.getName()) for layer in below(Path(self.root)) for t in below(layer))
 
     def stage_manifest(self, config: Mapping, data_dir: str, drop: bool = False) -> DataFrame:
         """Manifest ingest into bronze: every loaded table staged (``drop``: replaced);
@@ -87,18 +92,20 @@ class Warehouse:
             self.stage(name, df, drop)
         return status
 
-    def append_new(self, table: str, final: DataFrame, existing: DataFrame | None, id_col: str | None) -> None:
+    def append_new(self, table: str, final: DataFrame, existing: DataFrame | None, id_col: str | None, run_id: str | None = None) -> None:
         """Append the rows of ``final`` that this run added to ``existing``."""
-        target = self.path("silver", table)
+        target = self.table("silver", table)
         if existing is None:
-            overwrite_table(final, target)
+            target.replace(final, run_id)
             return
         if id_col is not None:
             top = existing.agg(F.max(id_col).alias("m")).collect()[0]["m"] or 0
             new = final.filter(F.col(id_col) > F.lit(top))
         else:
             new = final.join(existing.select("IdTiempo"), "IdTiempo", "left_anti")
-        append_table(new.select(*existing.columns), target)
+        new = materialize(new.select(*existing.columns), table)
+        if not new.isEmpty():
+            target.append(new, run_id)
 
 
 @dataclass
@@ -116,32 +123,34 @@ class Bronze:
     survey_year: int = 2020
 
 
-def load_silver_all(wh: Warehouse, bronze: Bronze) -> dict[str, DataFrame]:
+def load_silver_all(wh: Warehouse, bronze: Bronze, run_id: str | None = None) -> dict[str, DataFrame]:
     """Budget dimensions -> forms dimensions -> budget fact -> forms fact -> survey.
 
-    Returns the planned silver frames (dimensions and facts) after writing them.
+    Any source may be absent: what depends on it alone is left as it is. Returns the
+    planned silver frames (dimensions and facts) after writing them. A second run of
+    the same ``run_id`` and sources commits nothing that the first one did.
     """
     existing = {name: wh.read("silver", name) for name in DIMENSIONS}
     dims: dict[str, DataFrame] = {k: v for k, v in existing.items() if v is not None}
     facts: dict[str, DataFrame] = {}
     if bronze.ingreso is not None:
         dims = revenue.load_revenue_dimensions(bronze.ingreso, dims)
-    if bronze.respuestas is not None:
+    if any(x is not None for x in (bronze.anio, bronze.formulario, bronze.preguntas, bronze.respuestas, bronze.estadistica)):
         dims = forms.load_forms_dimensions(
             bronze.anio, bronze.formulario, bronze.preguntas, bronze.respuestas, dims, bronze.estadistica
         )
     if bronze.ingreso is not None:
         facts["FACT_INGRESO_DIARIO"] = revenue.load_revenue_fact(bronze.ingreso, dims)
-    if bronze.respuestas is not None:
+    if bronze.respuestas is not None and set(forms.FACT_DIMENSIONS) <= set(dims):
         facts["FACT_FORMULARIO_SISMEPRE"] = forms.load_forms_fact(bronze.respuestas, dims)
     if bronze.survey is not None:
         dims, facts["FACT_RENAMU"] = survey.load_survey(bronze.survey, dims, bronze.survey_tag, bronze.survey_year)
 
     for name, id_col in DIMENSIONS.items():
         if name in dims:
-            wh.append_new(name, dims[name], existing.get(name), id_col)
+            wh.append_new(name, dims[name], existing.get(name), id_col, run_id)
     for name, fact in facts.items():
-        wh.replace("silver", name, fact)
+        wh.replace("silver", name, fact, run_id)
     return {**dims, **facts}
 
 
@@ -150,8 +159,9 @@ def silver_tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {n: df for n in names if (df := wh.read("silver", n)) is not None}
 
 
-def load_gold_all(wh: Warehouse) -> dict[str, DataFrame]:
-    """The three dashboards from the stored silver tables (full refresh)."""
+def load_gold_all(wh: Warehouse, run_id: str | None = None) -> dict[str, DataFrame]:
+    """The three dashboards from the stored silver tables (full refresh; a second run
+    of the same ``run_id`` is a no-op)."""
     s = silver_tables(wh)
     out: dict[str, DataFrame] = {}
     if "FACT_INGRESO_DIARIO" in s:
@@ -161,7 +171,7 @@ def load_gold_all(wh: Warehouse) -> dict[str, DataFrame]:
     if "FACT_RENAMU" in s:
         out["RENAMU_DASHBOARD"] = survey.survey_dashboard(s["FACT_RENAMU"], s)
     for name, df in out.items():
-        wh.replace("gold", name, df)
+        wh.replace("gold", name, df, run_id)
     return out
 
 
