@@ -1,8 +1,9 @@
 """Dependency profiling: functional dependencies, partial dependencies of a
 composite key, minimal candidate keys, 2NF decomposition, declared-FD checks.
 
-All determinants of one request are evaluated in a single aggregation with
-``GROUPING SETS`` (one scan, partial aggregation map-side). Per group, a
+A few witness rows refute most dependencies and keys for certain; what survives is
+evaluated over all rows, in aggregations with ``GROUPING SETS`` (one scan, partial
+aggregation map-side). Per group, a
 column ``y`` is constant iff ``count(y) = 0`` or (``count(y) = count(*)`` and
 ``min(y) = max(y)``) when NULL counts as a value, or iff ``count(y) = 0`` or
 ``min(y) = max(y)`` when NULLs are ignored; no ``count(DISTINCT)`` is needed.
@@ -22,21 +23,85 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import materialize
+
 MAX_SETS_PER_PASS = 32
+# Rows that refute dependencies and keys before whole tables are grouped. They only
+# spare work: whatever they do not refute is checked on all rows.
+WITNESS_ROWS = 20_000
 
 NULLS_AS_VALUE = "value"  # a NULL is one more value (columnar-frame semantics)
 NULLS_IGNORED = "ignore"  # NULL keys dropped, NULL values not counted (pandas semantics)
 
 
+def _has_order(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared: maps cannot, at any depth."""
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _orderable(df: DataFrame) -> list[str]:
-    """Columns min/max can compare (maps have no order and are left out)."""
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    """Columns min/max can compare (what holds a map has no order and is left out)."""
+    return [f.name for f in df.schema.fields if _has_order(f.dataType)]
 
 
 def unprofiled_columns(df: DataFrame) -> list[str]:
-    """Columns the dependency profiling leaves out (map-typed: no order, so no
+    """Columns the dependency profiling leaves out (they hold maps: no order, so no
     min/max and no grouping); reported next to the profiling results."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
+    return [f.name for f in df.schema.fields if not _has_order(f.dataType)]
+
+
+def label(columns: Sequence[str]) -> str:
+    """Columns as one text, ``a,b``; a name that holds a comma or backtick is quoted
+    by backticks, so that different column lists never look alike."""
+    return ",".join("`" + c.replace("`", "``") + "`" if "," in c or "`" in c else c for c in columns)
+
+
+def _stored_once(df: DataFrame) -> DataFrame:
+    """``df``, materialised if more than a scan with filters makes its rows: profiling
+    reads them several times."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    made = any(node in plan for node in ("Join ", "Aggregate ", "Generate ", "Window ", "Expand ", "MapIn"))
+    return materialize(df, "profiled") if made else df
+
+
+def _witnesses(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """At most WITNESS_ROWS rows of the named columns, stored: whole groups of equal
+    values of each column, chosen by hash, and rows chosen by hash of all columns."""
+    kept = df.select(*map(_name, columns))
+    share = max(kept.count() * (len(columns) + 1) // WITNESS_ROWS, 1)
+    keep = F.pmod(F.xxhash64(*map(_name, columns)), F.lit(share)) == 0
+    for c in columns:
+        keep = keep | (F.pmod(F.xxhash64(_name(c)), F.lit(share)) == 0)
+    return materialize(kept.where(keep).limit(WITNESS_ROWS), "witnesses")
+
+
+def holding(df: DataFrame, determinants: Sequence[Sequence[str]], targets: Mapping[int, Sequence[str]] | None = None, nulls: str = NULLS_AS_VALUE) -> list[tuple[int, str]]:
+    """(number of the determinant, column) of the dependencies that hold.
+
+    A few rows refute most pairs for certain: a group that differs among them differs
+    in the table. Only the pairs that survive are grouped over all rows, with no other
+    columns, and those in which a determinant is unique cost no more than its groups."""
+    dets = [list(d) for d in determinants]
+    cols = _orderable(df)
+    asked = {i: [c for c in (targets or {}).get(i, cols) if c in cols and c not in d] for i, d in enumerate(dets)}
+    needed = [c for c in df.columns if any(c in d for d in dets) or any(c in t for t in asked.values())]
+    if not needed:
+        return []
+    few = _witnesses(df, needed)
+    place = {label(d): i for i, d in enumerate(dets)}
+    refuted = {(place[r["determinant"]], r["dependent"]) for r in constancy(few, dets, asked, nulls).where("n_violations > 0").collect()}
+    left = {i: [y for y in ys if (i, y) not in refuted] for i, ys in asked.items()}
+    left = {i: ys for i, ys in left.items() if ys}
+    if not left:
+        return []
+    again = [dets[i] for i in left]
+    whole = df.select(*(_name(c) for c in needed if any(c in dets[i] or c in ys for i, ys in left.items())))
+    held = constancy(whole, again, dict(enumerate(left.values())), nulls).where("n_violations = 0").collect()
+    return sorted((place[r["determinant"]], r["dependent"]) for r in held)
 
 
 def _text(s: str) -> str:
@@ -87,7 +152,7 @@ def _verified(df: DataFrame, dets: list[list[str]], targets: Mapping[int, Sequen
     if not text:
         return first
     found = first.collect()
-    place = {",".join(d): i for i, d in enumerate(dets)}
+    place = {label(d): i for i, d in enumerate(dets)}
     left: dict[int, list[str]] = {}
     for r in found:
         if r["n_violations"] == 0 and r["dependent"] in text:
@@ -139,7 +204,7 @@ def _constancy_pass(
 
     rows = []
     for i, (g, d) in enumerate(zip(gids, dets)):
-        name = _text(",".join(d))
+        name = _text(label(d))
         for y in tmap[i]:
             j = ys.index(y)
             rows.append(f"{g}, {name}, {_text(y)}, __v{j}")
@@ -168,8 +233,8 @@ def fd_matrix(
     """All single-column dependencies ``x -> y`` of the whole table (x in
     ``determinants``, default every column)."""
     dets = list(determinants or _orderable(df))
-    res = constancy(df, [[c] for c in dets], nulls=nulls)
-    return res.filter(F.col("n_violations") == 0).select("determinant", "dependent")
+    found = holding(_stored_once(df), [[c] for c in dets], nulls=nulls)
+    return df.sparkSession.createDataFrame([(label([dets[i]]), y) for i, y in found], "determinant string, dependent string")
 
 
 def declared_fd_check(
@@ -198,9 +263,9 @@ def declared_fd_violations(
         d = [det] if isinstance(det, str) else list(det)
         keys = [f"__k{i}" for i in range(len(d))]
         for y in deps:
-            if (",".join(d), y) not in broken:
+            if (label(d), y) not in broken:
                 continue
-            broken.discard((",".join(d), y))
+            broken.discard((label(d), y))
             keyed = df.select(*(_name(c).alias(k) for c, k in zip(d, keys)), _name(y).alias("__y"), *map(_name, df.columns))
             differs = F.min("__y") != F.max("__y")
             if nulls == NULLS_IGNORED:
@@ -215,7 +280,7 @@ def declared_fd_violations(
             rank, row = F.struct("__y"), json(df.columns)  # NULL is the smallest
             out = out.unionByName(
                 back.groupBy(*keys).agg(F.first(json(d)).alias("key"), F.first("__n").alias("n_rows"), F.array(F.min_by(row, rank), F.max_by(row, rank)).alias("samples"))
-                .select(F.lit(",".join(d)).alias("determinant"), F.lit(y).alias("dependent"), "key", "n_rows", "samples")
+                .select(F.lit(label(d)).alias("determinant"), F.lit(y).alias("dependent"), "key", "n_rows", "samples")
             )
     return out
 
@@ -239,15 +304,16 @@ def partial_dependencies(df: DataFrame, primary_key: Sequence[str], nulls: str =
     if not subsets:
         return df.sparkSession.createDataFrame([], "subset string, dependent string")
     others = [c for c in _orderable(df) if c not in pk]
-    res = constancy(df, subsets, {i: others for i in range(len(subsets))}, nulls)
-    return res.filter(F.col("n_violations") == 0).select(F.col("determinant").alias("subset"), "dependent")
+    found = holding(_stored_once(df), subsets, {i: others for i in range(len(subsets))}, nulls)
+    return df.sparkSession.createDataFrame([(label(subsets[i]), y) for i, y in found], "subset string, dependent string")
 
 
 def normalize_2nf(df: DataFrame, primary_key: Sequence[str], nulls: str = NULLS_IGNORED) -> dict[str, DataFrame]:
     """One distinct table per key subset with partial dependencies (subset + its
     columns) and ``main`` with every column used by no subset table (not
     de-duplicated). The dependency list is combination-sized and collected."""
-    parts = {",".join(s): s for r in range(1, len(primary_key)) for s in combinations(primary_key, r)}
+    df = _stored_once(df)
+    parts = {label(s): s for r in range(1, len(primary_key)) for s in combinations(primary_key, r)}
     deps: dict[str, list[str]] = {}
     for r in partial_dependencies(df, primary_key, nulls).collect():
         deps.setdefault(r["subset"], []).append(r["dependent"])
@@ -293,13 +359,16 @@ def candidate_keys(df: DataFrame, max_key_size: int | None = None) -> list[list[
     """Minimal column combinations with no duplicate rows (NULLs equal), found
     level by level; supersets of a found key are not tested, nor is a
     combination whose product of exact column cardinalities (NULL counted as a
-    value) is below the row count, which cannot be unique. One job per level.
-    Columns are tried in descending cardinality (then name)."""
+    value) is below the row count, which cannot be unique, nor one on which two of a
+    few witness rows agree: the columns on which they agree refute all their subsets
+    at once. What is left of a level is one job. Columns are tried in descending cardinality (then name)."""
+    df = _stored_once(df)
     cards = column_cardinalities(df)
     n_rows = df.count()
     cols = sorted(cards, key=lambda c: (-cards[c], c))
     found: list[list[str]] = []
     top = len(cols) if max_key_size is None else min(max_key_size, len(cols))
+    repeated = _repeats_of(_witnesses(df, cols), cols)
 
     def may_be_unique(combo: tuple[str, ...]) -> bool:
         product = 1
@@ -313,7 +382,7 @@ def candidate_keys(df: DataFrame, max_key_size: int | None = None) -> list[list[
         combos = [
             list(k)
             for k in combinations(cols, r)
-            if not any(set(f) <= set(k) for f in found) and may_be_unique(k)
+            if not any(set(f) <= set(k) for f in found) and may_be_unique(k) and not repeated(k)
         ]
         if not combos:
             continue
@@ -323,8 +392,39 @@ def candidate_keys(df: DataFrame, max_key_size: int | None = None) -> list[list[
     return found
 
 
+def _repeats_of(few: DataFrame, cols: Sequence[str]):
+    """``repeated(combination)``: whether two of the witness rows agree on it, so that
+    neither it nor any of its subsets is a key. Their values reach the driver as 96
+    bits of hashes and a null flag (a bounded table of WITNESS_ROWS rows)."""
+    import numpy as np
+
+    value = lambda c: F.concat_ws(":", F.xxhash64(_name(c)).cast("string"), F.hash(_name(c)).cast("string"), _name(c).isNull().cast("string"))
+    coded = few.select(*(value(c).alias(f"c{i}") for i, c in enumerate(cols))).toPandas()
+    codes = {c: np.unique(coded[f"c{i}"].to_numpy(str), return_inverse=True)[1].astype(np.int64) for i, c in enumerate(cols)} if len(coded) else {}
+    agree: list[frozenset] = []  # combinations on which two rows agree
+
+    def repeated(combo: Sequence[str]) -> bool:
+        wanted = frozenset(combo)
+        if not codes:
+            return False
+        if any(wanted <= a for a in agree):
+            return True
+        key = np.zeros(len(coded), np.int64)
+        for c in combo:
+            key = np.unique(key * (len(coded) + 1) + codes[c], return_inverse=True)[1]
+        order = np.argsort(key, kind="stable")
+        same = np.flatnonzero(np.diff(key[order]) == 0)
+        if not len(same):
+            return False
+        a, b = order[same[0]], order[same[0] + 1]
+        agree.append(frozenset(c for c in cols if codes[c][a] == codes[c][b]))
+        return True
+
+    return repeated
+
+
 def candidate_keys_frame(df: DataFrame, table_name: str, max_key_size: int | None = None) -> DataFrame:
     """``candidate_keys`` as rows (table_name, key_size, key_columns sorted by name)."""
     keys = candidate_keys(df, max_key_size)
-    rows = [(table_name, len(k), ",".join(sorted(k))) for k in keys]
+    rows = [(table_name, len(k), label(sorted(k))) for k in keys]
     return df.sparkSession.createDataFrame(rows, "table_name string, key_size int, key_columns string")

@@ -38,6 +38,10 @@ def q_fd_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fd_matrix(read_table(spark, sf_dir, "part"))
 
 
+def q_fd_matrix_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fd_matrix(read_table(spark, sf_dir, "lineitem"))
+
+
 DECLARED = [("p_brand", ["p_type", "p_size"]), ("p_partkey", ["p_name", "p_brand"]), ("p_type", ["p_brand"])]
 
 
@@ -81,7 +85,15 @@ def q_candidate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def q_candidate_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of orders of any size, and of lineitem of at most two columns."""
+    orders = candidate_keys_frame(read_table(spark, sf_dir, "orders"), "orders")
+    return orders.unionByName(candidate_keys_frame(read_table(spark, sf_dir, "lineitem"), "lineitem", 2))
+
+
 QUERIES = {
+    "fd_matrix_lineitem": q_fd_matrix_lineitem,
+    "candidate_keys_orders": q_candidate_keys_orders,
     "fd_single": q_fd_single,
     "fd_matrix": q_fd_matrix,
     "fd_declared_check": q_fd_declared_check,
@@ -186,7 +198,19 @@ CANDIDATE_KEYS = "\nUNION ALL ".join(
     + _candidate_keys_sql("conversations", ["conv_id", "turn", "role", "text"])
 )
 
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+FD_MATRIX_LINEITEM = "\nUNION ALL ".join(
+    f"SELECT '{x}' AS determinant, '{y}' AS dependent WHERE {_holds('lineitem', x, y)}" for x, y in permutations(LINEITEM_COLS, 2)
+)
+CANDIDATE_KEYS_ORDERS = "\nUNION ALL ".join(
+    _candidate_keys_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    + _candidate_keys_sql("lineitem", LINEITEM_COLS, 2)
+)
+
 ORACLE_SQL = {
+    "fd_matrix_lineitem": FD_MATRIX_LINEITEM,
+    "candidate_keys_orders": CANDIDATE_KEYS_ORDERS,
     "fd_single": FD_SINGLE,
     "fd_matrix": FD_MATRIX,
     "fd_declared_check": FD_DECLARED_CHECK,

@@ -94,7 +94,7 @@ _COUNTS = (
     ("silver", "DIM_EJECUTORA", "count(DISTINCT role) FROM conversations"),
     ("silver", "DIM_FORMULARIO_SISMEPRE", "count(DISTINCT conv_id) FROM conversations"),
     ("silver", "DIM_PREGUNTA_SISMEPRE", "count(*) FROM (SELECT DISTINCT conv_id, turn, role FROM conversations)"),
-    ("silver", "DIM_PREGUNTA_RENAMU", f"count(DISTINCT NOMBRE_CAMPO) FROM ({oracle.GOLD_SURVEY_DASHBOARD})"),
+    ("silver", "DIM_PREGUNTA_RENAMU", f"count(*) FROM (WITH {oracle._SURVEY} SELECT * FROM d_q)"),
     ("silver", "DIM_TIEMPO", _YEARS),
     ("silver", "DIM_UBIGEO", "count(*) FROM (SELECT DISTINCT n_regionkey, c_nationkey, c_custkey % 10 FROM customer JOIN nation ON c_nationkey = n_nationkey)"),
     ("silver", "FACT_FORMULARIO_SISMEPRE", f"count(*) FROM ({oracle.FACT_DEPENDENT_LOOKUP})"),

@@ -210,3 +210,36 @@ def test_false_row_bound_is_not_recorded(spark):
 
     df = spark.range(1000)
     assert not is_bounded(df, 10) and not is_bounded(df, 100) and is_bounded(df, 1000)
+
+
+def test_names_with_commas_stay_apart(spark):
+    from strata.operators.profiling import label
+
+    df = spark.createDataFrame([(i, i % 3, f"{i}", i % 3) for i in range(9)], ["a", "b", "a,b", "d"])
+    assert label(["a", "b"]) == "a,b" and label(["a,b"]) == "`a,b`"
+    found = {tuple(r) for r in partial_dependencies(df, ["a", "b", "a,b"]).collect()}
+    assert {("a,b", "d"), ("`a,b`", "d"), ("b", "d")} <= found
+    assert {"a,b", "`a,b`", "b"} <= set(normalize_2nf(df, ["a", "b", "a,b"]))
+
+
+def test_nested_maps_are_left_out(spark):
+    from strata.operators.profiling import unprofiled_columns
+
+    df = spark.sql("SELECT id, named_struct('m', map('k', id)) AS s, array(map('k', id)) AS a, named_struct('x', id) AS o FROM range(4)")
+    assert unprofiled_columns(df) == ["s", "a"]
+    assert {tuple(r) for r in fd_matrix(df).collect()} == {("id", "o"), ("o", "id")}
+    assert sorted(map(sorted, candidate_keys(df))) == [["id"], ["o"]]
+
+
+def test_few_witnesses_change_nothing(spark, monkeypatch):
+    """Whatever the witness rows are, dependencies and keys are those of all rows."""
+    from strata.operators import profiling as P
+
+    df = spark.sql("SELECT id AS a, id % 50 AS b, (id % 50) % 7 AS c, CAST(id % 50 AS STRING) AS d, IF(id = 499, 9, id % 5) AS e, timestamp_micros(id) AS t FROM range(500)")
+    results = []
+    for n in (1, 40, 20_000):
+        monkeypatch.setattr(P, "WITNESS_ROWS", n)
+        results.append((sorted(map(tuple, fd_matrix(df).collect())), sorted(map(sorted, candidate_keys(df))), sorted(map(tuple, partial_dependencies(df, ["a", "b"]).collect()))))
+    assert results[0] == results[1] == results[2]
+    brute = {(x, y) for x in df.columns for y in df.columns if x != y and df.select(x).distinct().count() == df.select(x, y).distinct().count()}
+    assert set(results[0][0]) == brute and results[0][1] == [["a"], ["t"]]
