@@ -111,7 +111,54 @@ QUERIES = {
 # Base 32 of a digest, five bits of its 160 at a time.
 _BITS = "concat(" + ", ".join(f"lpad(bin(('0x' || substr(sha1(coalesce(html, '')), {i}, 5))::BIGINT), 20, '0')" for i in range(1, 41, 5)) + ")"
 
+# crc32 of a decimal id: a byte is folded in, then eight shifts (-1 in the list).
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
+    flatten(list_transform(range(1, length(coalesce(doc_id::VARCHAR, '')) + 1), lambda i: list_concat([ord(substr(doc_id::VARCHAR, i, 1))::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT)"""
+
+
+def _leaf(text: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(concat(" + ", ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + "))"
+
+
+def _levels(name: str, base: str) -> str:
+    """Recursive CTE (t, level, idx, digest, n) of trees of eight from their leaves."""
+    return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT t, level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY t, level, idx // 8, n
+)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents
+), p AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM l
+), {_levels("g", "SELECT t, 0 AS level, idx, leaf AS digest, n FROM p")},
+r AS (SELECT t AS idx, level AS top, digest, count(*) OVER () AS n FROM g WHERE n = 1),
+{_levels("h", "SELECT -1::BIGINT AS t, 0 AS level, idx, digest, n FROM r")},
+s AS (
+  SELECT *, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS low,
+         coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS high
+  FROM (SELECT * FROM g UNION ALL SELECT * FROM h) WINDOW w AS (PARTITION BY t, level, idx // 8 ORDER BY idx)
+), c AS (
+  SELECT doc_id, leaf, p.t AS tree, p.t, 0 AS level, p.idx, '' AS proof, coalesce(changed, leaf) AS folded, row_number() OVER () AS row_id FROM p
+  UNION ALL
+  SELECT doc_id, leaf, tree, CASE WHEN s.n = 1 THEN -1 ELSE c.t END, CASE WHEN s.n = 1 THEN 0 ELSE c.level + 1 END, CASE WHEN s.n = 1 THEN c.tree ELSE c.idx // 8 END,
+         CASE WHEN s.n = 1 THEN proof ELSE proof || low || high END, CASE WHEN s.n = 1 THEN folded ELSE sha256(low || folded || high) END, row_id
+  FROM c JOIN s ON s.t = c.t AND s.level = c.level AND s.idx = c.idx WHERE s.n > 1 OR c.t >= 0
+), top AS (SELECT level, digest AS root FROM h WHERE n = 1)
+SELECT doc_id, leaf, r.digest AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM c JOIN top ON c.t = -1 AND c.level = top.level JOIN r ON r.idx = c.tree"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": _MERKLE,
     "op5_warc": f"""
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, {_BITS} AS bits, coalesce(html, '') AS payload FROM pages
