@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import safe_ratio
-from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, is_bounded, keep_row_bound
+from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, fits_broadcast, keep_row_bound
 
 SUM_TYPE = "decimal(38,2)"  # SUM(DECIMAL(18,2)) keeps the full precision of the source engine
 
@@ -69,7 +69,7 @@ def aggregate_dashboard(
     """
     group_cols = [o for j in joins for o, _ in j.columns]
     sums = [F.sum(m).cast(SUM_TYPE).alias(m) for m in measures]
-    if all(is_bounded(dims[j.dim], max_broadcast_rows) for j in joins):
+    if all(fits_broadcast(dims[j.dim], max_broadcast_rows) for j in joins):
         wide = denormalise(fact, dims, joins, keep=measures, max_broadcast_rows=max_broadcast_rows)
         return wide.groupBy(*group_cols).agg(*sums)
     ids = list(dict.fromkeys(j.fact_col for j in joins))

@@ -1,7 +1,8 @@
 """Join helpers: broadcast only behind a measured size bound.
 
-A dimension is broadcast when its row count, measured on the (already
-materialised, small) frame, is under ``max_rows``. Beyond the bound the join
+A dimension is broadcast when its rows and bytes, measured on the (already
+materialised, small) frame, are under ``max_rows`` and ``MAX_BROADCAST_BYTES``;
+free text is measured, not assumed to be short. Beyond a bound the join
 is left to the planner: a shuffled sort-merge join that AQE may still turn into
 a broadcast from run-time statistics, and whose hot keys AQE splits
 (``spark.sql.adaptive.skewJoin.enabled``).
@@ -10,17 +11,21 @@ a broadcast from run-time statistics, and whose hot keys AQE splits
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound on rows of a lookup side that is broadcast. A lookup side holds
-# only its key columns plus one id, so 2M rows stay well below the default
-# 8 GB broadcast limit and typical executor memory.
+# Upper bounds of a side that is broadcast: rows, and bytes of its values (a hash
+# relation takes about twice as much on the driver and on every executor).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+# Bytes counted for a fixed-size value and for a row's own overhead.
+_FIXED_BYTES, _ROW_BYTES = 8, 16
 
 
-_BOUND_ATTR = "_strata_row_bound"
+_BOUND_ATTR, _BYTES_ATTR = "_strata_row_bound", "_strata_text_bytes"
 
 
 def set_row_bound(df: DataFrame, rows: int) -> DataFrame:
@@ -64,14 +69,32 @@ def single_partition_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST
     return df
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is within both bounds. Its bytes are measured (one aggregation
+    over a frame whose rows are within the bound) if it has columns of no fixed size."""
+    if not is_bounded(df, max_rows):
+        return False
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    free = [f.name for f in df.schema.fields if not isinstance(f.dataType, fixed)]
+    size = row_bound(df) * (_ROW_BYTES + _FIXED_BYTES * len(df.columns))
+    if size > max_bytes or not free:
+        return size <= max_bytes
+    held = getattr(df, _BYTES_ATTR, None)
+    if held is None:
+        texts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("bigint") for c in free]
+        held = df.agg(F.sum(reduce(lambda x, y: x + y, texts))).first()[0] or 0
+        setattr(df, _BYTES_ATTR, held)
+    return size + held <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within both bounds, else ``df`` without a hint.
 
     Uses the recorded row bound when there is one; otherwise counts (at most
-    ``max_rows + 1`` rows), which is an action: call this on small,
+    ``max_rows + 1`` rows); text is measured. These are actions: call this on small,
     materialised frames (dimensions, lookup tables), never on a fact.
     """
-    if not is_bounded(df, max_rows):
+    if not fits_broadcast(df, max_rows, max_bytes):
         return df
     return keep_row_bound(F.broadcast(df), df)
 

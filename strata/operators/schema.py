@@ -128,8 +128,10 @@ _BINARY = (T.FloatType, T.DoubleType)
 
 
 def _wider_number(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The number type that holds the values of both; a decimal that would need
-    more than 38 digits becomes a double."""
+    """The type for values of both number types: the one that holds them exactly;
+    text for a bigint beside a binary fraction, as neither a double nor a decimal
+    holds every value of both. Only a decimal beside a binary fraction, or decimals
+    that would need more than 38 digits, become a double, which rounds."""
     if _rank(a) < 4 and _rank(b) < 4:
         return b if _rank(b) > _rank(a) else a
     if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
@@ -142,7 +144,9 @@ def _wider_number(a: T.DataType, b: T.DataType) -> T.DataType:
         return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
     if type(a) is type(b):
         return a
-    if T.DoubleType() in (a, b) or T.LongType() in (a, b) or T.IntegerType() in (a, b):
+    if T.LongType() in (a, b):
+        return T.StringType()
+    if T.DoubleType() in (a, b) or T.IntegerType() in (a, b):
         return T.DoubleType()  # a float has too few digits for an int
     return T.FloatType()
 

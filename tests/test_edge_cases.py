@@ -72,3 +72,14 @@ def test_csv_header_inference_and_sample(spark, tmp_dir):
 def test_string_agg_keeps_duplicates_sorted(spark):
     df = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "b"), ("g", None), ("h", "c")], "k string, v string")
     assert rows(string_agg(df, ["k"], "v", ",", alias="vs")) == [("g", "a,b,b"), ("h", "c")]
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    from strata.operators.joins import anti_join, bounded_broadcast, fits_broadcast
+
+    wide = spark.range(50).selectExpr("id AS k", "repeat('x', 1000) AS t")
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=10_000)
+    assert fits_broadcast(wide.select("k"), max_bytes=10_000) and not fits_broadcast(wide.select("k"), max_bytes=100)
+    joined = spark.range(9).withColumnRenamed("id", "k").join(bounded_broadcast(wide, max_bytes=10_000), "k")
+    assert "hint" not in joined._jdf.queryExecution().logical().toString().lower() and joined.count() == 9
+    assert anti_join(spark.range(60).withColumnRenamed("id", "k"), wide, ["k"]).count() == 10

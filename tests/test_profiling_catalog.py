@@ -243,3 +243,12 @@ def test_few_witnesses_change_nothing(spark, monkeypatch):
     assert results[0] == results[1] == results[2]
     brute = {(x, y) for x in df.columns for y in df.columns if x != y and df.select(x).distinct().count() == df.select(x, y).distinct().count()}
     assert set(results[0][0]) == brute and results[0][1] == [["a"], ["t"]]
+
+
+def test_manifest_from_any_storage(spark, tmp_dir):
+    from strata.sources.manifest import load_manifest
+
+    path = os.path.join(tmp_dir, "m.json")
+    with open(path, "w", encoding="utf-8") as fh:
+        json.dump({"datasets": [], "name": "é"}, fh, indent=1)
+    assert load_manifest(path) == load_manifest("file://" + path, spark) == {"datasets": [], "name": "é"}

@@ -38,6 +38,12 @@ def test_widen_is_order_independent_on_numbers():
             assert ab == ba
 
 
+def test_bigint_beside_double_keeps_every_digit(spark):
+    assert widen(T.LongType(), T.DoubleType()) == widen(T.DoubleType(), T.LongType()) == widen(T.FloatType(), T.LongType()) == T.StringType()
+    out = append_vintages([spark.createDataFrame([(2**53 + 1,)], "v bigint"), spark.createDataFrame([(0.5,)], "v double")])
+    assert rows(out) == [("0.5",), ("9007199254740993",)]
+
+
 def test_reconcile_adds_and_widens():
     stored = T.StructType([T.StructField("a", T.ShortType()), T.StructField("b", T.StringType())])
     new = T.StructType([T.StructField("b", T.LongType()), T.StructField("a", T.LongType()), T.StructField("c", T.DateType())])
