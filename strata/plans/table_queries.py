@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dims import load_dimension
+from strata.operators.profiles import RELATIVE_ERROR, record_profile
 from strata.operators.schema import shrink
 from strata.plans import forms, oracle, revenue
 from strata.plans.ingest_oracle import MULTI_VINTAGE_APPEND
@@ -78,7 +79,21 @@ def q_shrink_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(*(c for n in part.columns for c in (F.col(n).cast("bigint").alias(n), F.typeof(n).alias(f"{n}_type"))))
 
 
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders profiled in three yearly vintages and merged from the stored profiles,
+    beside the exact distinct counts of all rows: are they within four standard errors?"""
+    table = VersionedTable(spark, fresh_path(spark, "profiles"))
+    orders = read_table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    for load_id, part in (("v1", year < 1997), ("v2", year.between(1997, 1998)), ("v3", (year > 1998) | year.isNull())):
+        merged = record_profile(table, orders.where(part), load_id)
+    exact = orders.agg(*(F.count_distinct(c).alias(c) for c in orders.columns)).unpivot([], orders.columns, "column_name", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.col("exact") * (4 * RELATIVE_ERROR), F.lit(1.0))
+    return merged.join(exact, "column_name").select("column_name", "category", "n_rows", "n_nulls", "min_value", "max_value", "max_len", near.alias("distinct_near"))
+
+
 QUERIES = {
+    "profile_merged": q_profile_merged,
     "versioned_stage": q_versioned_stage,
     "versioned_stage_journal": q_versioned_stage_journal,
     "table_full_refresh": q_table_full_refresh,
@@ -111,7 +126,22 @@ FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON
 _FITTED = """(SELECT CASE WHEN max({0}) <= 32767 AND min({0}) >= -32768 THEN 'smallint'
   WHEN max({0}) <= 2147483647 AND min({0}) >= -2147483648 THEN 'int' ELSE 'bigint' END FROM part)"""
 
+_PROFILED = (
+    ("o_orderkey", "integer"), ("o_custkey", "integer"), ("o_orderstatus", "string"), ("o_totalprice", "float"), ("o_orderdate", "datetime"), ("o_orderpriority", "string"),
+)
+
+
+def _profile_row(column: str, kind: str) -> str:
+    bound = lambda f: f"CAST({f}({column}) AS BIGINT)" if kind == "integer" else "CAST(NULL AS BIGINT)"
+    length = f"CAST(max(length({column})) AS BIGINT)" if kind == "string" else "CAST(NULL AS BIGINT)"
+    return (
+        f"SELECT '{column}' AS column_name, '{kind}' AS category, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) - count({column}) AS BIGINT) AS n_nulls, "
+        f"{bound('min')} AS min_value, {bound('max')} AS max_value, {length} AS max_len, true AS distinct_near FROM orders"
+    )
+
+
 ORACLE_SQL = {
+    "profile_merged": " UNION ALL ".join(_profile_row(c, k) for c, k in _PROFILED),
     "versioned_stage": MULTI_VINTAGE_APPEND,
     "versioned_stage_journal": """
 SELECT CAST(0 AS BIGINT) AS version, 'append' AS operation, 'v1' AS load_id, count(*) FILTER (o_orderdate < DATE '1997-01-01') AS rows,
