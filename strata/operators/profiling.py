@@ -93,14 +93,17 @@ def holding(df: DataFrame, determinants: Sequence[Sequence[str]], targets: Mappi
         return []
     few = _witnesses(df, needed)
     place = {label(d): i for i, d in enumerate(dets)}
-    refuted = {(place[r["determinant"]], r["dependent"]) for r in constancy(few, dets, asked, nulls).where("n_violations > 0").collect()}
+    text = frozenset(f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType)))
+    # hashes that differ refute; hashes that agree prove nothing here
+    refuted = {(place[r["determinant"]], r["dependent"]) for r in _passes(few, dets, asked, nulls, text).where("n_violations > 0").collect()}
     left = {i: [y for y in ys if (i, y) not in refuted] for i, ys in asked.items()}
     left = {i: ys for i, ys in left.items() if ys}
     if not left:
         return []
     again = [dets[i] for i in left]
     whole = df.select(*(_name(c) for c in needed if any(c in dets[i] or c in ys for i, ys in left.items())))
-    held = constancy(whole, again, dict(enumerate(left.values())), nulls).where("n_violations = 0").collect()
+    # most of what survived holds, so values are compared at once
+    held = _passes(whole, again, dict(enumerate(left.values())), nulls).where("n_violations = 0").collect()
     return sorted((place[r["determinant"]], r["dependent"]) for r in held)
 
 
@@ -144,6 +147,15 @@ def constancy(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _passes(df: DataFrame, dets: list[list[str]], targets: Mapping[int, Sequence[str]], nulls: str, hashed: frozenset[str] = frozenset()) -> DataFrame:
+    """``_constancy_pass`` over at most MAX_SETS_PER_PASS determinants at a time."""
+    parts = []
+    for lo in range(0, len(dets), MAX_SETS_PER_PASS):
+        chunk = dets[lo : lo + MAX_SETS_PER_PASS]
+        parts.append(_constancy_pass(df, chunk, {i: targets.get(lo + i, []) for i in range(len(chunk))}, nulls, hashed))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _verified(df: DataFrame, dets: list[list[str]], targets: Mapping[int, Sequence[str]] | None, nulls: str, text: frozenset[str]) -> DataFrame:
     """One pass by hashes refutes; a text column that survives as constant is
     compared again by its values, on the surviving pairs' columns alone. The
@@ -176,6 +188,8 @@ def _constancy_pass(
     cols = _orderable(df)
     grouping_cols = list(dict.fromkeys(c for d in dets for c in d))
     tmap = {i: [c for c in (targets or {}).get(i, cols) if c not in d and c in cols] for i, d in enumerate(dets)}
+    if not any(tmap.values()):
+        return df.sparkSession.createDataFrame([], "determinant string, dependent string, n_groups bigint, n_violations bigint")
     ys = list(dict.fromkeys(c for t in tmap.values() for c in t))
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid")]
     for j, y in enumerate(ys):
