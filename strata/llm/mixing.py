@@ -6,10 +6,11 @@ other until one fraction is 0 or 1, in the direction drawn so that each keeps it
 expected number of copies. Mass is counted in words (fraction x size), so the
 words a source gives stay what was wanted until a single fraction is left.
 
-Within a bucket of at most BUCKET documents a fold over their array pairs each
-with the one still open. What stays open, one document a bucket, goes to the next
+Documents are dealt to buckets of BUCKET on average by a hash of id, size, text
+and their place among equal rows, so neither null nor repeated ids fill one bucket.
+Within a bucket a fold over its array pairs each document with the one still open. What stays open, one document a bucket, goes to the next
 level of the tree, BUCKET buckets to one, until one document a source is left; it
-is drawn by its fraction alone. All draws are hashes of the documents and a seed,
+is drawn by its fraction alone. All draws are hashes of these hashes and a seed,
 so a rerun takes the same copies.
 
 Everything here is DataFrame functions; only ids and sizes are shuffled.
@@ -17,6 +18,8 @@ Everything here is DataFrame functions; only ids and sizes are shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,24 +73,48 @@ def _uniform(*columns) -> Column:
     return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << 52) - 1))).cast("double") / F.lit(float(1 << 52))
 
 
-_UNIT = "struct<h:bigint,id:bigint,size:double,p:double,u:bigint>"
+_SAME = ["source", "id", "size", "th"]
+
+
+def _draw_keys(rows: DataFrame, seed: int) -> DataFrame:
+    """(u, source, size, h) of ``rows`` (source, id, size, th, u): h is a hash of
+    what a row holds and of its place among equal rows.
+
+    Places are counted by the task that wrote the row (the high bits of u), with
+    totals over the tasks before it, so a window holds one task's equal rows at
+    most. Equal rows are interchangeable: which of them has which place does not
+    matter, and the places taken are the same however rows are partitioned."""
+    rows = rows.select(*_SAME, "u", F.shiftright("u", 33).alias("task"))
+    inner = F.row_number().over(Window.partitionBy(*_SAME, "task").orderBy("u"))
+    earlier = Window.partitionBy(*_SAME).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = rows.groupBy(*_SAME, "task").agg(F.count("*").alias("n"))
+    before = store(tasks.withColumn("before", F.sum("n").over(earlier)).where("before > 0").drop("n"), "equal-rows")
+    keys = [*_SAME, "task"]
+    other = before.select(*(F.col(k).alias(f"_{k}") for k in keys), "before")
+    met = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    place = F.col("inner") + F.coalesce("before", F.lit(0))
+    placed = rows.withColumn("inner", inner).join(other, met, "left")
+    return placed.select("u", "source", "size", F.xxhash64(F.lit(seed), "id", "size", "th", place).alias("h"))
+
+
+_UNIT = "struct<h:bigint,size:double,p:double,u:bigint>"
 
 
 def _settle(units: DataFrame, seed: int, level: int) -> DataFrame:
     """One level of the tree: (source, group, done, open), the units that became
-    whole and the one left. A unit is (h: order, id, size, p: fraction, u: row)."""
+    whole and the one left. A unit is (h: order, size, p: fraction, u: row)."""
     none = F.array().cast(f"array<{_UNIT}>")
     start = F.struct(none.alias("done"), F.lit(None).cast(_UNIT).alias("open"))
 
     def with_p(unit, p):
-        return F.struct(unit["h"].alias("h"), unit["id"].alias("id"), unit["size"].alias("size"), p.alias("p"), unit["u"].alias("u"))
+        return F.struct(unit["h"].alias("h"), unit["size"].alias("size"), p.alias("p"), unit["u"].alias("u"))
 
     def pair(state, b):
         a = state["open"]
         ma, mb = a["p"] * a["size"], b["p"] * b["size"]  # masses in words
         ra, rb = a["size"] - ma, b["size"] - mb  # and what is missing to a whole
         up, down = F.least(ra, mb), F.least(ma, rb)  # what a could gain or lose
-        gains = _uniform(F.lit(seed), F.lit(level), a["id"], a["size"], b["id"], b["size"]) * (up + down) < down
+        gains = _uniform(F.lit(seed), F.lit(level), a["h"], b["h"]) * (up + down) < down
         # whoever reaches its bound gets it exactly
         pa = F.when(gains, F.when(ra <= mb, 1.0).otherwise((ma + mb) / a["size"])).otherwise(F.when(ma <= rb, 0.0).otherwise((ma - rb) / a["size"]))
         pb = F.when(gains, F.when(mb <= ra, 0.0).otherwise((mb - ra) / b["size"])).otherwise(F.when(rb <= ma, 1.0).otherwise((mb + ma) / b["size"]))
@@ -107,14 +134,13 @@ def _settle(units: DataFrame, seed: int, level: int) -> DataFrame:
 
 
 def _decisions(rows: DataFrame, seed: int) -> DataFrame:
-    """(u, extra): 1 or 0 for each row of ``rows`` (source, id, size, frac, u)."""
-    order = F.xxhash64(F.lit(seed), "id", "size")
+    """(u, extra): 1 or 0 for each row of ``rows`` (source, size, frac, h, u)."""
     buckets = F.ceil(F.count("*") / BUCKET)
     counts = store(rows.groupBy("source").agg(buckets.alias("n")), "buckets")
     level, n = 0, counts.agg(F.max("n")).first()[0] or 0
     keyed = few_rows(rows, counts, "source").select(
-        "source", F.pmod(order, F.col("n")).alias("group"),
-        F.struct(order.alias("h"), "id", F.col("size").cast("double").alias("size"), F.col("frac").alias("p"), "u").alias("unit"),
+        "source", F.pmod("h", F.col("n")).alias("group"),
+        F.struct("h", F.col("size").cast("double").alias("size"), F.col("frac").alias("p"), "u").alias("unit"),
     )
     out = None
     while True:
@@ -123,7 +149,7 @@ def _decisions(rows: DataFrame, seed: int) -> DataFrame:
         out = done if out is None else out.unionByName(done)
         left = settled.where(F.col("open").isNotNull())
         if n <= 1:
-            drawn = _uniform(F.lit(seed), F.lit("last"), F.col("open.id"), F.col("open.size")) < F.col("open.p")
+            drawn = _uniform(F.lit(seed), F.lit("last"), F.col("open.h")) < F.col("open.p")
             return out.unionByName(left.select("open.u", drawn.cast("int").alias("extra")))
         level, n = level + 1, -(-n // BUCKET)
         keyed = left.select("source", F.floor(F.col("group") / BUCKET).alias("group"), F.col("open").alias("unit"))
@@ -143,7 +169,8 @@ def mixing_copies(docs: DataFrame, columns: list[str], seed: int = 7) -> DataFra
 
     Null texts have size 0; a null source is a source of its own, the last. Rows
     of size 0 are wanted like their source's others, rounded by hash alone, as they
-    weigh nothing. Repeated rows are rounded one by one, null ids like any other.
+    weigh nothing. Repeated rows are rounded one by one, null ids like any other; a
+    third of all rows may be equal or have null ids.
     An empty table gives an empty result. A rerun takes the same copies."""
     return _mixed(docs, columns, seed).toDF(*columns, "size", "source_size", "target", "copies")
 
@@ -156,15 +183,18 @@ def _mixed(docs: DataFrame, columns: list[str], seed: int, doc_id: str = "doc_id
         docs.select(
             *(F.col(c).alias(n) for c, n in zip(columns, names)),
             F.col(source).cast("string").alias("source"), F.col(doc_id).cast("long").alias("id"), words(F.col(text)).alias("size"),
+            F.xxhash64(F.col(text)).alias("th"),
         ).withColumn("u", F.monotonically_increasing_id()), "sizes",
     )
     targets = store(source_targets(sized), "targets")
-    wanted = few_rows(sized, targets, "source").withColumn("rate", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
-    wanted = wanted.withColumn("sure", F.floor("rate")).withColumn("frac", F.col("rate") - F.floor("rate"))
-    pairing = (F.col("frac") > 0) & (F.col("size") > 0)
-    extra = _decisions(wanted.where(pairing).select("source", "id", "size", "frac", "u"), seed)
-    alone = (_uniform(F.lit(seed), F.lit("empty"), F.col("id")) < F.col("frac")).cast("int")
-    out = wanted.join(extra, "u", "left").withColumn("copies", (F.col("sure") + F.when(pairing, F.col("extra")).otherwise(alone)).cast("int"))
+    rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    narrow = few_rows(_draw_keys(sized, seed), targets, "source").withColumn("frac", rate - F.floor(rate))
+    drawn = store(narrow.where("frac > 0").select("u", "source", "size", "frac", "h"), "draw-keys")
+    # rows without words weigh nothing and are drawn alone
+    alone = drawn.where("size = 0").select("u", (_uniform(F.lit(seed), F.lit("empty"), F.col("h")) < F.col("frac")).cast("int").alias("extra"))
+    extra = _decisions(drawn.where("size > 0"), seed).unionByName(alone)
+    copies = (F.floor(rate) + F.coalesce("extra", F.lit(0))).cast("int")
+    out = few_rows(sized, targets, "source").join(extra, "u", "left").withColumn("copies", copies)
     return out.select(*names, "size", "source_size", "target", "copies")
 
 

@@ -118,13 +118,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
     measured = sample.withColumn("building", building).withColumn("th", F.xxhash64("text")).withColumn("n", F.least(F.octet_length("text"), most))
     first = F.struct(F.col("n") == 0, F.col("th"))
     lengths = measured.groupBy("label", "building", "h", "doc_id").agg(F.min_by("th", first).alias("th"), F.min_by("n", first).alias("n")).toPandas()
+    hashes = lengths.set_index("doc_id")["th"]
     lengths = lengths[lengths["n"] > 0]
     chosen = []
     for value in (0, 1):
         own = lengths[lengths["label"] == value]
         # a class without text in its half takes the texts that calibrate
         chosen += _fitting(own[own["building"]] if own["building"].any() else own)
-    hashes = lengths.set_index("doc_id")["th"]
     ids = docs.sparkSession.createDataFrame([(i, int(hashes[i])) for i in chosen], "doc_id long, th long")
     given = sample.withColumn("th", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "th"])
     texts = given.select("label", "h", "doc_id", _pieces(F.col("text"), F.col("h")).alias("pieces")).dropDuplicates(["doc_id"]).toPandas().sort_values(["h", "doc_id"])
@@ -134,10 +134,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> d
     def measure(batches):
         good, bad = _compressor(shared.value[1]), _compressor(shared.value[0])
         for batch in batches:
-            x = _features(good, bad, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
-
-    rows = sample.where(~building).select(F.col("label").cast("long").alias("label"), "text").mapInArrow(measure, "label long, x array<double>").toPandas()
+            x = _features(good, bad, batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "doc_id", "x"])
+
+    # a repeated id calibrates by the one text chosen for it: rows are bounded like ids
+    calibrating = docs.sparkSession.createDataFrame([(int(i), int(hashes[i])) for i in hashes.index], "doc_id long, th long")
+    one = sample.where(~building).withColumn("th", F.xxhash64("text")).join(F.broadcast(calibrating), ["doc_id", "th"])
+    features = one.select(F.col("label").cast("long").alias("label"), "doc_id", "text").mapInArrow(measure, "label long, doc_id long, x array<double>")
+    rows = features.groupBy("label", "doc_id").agg(F.first("x").alias("x")).toPandas().sort_values(["label", "doc_id"])
     if rows["label"].nunique() < 2:
         return {"constant": totals[1] / (totals[0] + totals[1])}
     y = rows["label"].to_numpy(np.float64)

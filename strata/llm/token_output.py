@@ -108,10 +108,11 @@ class Segment:
 
 def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every whole text, append ``end_id`` to each, and write the ids under
-    ``path`` in ascending doc_id order (null ids first, equal ids by text).
+    ``path`` in ascending doc_id order (null ids first, equal ids by a hash of their text).
     Null texts count as empty; other columns are not read; an empty table writes
-    no segment. The rows are range-partitioned on doc_id before encoding, so each
-    text moves once and each task writes its own files."""
+    no segment. The rows are range-partitioned on doc_id and that hash before encoding, so each
+    text moves once, each task writes its own files, and rows of one id (or of none) are
+    split over tasks, all but those of one text."""
     prepare(docs.sparkSession)
 
     def run(batches):
@@ -155,8 +156,10 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
 
     (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("th", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "th")
+        .sortWithinPartitions("doc_id", "th")
+        .select("doc_id", "text")
         .mapInArrow(run, "segment binary")
         .select(F.col("segment").cast("string").alias("value"))
         .write.option("lineSep", "\x00").option("maxRecordsPerFile", 1).text(path)

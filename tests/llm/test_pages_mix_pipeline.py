@@ -3,14 +3,17 @@
 import base64
 import gzip
 import hashlib
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import warc
+from strata.llm import mixing, warc
 from strata.llm.common import new_path, prepare, store, table
 from strata.llm.mixing import WEIGHTS, mixing_copies, mixture, source_targets
 from strata.llm.toxicity import toxicity_scores
@@ -122,6 +125,82 @@ def test_mix_meets_its_targets_and_reruns_agree(spark):
     assert mixture(df.limit(0)).count() == 0
 
 
+def test_null_ids_and_equal_rows_fill_no_bucket(spark):
+    prepare(spark)
+    rows = [(i, "a b c", "s") for i in range(1000)] + [(None, "a b c", "s")] * 1000 + [(None, f"w{i} b c", "s") for i in range(500)] + [(7, "", "s")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def keys(n):
+        sized = df.repartition(n).select("source", F.col("doc_id").alias("id"), mixing.words(F.col("text")).alias("size"), F.xxhash64("text").alias("th"))
+        return [r["h"] for r in mixing._draw_keys(store(sized.withColumn("u", F.monotonically_increasing_id()), "t"), 7).collect()]
+
+    one, other = keys(1), keys(5)
+    assert len(set(one)) == len(rows) and sorted(one) == sorted(other)
+    assert max(Counter(h % 40 for h in one).values()) <= 130
+    outcomes = [Counter(map(tuple, mixing_copies(df.repartition(n), ["doc_id", "text"]).collect())) for n in (2, 6)]
+    assert outcomes[0] == outcomes[1] and sum(outcomes[0].values()) == len(rows)
+    empty = sum(n * r[-1] for r, n in outcomes[0].items() if r[1] == "")
+    assert 500 < empty < 1000  # equal rows without words are drawn one by one
+
+
+def _spark_hash(*parts):
+    seed = 42
+    for kind, value in parts:
+        seed = xxhash.xxh64_intdigest(struct.pack("<" + kind, value), seed)
+    return (seed & ((1 << 52) - 1)) / (1 << 52)
+
+
+def _rounded(units, seed):
+    """Pivotal rounding in word mass of units (h, size, p, u), one after the other."""
+    out, level = {}, 0
+    n = -(-len(units) // mixing.BUCKET)
+    groups = {}
+    for unit in units:
+        groups.setdefault(unit[0] % n, []).append(unit)
+    while True:
+        left = {}
+        for g, members in groups.items():
+            a = None
+            for b in sorted(members):
+                if a is None:
+                    a = b
+                    continue
+                (ha, sa, pa, ua), (hb, sb, pb, ub) = a, b
+                ma, mb = pa * sa, pb * sb
+                up, down = min(sa - ma, mb), min(ma, sb - mb)
+                if _spark_hash(("i", seed), ("i", level), ("q", ha), ("q", hb)) * (up + down) < down:
+                    pa, pb = (1.0 if sa - ma <= mb else (ma + mb) / sa), (0.0 if mb <= sa - ma else (mb - (sa - ma)) / sb)
+                else:
+                    pa, pb = (0.0 if ma <= sb - mb else (ma - (sb - mb)) / sa), (1.0 if sb - mb <= ma else (mb + ma) / sb)
+                still = []
+                for unit in ((ha, sa, pa, ua), (hb, sb, pb, ub)):
+                    if 1e-12 < unit[2] < 1 - 1e-12:
+                        still.append(unit)
+                    else:
+                        out[unit[3]] = round(unit[2])
+                a = still[0] if still else None
+            if a is not None:
+                left[g] = a
+        if n <= 1:
+            return out | {unit[3]: None for unit in left.values()}  # left to a draw
+        level, n, groups = level + 1, -(-n // mixing.BUCKET), {}
+        for g, unit in left.items():
+            groups.setdefault(g // mixing.BUCKET, []).append(unit)
+
+
+def test_rounding_equals_brute_force(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(mixing, "BUCKET", 8)  # several levels
+    rng = np.random.default_rng(2)
+    units = [(int(rng.integers(-(2**63), 2**63)), float(rng.integers(1, 40)), float(rng.uniform(0.05, 0.95)), u) for u in range(300)]
+    rows = spark.createDataFrame([("s", s, p, h, u) for h, s, p, u in units], "source string, size double, frac double, h long, u long")
+    got = {r["u"]: r["extra"] for r in mixing._decisions(rows, 7).collect()}
+    want = _rounded(units, 7)
+    last = [u for u, extra in want.items() if extra is None]
+    assert len(got) == len(units) == len(want) and len(last) <= 1
+    assert {u: e for u, e in got.items() if u not in last} == {u: e for u, e in want.items() if u not in last}
+
+
 def test_copies_keep_their_expectation(spark):
     prepare(spark)
     df = spark.createDataFrame([(i, "w " * (i % 7 + 1), "a" if i % 2 else "b") for i in range(300)], "doc_id long, text string, source string")

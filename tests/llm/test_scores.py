@@ -77,6 +77,19 @@ def test_one_long_text_leaves_the_dictionary_to_the_others(spark, tables, monkey
     assert [sorted(t for t in texts if t not in given) for texts in seen] == plain
 
 
+def test_a_repeated_id_calibrates_once(spark, tables, monkeypatch):
+    docs, labels = tables
+    counts = []
+    monkeypatch.setattr(quality, "fit_logistic", lambda x, y, w, made=quality.fit_logistic: counts.append(len(y)) or made(x, y, w))
+    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
+    known = docs.join(labels, "doc_id").where(~half & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0))
+    one = known.select(*docs.columns).orderBy("doc_id").limit(1)
+    more = docs.unionByName(one.select(*docs.columns).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("n"))
+    plain, repeated = quality.fit_quality(docs, labels), quality.fit_quality(more, labels)
+    assert counts[0] == counts[1] < 2000
+    assert plain["dictionaries"] == repeated["dictionaries"]
+
+
 def test_blocks_come_from_all_over_a_long_text(spark):
     text = "".join(chr(0x61 + k // 10_000) for k in range(260_000))
     pieces = spark.createDataFrame([(text, 5), ("short é", 5), ("", 5)], "t string, h long").select(quality._pieces(F.col("t"), F.col("h"))).collect()
