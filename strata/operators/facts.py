@@ -4,7 +4,8 @@ A fact row is the bronze row with each natural key replaced by the lowest
 surrogate id of its dimension (``lookup_table``); a row that misses any
 dimension is dropped (inner join). Lookup sides are small and broadcast behind
 a row-count bound, so the whole chain of lookups runs in the scan stage of the
-fact without a shuffle; a lookup over the bound falls back to a shuffled join.
+fact without a shuffle; a lookup over the bound is split: frequent keys are
+broadcast, the rest shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import LOOKUP_KEY_CHARS, to_text_truncated
-from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, keep_row_bound, single_partition_if_bounded
+from strata.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, fits_broadcast, keep_row_bound, single_partition_if_bounded, split_join
+from strata.session import materialize
 
 
 @dataclass(frozen=True)
@@ -87,12 +89,12 @@ def resolve_lookups(
             side = keep_row_bound(small.groupBy(*dim_keys).agg(F.min(lk.dim_id).alias(lk.out)), dim)
         else:
             side = keep_row_bound(dim.select(*dim_keys, F.col(lk.dim_id).alias(lk.out)), dim)
-        side = bounded_broadcast(side, max_broadcast_rows)
-        cond = reduce(
-            lambda a, b: a & b,
-            [_key(F.expr(e), n) == side[a] for e, n, a in zip(lk.fact_keys, cuts, names)],
-        )
-        cur = cur.join(side, cond, "inner")
+        fact_keys = [_key(F.expr(e), n) for e, n in zip(lk.fact_keys, cuts)]
+        if fits_broadcast(side, max_broadcast_rows):
+            side = bounded_broadcast(side, max_broadcast_rows)
+            cur = cur.join(side, reduce(lambda a, b: a & b, [k == side[a] for k, a in zip(fact_keys, names)]), "inner")
+        else:  # stored, so that lookups after it do not run both of its ways again
+            cur = materialize(split_join(cur, materialize(side, lk.dim), fact_keys, names).drop(*names), f"lookup_{lk.dim}")
         helpers += names
     return cur.drop(*helpers)
 

@@ -2,10 +2,10 @@
 
 A dimension is broadcast when its rows and bytes, measured on the (already
 materialised, small) frame, are under ``max_rows`` and ``MAX_BROADCAST_BYTES``;
-free text is measured, not assumed to be short. Beyond a bound the join
-is left to the planner: a shuffled sort-merge join that AQE may still turn into
-a broadcast from run-time statistics, and whose hot keys AQE splits
-(``spark.sql.adaptive.skewJoin.enabled``).
+free text is measured, not assumed to be short. Beyond a bound a lookup is split
+(``split_join``): rows of frequent keys meet a broadcast of those keys' rows, the
+others a shuffled join. An anti join beyond it first asks a bitmap of hashed keys
+which rows are certainly new; only the others are shuffled.
 """
 
 from __future__ import annotations
@@ -13,18 +13,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import cut_lineage
+
 # Upper bounds of a side that is broadcast: rows, and bytes of its values (a hash
 # relation takes about twice as much on the driver and on every executor).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 << 20
+# A key is frequent from this share of the sampled rows, so at most 1000 keys are.
+FREQUENT_SHARE, SAMPLE_SHARE = 0.001, 0.01
+# Bits of a key bitmap for each existing key, and the most that are broadcast (64 MB).
+BITS_PER_KEY, MAX_BITMAP_BITS = 16, 1 << 29
 # Bytes counted for a fixed-size value and for a row's own overhead.
 _FIXED_BYTES, _ROW_BYTES = 8, 16
 
 
+# Types whose equal values have equal hashes (not so: collated text, -0.0).
+_EXACT = (T.IntegralType, T.DecimalType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 _BOUND_ATTR, _BYTES_ATTR = "_strata_row_bound", "_strata_text_bytes"
 
 
@@ -99,6 +108,65 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     return keep_row_bound(F.broadcast(df), df)
 
 
+def _all(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def split_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[Column],
+    right_keys: Sequence[str],
+    share: float = FREQUENT_SHARE,
+    sample: float = SAMPLE_SHARE,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Inner equi-join of ``left`` with a ``right`` too large to broadcast.
+
+    Keys that hold at least ``share`` of a sample of ``left`` are frequent: their
+    rows of ``right`` are broadcast, if within the bounds, and their rows of ``left``
+    are never shuffled, so no task gets a whole hot key. All other rows are joined by
+    a shuffle. The sample only decides which way a row goes, the result is that of
+    the plain join. NULL keys meet nothing. ``left`` is read twice more (sample and
+    second way). The names ``right_keys`` must not occur in ``left``.
+    """
+    cond = _all(k == right[n] for k, n in zip(left_keys, right_keys))
+    names = [f"__hot{i}" for i in range(len(right_keys))]
+    keyed = left.sample(fraction=sample, seed=1) if sample < 1 else left
+    keyed = keyed.select(*(k.alias(n) for k, n in zip(left_keys, names))).dropna()
+    counts = cut_lineage(keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")))
+    least = max(2, share * (counts.agg(F.sum("__n")).first()[0] or 0))
+    hot = counts.where(F.col("__n") >= least).select(*names)
+    few = right.join(F.broadcast(hot), _all(right[k] == F.col(n) for k, n in zip(right_keys, names)), "left_semi")
+    if hot.isEmpty() or not fits_broadcast(few, max_rows, max_bytes):
+        return left.join(right, cond, "inner")
+    by_broadcast = left.join(F.broadcast(few), _all(k == few[n] for k, n in zip(left_keys, right_keys)), "inner")
+    rest = left.join(F.broadcast(hot), _all(k == F.col(n) for k, n in zip(left_keys, names)), "left_anti")
+    return by_broadcast.unionByName(rest.join(right, cond, "inner"))
+
+
+def key_bitmap(rows: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
+    """(bucket, bitmap): the bits that the hashed keys of ``rows`` set, of ``bits``;
+    at most bits / 32768 + 1 rows of 4 KB. Rows with a NULL key part set none."""
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    present = rows.select(*keys).dropna().select(at.alias("at"))
+    return present.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+
+
+def may_exist(rows: DataFrame, bitmaps: DataFrame, keys: Sequence[str], bits: int, flag: str) -> DataFrame:
+    """``rows`` with ``flag``: false if the key is certainly not among those of
+    ``bitmaps``. A NULL key part equals nothing: false."""
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    side = F.broadcast(bitmaps.select(F.col("bucket").alias("__bucket"), F.col("bitmap").alias("__bitmap")))
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, F.pmod(position, F.lit(8)).cast("int")) == 1
+    known = _all(F.col(k).isNotNull() for k in keys)
+    joined = rows.join(side, F.bitmap_bucket_number(at) == F.col("__bucket"), "left")
+    return joined.withColumn(flag, F.coalesce(known & is_set, F.lit(False))).drop("__bucket", "__bitmap")
+
+
 def anti_join(
     new_rows: DataFrame,
     existing: DataFrame,
@@ -108,7 +176,24 @@ def anti_join(
     """Rows of ``new_rows`` whose key has no equal in ``existing`` (``NOT EXISTS``).
 
     A NULL key part never compares equal, so such rows are always kept, as in
-    the correlated ``NOT EXISTS`` this replaces.
+    the correlated ``NOT EXISTS`` this replaces. If the existing keys are too many to
+    broadcast, a bitmap of their hashes shows which rows are certainly new; only the
+    others are joined, by a shuffle. The key columns must have equal types on both
+    sides there, else all rows are joined.
     """
+    keys = list(keys)
     right = keep_row_bound(single_partition_if_bounded(existing, max_rows).select(*keys).distinct(), existing)
-    return new_rows.join(bounded_broadcast(right, max_rows), on=list(keys), how="left_anti")
+    if fits_broadcast(right, max_rows):
+        return new_rows.join(bounded_broadcast(right, max_rows), on=keys, how="left_anti")
+    bound = row_bound(existing)
+    bits = 1 << 20
+    wanted = BITS_PER_KEY * (existing.count() if bound is None else bound)
+    while bits < min(wanted, MAX_BITMAP_BITS):
+        bits *= 2
+    hashed_alike = all(new_rows.schema[k].dataType == existing.schema[k].dataType and isinstance(new_rows.schema[k].dataType, _EXACT) for k in keys)
+    if not hashed_alike:
+        return new_rows.join(right, on=keys, how="left_anti")
+    bitmaps = cut_lineage(key_bitmap(existing, keys, bits))
+    flagged = cut_lineage(may_exist(new_rows, bitmaps, keys, bits, "__may_exist"))
+    rest = flagged.where("__may_exist").join(right, on=keys, how="left_anti").select(*new_rows.columns)
+    return flagged.where("NOT __may_exist").select(*new_rows.columns).unionByName(rest)

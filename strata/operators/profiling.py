@@ -291,7 +291,8 @@ def declared_fd_violations(
             back = keyed.join(few, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]))
             if nulls == NULLS_IGNORED:
                 back = back.where("__y is not null")
-            rank, row = F.struct("__y"), json(df.columns)  # NULL is the smallest
+            row = json(df.columns)
+            rank = F.struct(F.col("__y"), row)  # NULL is the smallest; ties by the row
             out = out.unionByName(
                 back.groupBy(*keys).agg(F.first(json(d)).alias("key"), F.first("__n").alias("n_rows"), F.array(F.min_by(row, rank), F.max_by(row, rank)).alias("samples"))
                 .select(F.lit(label(d)).alias("determinant"), F.lit(y).alias("dependent"), "key", "n_rows", "samples")

@@ -11,6 +11,7 @@ from strata.operators.profiling import (
     NULLS_IGNORED,
     candidate_keys_frame,
     declared_fd_check,
+    declared_fd_violations,
     fd_matrix,
     functional_dependencies,
     normalize_2nf,
@@ -49,6 +50,17 @@ def q_fd_declared_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declared_fd_check(read_table(spark, sf_dir, "part"), DECLARED)
 
 
+SHOWN = ["p_partkey", "p_brand", "p_type", "p_size"]
+
+
+def q_fd_declared_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first violating groups of each violated dependency, with the two rows of
+    each that are furthest apart."""
+    declared = [(det, [y for y in deps if y in SHOWN]) for det, deps in DECLARED]
+    shown = declared_fd_violations(read_table(spark, sf_dir, "part").select(*SHOWN), declared)
+    return shown.select("determinant", "dependent", "key", "n_rows", F.col("samples")[0].alias("lowest"), F.col("samples")[1].alias("highest"))
+
+
 def _part_supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_partkey, l_suppkey) with sum(l_quantity), joined to part and supplier."""
     li =read_table(spark, sf_dir, "lineitem")
@@ -97,6 +109,7 @@ QUERIES = {
     "fd_single": q_fd_single,
     "fd_matrix": q_fd_matrix,
     "fd_declared_check": q_fd_declared_check,
+    "fd_declared_violations": q_fd_declared_violations,
     "partial_dependencies": q_partial_dependencies,
     "normalize_2nf_part": q_normalize_2nf_part,
     "normalize_2nf_supplier": q_normalize_2nf_supplier,
@@ -150,6 +163,26 @@ def _declared_sql() -> str:
 
 FD_DECLARED_CHECK = _declared_sql()
 
+
+def _json_sql(columns: list[str]) -> str:
+    quoted = lambda c: f"coalesce('\"' || {c} || '\"', 'null')" if c in ("p_brand", "p_type") else f"coalesce(CAST({c} AS VARCHAR), 'null')"
+    return "'{' || " + " || ',' || ".join(f"'\"{c}\":' || {quoted(c)}" for c in columns) + " || '}'"
+
+
+def _violations_sql() -> str:
+    parts = []
+    for det, deps in DECLARED:
+        for y in deps:
+            if y not in SHOWN:
+                continue
+            ordered = f"list({_json_sql(SHOWN)} ORDER BY {y} NULLS FIRST, {_json_sql(SHOWN)})"
+            parts.append(
+                f"SELECT * FROM (SELECT '{det}' AS determinant, '{y}' AS dependent, {_json_sql([det])} AS key, CAST(count(*) AS BIGINT) AS n_rows, "
+                f"{ordered}[1] AS lowest, {ordered}[-1] AS highest FROM part GROUP BY {det} "
+                f"HAVING min({y}) <> max({y}) OR (count({y}) > 0 AND count({y}) < count(*)) ORDER BY {det} NULLS FIRST LIMIT 3)"
+            )
+    return "\nUNION ALL ".join(parts)
+
 PART_SUPPLIER = """
 ps AS (
   SELECT x.l_partkey, x.l_suppkey, x.sum_qty, p.p_name, p.p_brand, p.p_type, p.p_size, p.p_retailprice,
@@ -214,6 +247,7 @@ ORACLE_SQL = {
     "fd_single": FD_SINGLE,
     "fd_matrix": FD_MATRIX,
     "fd_declared_check": FD_DECLARED_CHECK,
+    "fd_declared_violations": _violations_sql(),
     "partial_dependencies": PARTIAL_DEPENDENCIES,
     "normalize_2nf_part": NORMALIZE_2NF_PART,
     "normalize_2nf_supplier": NORMALIZE_2NF_SUPPLIER,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dims import load_dimension
+from strata.operators.facts import Lookup, resolve_lookups
+from strata.operators.joins import anti_join
 from strata.operators.profiles import RELATIVE_ERROR, record_profile
 from strata.operators.schema import shrink
 from strata.plans import forms, oracle, revenue
@@ -92,7 +94,29 @@ def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.join(exact, "column_name").select("column_name", "category", "n_rows", "n_nulls", "min_value", "max_value", "max_len", near.alias("distinct_near"))
 
 
+def q_lookup_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events looked up in two dimensions that count as too large to broadcast: rows
+    of frequent keys meet a broadcast of those keys, the rest are shuffled."""
+    events = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    dims = {"customer": read_table(spark, sf_dir, "customer"), "kind": read_table(spark, sf_dir, "events").select("event_type", "event_id")}
+    lookups = [
+        Lookup("customer", "c_nationkey", ("c_custkey",), ("user_id",)),
+        Lookup("kind", "event_id", ("event_type",), ("event_type",), as_col="first_event"),
+    ]
+    return resolve_lookups(events, dims, lookups, max_broadcast_rows=0).select("event_id", "user_id", "value", "c_nationkey", "first_event")
+
+
+def q_anti_join_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers that are not in a dimension that counts as too large to
+    broadcast: a bitmap of its hashed keys tells which are certainly new."""
+    known = read_table(spark, sf_dir, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("o_custkey"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return anti_join(orders, known, ["o_custkey"], max_rows=0)
+
+
 QUERIES = {
+    "lookup_split": q_lookup_split,
+    "anti_join_bitmap": q_anti_join_bitmap,
     "profile_merged": q_profile_merged,
     "versioned_stage": q_versioned_stage,
     "versioned_stage_journal": q_versioned_stage_journal,
@@ -141,6 +165,12 @@ def _profile_row(column: str, kind: str) -> str:
 
 
 ORACLE_SQL = {
+    "lookup_split": """
+SELECT e.event_id, e.user_id, e.value, c.c_nationkey, t.first_event FROM events e JOIN customer c ON c.c_custkey = e.user_id
+JOIN (SELECT event_type, min(event_id) AS first_event FROM events GROUP BY event_type) t ON t.event_type = e.event_type""",
+    "anti_join_bitmap": """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal > 5000 AND c_custkey = o_custkey)""",
     "profile_merged": " UNION ALL ".join(_profile_row(c, k) for c, k in _PROFILED),
     "versioned_stage": MULTI_VINTAGE_APPEND,
     "versioned_stage_journal": """
