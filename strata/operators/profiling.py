@@ -100,11 +100,23 @@ def holding(df: DataFrame, determinants: Sequence[Sequence[str]], targets: Mappi
     left = {i: ys for i, ys in left.items() if ys}
     if not left:
         return []
-    again = [dets[i] for i in left]
-    whole = df.select(*(_name(c) for c in needed if any(c in dets[i] or c in ys for i, ys in left.items())))
-    # most of what survived holds, so values are compared at once
-    held = _passes(whole, again, dict(enumerate(left.values())), nulls).where("n_violations = 0").collect()
-    return sorted((place[r["determinant"]], r["dependent"]) for r in held)
+    return sorted((i, y) for i, ys in left.items() for y in _held(df, dets[i], ys, nulls))
+
+
+def _held(df: DataFrame, det: list[str], ys: list[str], nulls: str) -> list[str]:
+    """The columns of ``ys`` that ``det`` determines, compared by value over all rows.
+
+    Most of them hold, so the distinct rows of these columns, a hash aggregation that
+    combines map-side, are about as many as the groups. One row a group proves them
+    all; else the distinct rows are compared column by column."""
+    kept = df.select(*map(_name, det), *map(_name, ys))
+    if nulls == NULLS_IGNORED:
+        kept = kept.where(reduce(lambda a, b: a & b, [_name(c).isNotNull() for c in det]))
+    distinct = kept.distinct()
+    most = distinct.groupBy(*map(_name, det)).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    if (most or 0) <= 1:
+        return ys
+    return [r["dependent"] for r in _passes(distinct, [det], {0: ys}, nulls).where("n_violations = 0").collect()]
 
 
 def _text(s: str) -> str:

@@ -61,9 +61,15 @@ def q_fd_declared_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("determinant", "dependent", "key", "n_rows", F.col("samples")[0].alias("lowest"), F.col("samples")[1].alias("highest"))
 
 
+ROWS_PER_TASK = 1_000_000
+
+
 def _part_supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_partkey, l_suppkey) with sum(l_quantity), joined to part and supplier."""
-    li =read_table(spark, sf_dir, "lineitem")
+    """(l_partkey, l_suppkey) with sum(l_quantity), joined to part and supplier. The
+    rows are dealt by key to tasks of about ROWS_PER_TASK, as most keys occur once."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // ROWS_PER_TASK))
+    li = li.repartition(tasks, "l_partkey", "l_suppkey")
     pairs = li.groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").alias("sum_qty"))
     part = read_table(spark, sf_dir, "part")
     supp = read_table(spark, sf_dir, "supplier")

@@ -14,7 +14,7 @@ from strata.operators.profiling import (
 )
 from strata.sources.catalog import available_titles, discover_links, first_matching_link, select_resources
 from strata.sources.manifest import build_entries, ingest
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 
 def _fd_frame(spark):
@@ -252,3 +252,25 @@ def test_manifest_from_any_storage(spark, tmp_dir):
     with open(path, "w", encoding="utf-8") as fh:
         json.dump({"datasets": [], "name": "é"}, fh, indent=1)
     assert load_manifest(path) == load_manifest("file://" + path, spark) == {"datasets": [], "name": "é"}
+
+
+def test_dependencies_are_compared_over_distinct_rows(spark, monkeypatch):
+    from strata.operators import profiling as P
+
+    data = [(k % 5, f"n{k % 5}", None if k == 7 else "x", k) for k in range(100)] + [(None, f"m{k}", "x", k) for k in range(3)]
+    df = spark.createDataFrame(data, "k int, name string, gap string, n int")
+    seen = []
+    passes = P._passes
+    monkeypatch.setattr(P, "_witnesses", lambda d, c: d.limit(1))
+    monkeypatch.setattr(P, "_passes", lambda d, *a: seen.append(d.count()) or passes(d, *a))
+    assert P.holding(df.select("k", "name", "gap"), [["k"]], nulls=P.NULLS_IGNORED) == [(0, "gap"), (0, "name")]
+    assert P.holding(df.select("k", "name", "gap"), [["k"]], nulls=P.NULLS_AS_VALUE) == []
+    assert max(seen) <= 9  # never the whole table
+
+
+def test_part_supplier_lines_are_dealt_by_rows(spark, monkeypatch):
+    from strata.plans import profiling_queries as Q
+
+    monkeypatch.setattr(Q, "ROWS_PER_TASK", 100)
+    lines = Q._part_supplier_lines(spark, SF_SMALL)
+    assert "REPARTITION_BY_NUM" in lines._jdf.queryExecution().executedPlan().toString()
