@@ -23,12 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.joins import _EXACT
 from strata.session import materialize
 
 MAX_SETS_PER_PASS = 32
 # Rows that refute dependencies and keys before whole tables are grouped. They only
 # spare work: whatever they do not refute is checked on all rows.
 WITNESS_ROWS = 20_000
+# One of so many groups is looked at first for rows that agree on a combination.
+PART_OF_GROUPS = 32
+HASHES_PER_TASK = 2_000_000
 
 NULLS_AS_VALUE = "value"  # a NULL is one more value (columnar-frame semantics)
 NULLS_IGNORED = "ignore"  # NULL keys dropped, NULL values not counted (pandas semantics)
@@ -355,24 +359,72 @@ def normalize_2nf(df: DataFrame, primary_key: Sequence[str], nulls: str = NULLS_
 
 
 def column_cardinalities(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
-    """Distinct values per column (NULL counted once), ``MAX_SETS_PER_PASS`` columns per pass."""
+    """Distinct values per column (NULL counted once), ``MAX_SETS_PER_PASS`` columns per job.
+    Each column is counted by itself, so that no row is as wide as all of them."""
     cols = list(columns or _orderable(df))
-    if len(cols) > MAX_SETS_PER_PASS:
-        out: dict[str, int] = {}
-        for lo in range(0, len(cols), MAX_SETS_PER_PASS):
-            out.update(column_cardinalities(df, cols[lo : lo + MAX_SETS_PER_PASS]))
-        return out
-    g = df.groupingSets([[_name(c)] for c in cols], *map(_name, cols)).agg(F.grouping_id().alias("__gid"))
-    counts = {r["__gid"]: r["n"] for r in g.groupBy("__gid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {c: int(counts.get(_gid(cols, [c]), 0)) for c in cols}
+    out: dict[str, int] = {}
+    for lo in range(0, len(cols), MAX_SETS_PER_PASS):
+        parts = [df.select(_name(c)).distinct().agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")) for i, c in enumerate(cols[lo : lo + MAX_SETS_PER_PASS], lo)]
+        out.update((cols[r["i"]], int(r["n"])) for r in reduce(DataFrame.unionAll, parts).collect())
+    return out
+
+
+def _key_hash(df: DataFrame, combo: Sequence[str]) -> Column:
+    """64 bits of the values of ``combo``, NULLs told apart; equal rows have equal ones."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    # 0.0 and -0.0 are one value
+    values = [_name(c) + F.lit(0.0).cast(kinds[c]) if isinstance(kinds[c], (T.FloatType, T.DoubleType)) else _name(c) for c in combo]
+    return F.xxhash64(*values, *(_name(c).isNull() for c in combo))
+
+
+def _repeated_hashes(df: DataFrame, combos: Sequence[Sequence[str]], share: int = 1) -> dict[int, int]:
+    """Number of the combination -> the hash of its smallest group of several rows
+    (absent: no two rows have equal hashes), of the groups that ``share`` keeps by
+    their first column. Only (number, hash) rows are grouped."""
+    out: dict[int, int] = {}
+    for lo in range(0, len(combos), MAX_SETS_PER_PASS):
+        rows = []
+        for i, k in enumerate(combos[lo : lo + MAX_SETS_PER_PASS], lo):
+            row = F.struct(F.lit(i).alias("i"), _key_hash(df, k).alias("h"))
+            rows.append(row if share == 1 else F.when(F.pmod(_key_hash(df, k[:1]), F.lit(share)) == 0, row))
+        coded = df.select(F.explode(F.array(*rows)).alias("r")).where("r IS NOT NULL").select("r.i", "r.h")
+        if share == 1:  # hardly a hash repeats: dealt at once to tasks of bounded size
+            coded = coded.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * len(rows) // HASHES_PER_TASK)), "i", "h")
+        groups = coded.groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        out.update((r["i"], r["h"]) for r in groups.groupBy("i").agg(F.min(F.struct("n", "h")).alias("m")).select("i", "m.h").collect())
+    return out
 
 
 def _unique_combos(df: DataFrame, combos: Sequence[Sequence[str]], max_sets_per_pass: int | None = None) -> list[bool]:
+    """Whether no two rows agree on each combination. Rows whose hashes differ are
+    different for certain. Where hashes repeat, first among a part of the groups, then
+    among all, the rows of one repeated hash are compared by value; only if they
+    differ (a collision) is the combination compared by value over all rows."""
+    exact = {f.name: isinstance(f.dataType, (*_EXACT, T.FloatType, T.DoubleType)) for f in df.schema.fields}
+    out: dict[int, bool] = {}
+    for share in (PART_OF_GROUPS, 1):
+        open_ = [i for i, k in enumerate(combos) if i not in out and all(exact[c] for c in k)]
+        if not open_:
+            continue
+        repeated = {open_[i]: h for i, h in _repeated_hashes(df, [combos[i] for i in open_], share).items()}
+        if share == 1:
+            out.update((i, True) for i in open_ if i not in repeated)
+        if repeated:
+            some = [_key_hash(df, combos[i]) == F.lit(h) for i, h in repeated.items()]
+            few = df.where(reduce(lambda a, b: a | b, some))
+            unique = _unique_by_value(few, [combos[i] for i in repeated], max_sets_per_pass)
+            out.update((i, False) for i, u in zip(repeated, unique) if not u)
+    rest = [i for i in range(len(combos)) if i not in out]
+    out.update(zip(rest, _unique_by_value(df, [combos[i] for i in rest], max_sets_per_pass) if rest else ()))
+    return [out[i] for i in range(len(combos))]
+
+
+def _unique_by_value(df: DataFrame, combos: Sequence[Sequence[str]], max_sets_per_pass: int | None = None) -> list[bool]:
     per_pass = max_sets_per_pass or MAX_SETS_PER_PASS
     if len(combos) > per_pass:
         out: list[bool] = []
         for lo in range(0, len(combos), per_pass):
-            out += _unique_combos(df, combos[lo : lo + per_pass], per_pass)
+            out += _unique_by_value(df, combos[lo : lo + per_pass], per_pass)
         return out
     cols = list(dict.fromkeys(c for k in combos for c in k))
     g = df.groupingSets([[_name(c) for c in k] for k in combos], *map(_name, cols)).agg(

@@ -254,6 +254,25 @@ def test_manifest_from_any_storage(spark, tmp_dir):
     assert load_manifest(path) == load_manifest("file://" + path, spark) == {"datasets": [], "name": "é"}
 
 
+def test_combinations_are_keys_by_hash_parts_and_values(spark, monkeypatch):
+    from strata.operators import profiling as P
+
+    data = [(i, i % 40, None if i % 2 else i, i if i % 2 else None, float(i // 2)) for i in range(200)]
+    df = spark.createDataFrame([*data, (200, 40, None, None, -0.0)], "a int, b int, c int, d int, e double")
+    combos = [["a"], ["b"], ["c"], ["c", "d"], ["b", "e"], ["a", "b"], ["e"]]
+    expected = [True, False, False, True, True, True, False]
+    values = []
+    by_value = P._unique_by_value
+    monkeypatch.setattr(P, "_unique_by_value", lambda d, k, m=None: values.append((d.count(), k)) or by_value(d, k, m))
+    assert P._unique_combos(df, combos) == expected
+    # only rows of repeated hashes are compared by value
+    assert values and all(n < 201 for n, _ in values)
+    # hashes that all collide prove nothing: values decide
+    monkeypatch.setattr(P, "_key_hash", lambda d, k: P.F.lit(7).cast("long"))
+    assert P._unique_combos(df, combos) == expected
+    assert P.column_cardinalities(df) == {"a": 201, "b": 41, "c": 101, "d": 101, "e": 100}
+
+
 def test_dependencies_are_compared_over_distinct_rows(spark, monkeypatch):
     from strata.operators import profiling as P
 
