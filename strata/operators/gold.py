@@ -3,8 +3,9 @@
 ``denormalise`` joins a fact to dimensions by surrogate id (unique on the
 dimension side, so no fan-out) and picks display columns. ``aggregate_dashboard``
 sums by display columns. With every dimension under the broadcast bound it
-joins map-side and aggregates once (partial aggregation before the only
-shuffle, so a hot group never reaches one task as raw rows); otherwise it first
+replaces each id by the number of its display values map-side and aggregates once
+by these numbers (partial aggregation before the only shuffle, so a hot group never
+reaches one task as raw rows); the texts join the groups. Otherwise it first
 reduces the fact by its id columns so the shuffled joins see fewer rows, then
 aggregates again by display columns (names may repeat across ids).
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import safe_ratio
@@ -61,17 +62,29 @@ def aggregate_dashboard(
 ) -> DataFrame:
     """Group by every joined display column and sum ``measures`` (as ``decimal(38,2)``).
 
-    When every dimension is under the broadcast bound, the joins are map-side
-    and the partial aggregation by display columns (never finer than the ids)
-    combines before the only shuffle. When some dimension is larger, its join
+    When every dimension is under the broadcast bound, the joins are map-side:
+    equal display values of a dimension have one number, the partial aggregation by
+    these numbers (never finer than the ids) combines before the only shuffle, and
+    no text is shuffled. When some dimension is larger, its join
     would shuffle the fact, so the fact is first reduced by its id columns and
     the joins run on the reduced rows.
     """
     group_cols = [o for j in joins for o, _ in j.columns]
     sums = [F.sum(m).cast(SUM_TYPE).alias(m) for m in measures]
     if all(fits_broadcast(dims[j.dim], max_broadcast_rows) for j in joins):
-        wide = denormalise(fact, dims, joins, keep=measures, max_broadcast_rows=max_broadcast_rows)
-        return wide.groupBy(*group_cols).agg(*sums)
+        cur, numbers, texts = fact, [], []
+        for i, j in enumerate(joins):
+            side = dims[j.dim].select(F.col(j.dim_id).alias(f"__dj{i}"), *[F.col(d).alias(o) for o, d in j.columns])
+            shown = [o for o, _ in j.columns]
+            # one task, at most the rows of a broadcast side
+            ranked = side.coalesce(1).withColumn(f"__dn{i}", F.dense_rank().over(Window.orderBy(*shown)))
+            cur = cur.join(F.broadcast(ranked.drop(*shown)), F.col(j.fact_col) == F.col(f"__dj{i}"), "inner")
+            numbers.append(f"__dn{i}")
+            texts.append(ranked.drop(f"__dj{i}").distinct())
+        out = cur.groupBy(*numbers).agg(*sums)
+        for number, text in zip(numbers, texts):
+            out = out.join(F.broadcast(text), number)
+        return out.select(*group_cols, *measures)
     ids = list(dict.fromkeys(j.fact_col for j in joins))
     reduced = fact.groupBy(*ids).agg(*sums)
     wide = denormalise(reduced, dims, joins, keep=measures, max_broadcast_rows=max_broadcast_rows)

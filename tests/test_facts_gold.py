@@ -87,3 +87,23 @@ def test_integrity_report(spark):
     rep = integrity_report(child, not_null=["v"], unique=[["k", "v"]], foreign_keys=[(["k"], parent, ["k"], "k->parent")])
     got = {(r["check_type"], r["check_name"]): r["n_violations"] for r in rep.collect()}
     assert got == {("not_null", "v"): 1, ("unique", "k,v"): 1, ("foreign_key", "k->parent"): 1}
+
+
+def test_dashboard_shuffles_numbers_of_texts(spark):
+    from strata.operators.gold import DimJoin, aggregate_dashboard
+
+    # equal names of two ids are one group, NULL names too; id 4 has two rows
+    dim = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, None, "x"), (4, "b", None), (4, "c", None), (5, None, "x")], "id int, name string, kind string")
+    fact = spark.createDataFrame([(i % 7, i % 2 + 1, i) for i in range(70)], "d int, e int, m int").selectExpr("d", "e", "CAST(m AS DECIMAL(18,2)) AS m")
+    joins = [DimJoin("D", "d", "id", (("N", "name"), ("K", "kind"))), DimJoin("D", "e", "id", (("N2", "name"),))]
+    sums = {}
+    for i in range(70):
+        for row in dim.collect():
+            if row["id"] == i % 7:
+                sums[row["name"], row["kind"], "a"] = sums.get((row["name"], row["kind"], "a"), 0) + i
+    out = aggregate_dashboard(fact, {"D": dim}, joins, ["m"])
+    assert out.columns == ["N", "K", "N2", "m"] and out.schema["m"].dataType.simpleString() == "decimal(38,2)"
+    assert {tuple(r)[:3]: int(r["m"]) for r in out.collect()} == sums and out.count() == len(sums)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line and "sum(" in line]
+    assert grouped and all("N#" not in line for line in grouped)
