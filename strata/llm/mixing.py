@@ -13,7 +13,9 @@ level of the tree, BUCKET buckets to one, until one document a source is left; i
 is drawn by its fraction alone. All draws are hashes of these hashes and a seed,
 so a rerun takes the same copies.
 
-Everything here is DataFrame functions; only ids and sizes are shuffled.
+Everything here is DataFrame functions; only ids and sizes are shuffled. The rows
+themselves meet their decisions as bits, 64 rows to a word, broadcast while there
+are at most BROADCAST_ROWS words; beyond that the join shuffles the rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare, store
+from strata.llm.groups import checked_broadcast
 
 BUCKET = 64
 WEIGHTS = (3, 1, 2)
@@ -155,6 +158,13 @@ def _decisions(rows: DataFrame, seed: int) -> DataFrame:
         keyed = left.select("source", F.floor(F.col("group") / BUCKET).alias("group"), F.col("open").alias("unit"))
 
 
+def _as_bits(extra: DataFrame) -> DataFrame:
+    """(word, bits), stored: bit u modulo 64 of word u / 64 for each row u of
+    ``extra`` (u, extra) that is 1."""
+    bit = F.expr("shiftleft(1L, cast(u & 63 AS int))")
+    return store(extra.where("extra = 1").groupBy(F.shiftright("u", 6).alias("word")).agg(F.bit_or(bit).alias("bits")), "extra-copies")
+
+
 def few_rows(rows: DataFrame, sources: DataFrame, key: str, most: int = 200_000) -> DataFrame:
     """``rows`` with the columns of ``sources`` (one row per source), broadcast
     while their number is small; null sources match each other."""
@@ -192,9 +202,10 @@ def _mixed(docs: DataFrame, columns: list[str], seed: int, doc_id: str = "doc_id
     drawn = store(narrow.where("frac > 0").select("u", "source", "size", "frac", "h"), "draw-keys")
     # rows without words weigh nothing and are drawn alone
     alone = drawn.where("size = 0").select("u", (_uniform(F.lit(seed), F.lit("empty"), F.col("h")) < F.col("frac")).cast("int").alias("extra"))
-    extra = _decisions(drawn.where("size > 0"), seed).unionByName(alone)
-    copies = (F.floor(rate) + F.coalesce("extra", F.lit(0))).cast("int")
-    out = few_rows(sized, targets, "source").join(extra, "u", "left").withColumn("copies", copies)
+    bits = _as_bits(_decisions(drawn.where("size > 0"), seed).unionByName(alone))
+    extra = F.coalesce(F.getbit("bits", F.col("u").bitwiseAND(63).cast("int")).cast("int"), F.lit(0))
+    rows = few_rows(sized, targets, "source").withColumn("word", F.shiftright("u", 6))
+    out = rows.join(checked_broadcast(bits), "word", "left").withColumn("copies", (F.floor(rate) + extra).cast("int"))
     return out.select(*names, "size", "source_size", "target", "copies")
 
 

@@ -213,6 +213,34 @@ def test_copies_keep_their_expectation(spark):
     assert abs(np.mean([total[i] / 6 - wanted[i] for i in small])) < 0.1
 
 
+def test_texts_of_the_mix_are_not_shuffled(spark):
+    prepare(spark)
+    rows, df = _documents(spark)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as if the decisions were many
+    try:
+        mixed = mixture(df.repartition(5))
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        copies = mixing_copies(df.repartition(5), df.columns).collect()
+    finally:
+        spark.conf.set(key, before)
+    want = Counter()
+    for r in copies:
+        want[tuple(r[:4])] += r[-1]
+    assert Counter(map(tuple, mixed.collect())) == +want
+
+
+def test_decisions_as_bits(spark):
+    prepare(spark)
+    taken = {0, 1, 62, 63, 64, 127, (5 << 33) + 63, (5 << 33) + 64}
+    every = taken | {2, 65, (5 << 33) + 1, (6 << 33)}
+    bits = mixing._as_bits(spark.createDataFrame([(u, int(u in taken)) for u in every], "u long, extra int"))
+    got = {r["word"]: r["bits"] & (2**64 - 1) for r in bits.collect()}
+    assert {(w << 6) + i for w, b in got.items() for i in range(64) if b >> i & 1} == taken
+
+
 def test_pipeline_equals_its_parts(spark):
     prepare(spark)
     docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
