@@ -1,28 +1,39 @@
 """Class-conditional Kneser-Ney toxicity scores.
 
-Two models of words, toxic and ordinary. A word is a run of letters and digits, in
-lower case. A class counts a word by the distinct words that stand before it in the
-class's texts, as Kneser-Ney counts do: copies of a text, however many, repeat
-their contexts and add nothing. With n_c these counts, N_c their sum, and D the
-discount,
+Two models of words, toxic and ordinary, of two orders. A word is a run of letters
+and digits, in lower case. The higher order is the word w after a word v (none at
+the start of a text): with c_c(v, w) a class's occurrences, c(v, w) those in all
+labelled text, and D the discount,
+
+    P_c(w | v) = max(c_c(v, w) - D, 0) / c_c(v) + L_c(v) * B_c(w | v)
+    B_c(w | v) = max(c(v, w) - D, 0) / c(v) + L(v) * P_c(w)
+
+where L_c(v) and L(v) hand on what the discounts took after v. The lower order counts a
+word by the distinct words that stand before it in the class's texts, as Kneser-Ney
+counts do: copies of a text, however many, repeat their contexts and add nothing.
+With n_c these counts and N_c their sum,
 
     P_c(w) = (n_c(w) - D(n_c(w))) / N_c + L_c * P(w)
 
 where L_c hands on what the discounts took, and the shared backoff P(w) is the
 Kneser-Ney model of all labelled text (distinct words before w, of either class).
-D is 2, but at most 99 % of a count: an expression with one or two contexts in a
-class is left to the backoff almost wholly.
+D is 2; in the lower order at most 99 % of a count, so an expression with one or two
+contexts in a class is left to the backoff almost wholly. Pairs seen at most twice
+are left to the lower order, so only the others are kept.
 
-A word's evidence is log P_toxic - log P_ordinary, less what a word of the backoff
-alone would have, and no less than zero. A text has two length-normalised
+A word's evidence is log P_toxic(w | v) - log P_ordinary(w | v), less what the
+backoffs alone would give (in both orders, so that a class with less text does not
+speak for itself), and no less than zero. A text has two length-normalised
 evidences: the mean over all its words, and the mean over the two distinct words
-that speak most for the toxic class, so that a few expressions count the same in
-a long text. A logistic calibration, on labelled documents that the counts left
-out, turns them into a score. Counts cover every other labelled row.
-
-Words are 64-bit hashes throughout. Texts never move: words with evidence are
-broadcast while they are at most BROADCAST_WORDS, each of 16 bytes; more are joined
-with the distinct words of each text.
+that speak most for the toxic class, so that a few expressions count the same in a
+long text. These two are taken by the lower order, whatever stands before them: the
+largest of many conditional ratios would be that of some rare pair in near copies.
+A logistic calibration, on labelled documents that the counts left out, turns the
+evidences into a score. Counts cover every other labelled row.
+
+Words are 64-bit hashes throughout. Texts never move: words and pairs with evidence
+are broadcast while they are at most BROADCAST_WORDS, each of 16 bytes; more are
+joined with the distinct pairs of each text.
 """
 
 from __future__ import annotations
@@ -35,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare, store
+from strata.llm.groups import checked_broadcast
 from strata.llm.labels import fit_logistic, join_labels, remainder, training_labels
 from strata.llm.tokenization import release_memory, slices
 
@@ -135,52 +147,123 @@ class KeyTable:
         return out
 
 
+def _before(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """32 bits of the hash before each word, 0 at the start of a text."""
+    before = np.concatenate([np.zeros(1, np.uint64), keys[:-1]])[: len(keys)]
+    before[at[:-1][np.diff(at) > 0]] = 0
+    return before >> np.uint64(32)
+
+
+def _pair_keys(keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs, as ``_PAIR`` makes them in Spark."""
+    return keys ^ (before << np.uint64(16))
+
+
+_PAIR = "w ^ shiftleft(v, 16)"
+
+
 def _contexts(batches):
-    """(w, q): distinct words and the words before them in each slice of texts; q
-    holds 32 bits of the hash before, and the class in its two lowest bits."""
+    """(w, q, n): distinct words and the words before them in each slice of texts,
+    with their occurrences; q holds 32 bits of the hash before, and the class in its
+    two lowest bits."""
     for batch in batches:
         labels, done = batch.column(1).to_numpy(zero_copy_only=False), 0
         for part in slices(batch.column(0), SLICE_BYTES):
             keys, at = word_keys(part)
             toxic = np.repeat(labels[done : done + len(part)] == 1, np.diff(at))
             done += len(part)
-            before = np.concatenate([np.zeros(1, np.uint64), keys[:-1]])[: len(keys)]
-            before[at[:-1][np.diff(at) > 0]] = 0
-            q = ((before >> np.uint64(32)) << np.uint64(2)).astype(np.int64) | np.where(toxic, 1, 2)
+            q = (_before(keys, at) << np.uint64(2)).astype(np.int64) | np.where(toxic, 1, 2)
             order = np.lexsort((q, keys))
             keys, q = keys[order], q[order]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (q[1:] != q[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[new].view(np.int64)), pa.array(q[new])], ["w", "q"])
+            begin = np.flatnonzero(new)
+            times = np.diff([*begin, len(keys)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[begin].view(np.int64)), pa.array(q[begin]), pa.array(times)], ["w", "q", "n"])
     release_memory()
 
 
-def fit_counts(docs: DataFrame, known: DataFrame, discount: float = DISCOUNT) -> DataFrame | None:
-    """(w, e), stored: the words with evidence for the toxic class. None if a class
-    has no words."""
+_WORD, _BEFORE, _OFTEN = 0, 1, 2
+
+
+def count_words(docs: DataFrame, known: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """(kind, w, v, t, o, n, c), stored, of both orders from one pass over the pairs:
+    t for the toxic class, o for the ordinary one, n for both. _WORD: distinct words
+    before w. _BEFORE: what the discounts take after v, and c, the occurrences of v.
+    _OFTEN: occurrences of the pairs beyond the discount."""
     train = join_labels(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), known.where(remainder("doc_id") != CALIBRATION_FOLD))
-    pairs = train.select("text", "label").mapInArrow(_contexts, "w long, q long")
-    contexts = pairs.groupBy("w", F.shiftright("q", 2).alias("before")).agg(F.bit_or(F.col("q").bitwiseAND(3)).alias("classes"))
-    of = lambda bit: F.sum(F.shiftright("classes", bit).bitwiseAND(1))
-    words = store(contexts.groupBy("w").agg(of(0).alias("t"), of(1).alias("o"), F.count("*").alias("n")), "toxicity-words")
+    found = train.select("text", "label").mapInArrow(_contexts, "w long, q long, n long")
+    of = lambda c: F.sum(F.when(F.col("q").bitwiseAND(3) == c, F.col("n")).otherwise(0))
+    pairs = found.groupBy("w", F.shiftright("q", 2).alias("v")).agg(of(1).alias("t"), of(2).alias("o"))
+    d, none, t, o = F.lit(float(discount)), F.lit(0).cast("long"), F.col("t"), F.col("o")
+
+    def row(kind, w, v, *values):
+        return F.struct(F.lit(kind).alias("kind"), w.alias("w"), v.alias("v"), *(x.cast("double").alias(name) for name, x in zip("tonc", values)))
+
+    word = row(_WORD, F.col("w"), none, t > 0, o > 0, F.lit(1), F.lit(0))
+    before = row(_BEFORE, none, F.col("v"), F.least(t, d), F.least(o, d), F.least(t + o, d), t + o)
+    often = row(_OFTEN, F.col("w"), F.col("v"), t, o, t + o, F.lit(0))
+    split = pairs.select(F.explode(F.when(t + o > d, F.array(word, before, often)).otherwise(F.array(word, before))).alias("x")).select("x.*")
+    return store(split.groupBy("kind", "w", "v").agg(*(F.sum(x).alias(x) for x in "tonc")), "toxicity-counts")
+
+
+def lower_order(counts: DataFrame, discount: float = DISCOUNT) -> DataFrame | None:
+    """(w, pt, po, e), stored, of the words of the toxic class: P_toxic(w), P_ordinary(w)
+    times the ratio of the backoffs, and the evidence, log pt - log po. None if a
+    class has no words."""
+    words = counts.where(F.col("kind") == _WORD)
     kept = lambda c: F.greatest(F.col(c) - F.lit(float(discount)), F.col(c) * F.lit(LEAST_SHARE))
     s = words.agg(*(F.sum(c).alias(c) for c in ("t", "o", "n")), F.sum(kept("t")).alias("kt"), F.sum(kept("o")).alias("ko"), F.count("*").alias("words")).first()
     if not s["t"] or not s["o"]:
         return None
     lt, lo = 1 - s["kt"] / s["t"], 1 - s["ko"] / s["o"]
     shared = (F.col("n") - SHARED_DISCOUNT) / s["n"] + SHARED_DISCOUNT * s["words"] / s["n"] / (s["words"] + 1)
-    ratio = F.log((kept("t") / s["t"] + lt * shared) / (kept("o") / s["o"] + lo * shared)) - F.lit(float(np.log(lt / lo)))
-    return store(words.where("t > 0").select("w", ratio.alias("e")).where("e > 0"), "toxicity-model")
+    po = (kept("o") / s["o"] + lo * shared) * F.lit(float(lt / lo))
+    both = words.where("t > 0").select("w", (kept("t") / s["t"] + lt * shared).alias("pt"), po.alias("po"))
+    return store(both.withColumn("e", F.log(F.col("pt") / F.col("po"))), "toxicity-lower")
+
+
+def higher_order(counts: DataFrame, lower: DataFrame, discount: float = DISCOUNT) -> DataFrame:
+    """(w, p, e), stored: the pairs, p their key, whose evidence is not that of w alone.
+
+    Where w is unknown to the toxic class the pair is too, and neither order speaks
+    for it, so such words are left out."""
+    d = F.lit(float(discount))
+    often = store(counts.where(F.col("kind") == _OFTEN).select("w", "v", "t", "o", "n").join(lower, "w"), "toxicity-often")
+    taken = counts.where(F.col("kind") == _BEFORE).select("v", F.col("t").alias("dt"), F.col("o").alias("do"), F.col("n").alias("dn"), "c")
+    both = taken.join(checked_broadcast(often, BROADCAST_WORDS), "v").withColumn("seen", (F.col("n") - d) / F.col("c"))
+    for p in ("pt", "po"):
+        both = both.withColumn(p, F.col("seen") + F.col("dn") / F.col("c") * F.col(p))
+    own = lambda c, left: F.when(F.col(c) > d, (F.col(c) - d) / F.col(left)).otherwise(0.0)
+    value = F.greatest(F.log((own("t", "dt") + F.col("pt")) / (own("o", "do") + F.col("po"))), F.lit(0.0))
+    pairs = both.select("w", F.expr(_PAIR).alias("p"), value.alias("value"), "e").where("value <> greatest(e, 0.0D)")
+    return store(pairs.select("w", "p", F.col("value").alias("e")), "toxicity-pairs")
+
+
+def fit_counts(docs: DataFrame, known: DataFrame, discount: float = DISCOUNT) -> DataFrame | None:
+    """(w, e): the words with evidence for the toxic class, whatever stands before
+    them. None if a class has no words."""
+    lower = lower_order(count_words(docs, known, discount), discount)
+    return None if lower is None else _telling(lower)
+
+
+def _telling(lower: DataFrame) -> DataFrame:
+    return lower.where("e > 0").select("w", "e")
 
 
-def _text_evidence(keys: np.ndarray, at: np.ndarray, table: KeyTable, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _text_evidence(keys: np.ndarray, at: np.ndarray, words: tuple[KeyTable, np.ndarray], pairs: tuple[KeyTable, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(mean over the most telling distinct words, mean over all words) per text."""
-    rows = table.find(keys)
+    (table, e), (pair_table, pair_e) = words, pairs
+    n, rows = len(at) - 1, table.find(keys)
     hits = np.flatnonzero(rows >= 0)
+    every = np.zeros(len(keys))
+    every[hits] = value = e[rows[hits]] if len(hits) else np.empty(0)
+    if len(pair_e):
+        found = pair_table.find(_pair_keys(keys, _before(keys, at)))
+        known = np.flatnonzero(found >= 0)
+        every[known] = pair_e[found[known]]
+    mean = np.bincount(np.repeat(np.arange(n), np.diff(at)), every, n) / np.maximum(np.diff(at), 1)
     owner = np.searchsorted(at, hits, side="right") - 1
-    value = e[rows[hits]] if len(hits) else np.empty(0)
-    n = len(at) - 1
-    mean = np.bincount(owner, value, n) / np.maximum(np.diff(at), 1)
     _, first = np.unique(owner * max(len(e), 1) + rows[hits], return_index=True)
     owner, value = owner[first], value[first]
     order = np.lexsort((-value, owner))
@@ -201,23 +284,23 @@ def evidence(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
     evidences."""
     spark = prepare(docs.sparkSession)
     table, limit = model["table"], model.get("entries", BROADCAST_WORDS)
+    pairs = model["pairs"] if "pairs" in model else spark.createDataFrame([], "w long, p long, e double")
     if "few" not in model:
-        model["few"] = table.limit(limit + 1).count() <= limit
+        model["few"] = table.select("w").unionAll(pairs.select("w")).limit(limit + 1).count() <= limit
     if not model["few"]:
-        return _joined_evidence(docs, table, columns)
+        return _joined_evidence(docs, table, pairs, columns)
     if "shared" not in model:
-        held = table.toArrow()
-        model["shared"] = spark.sparkContext.broadcast((held["w"].to_numpy().view(np.uint64), held["e"].to_numpy()))
+        held = [(t[k].to_numpy().view(np.uint64), t["e"].to_numpy()) for k, t in (("w", table.toArrow()), ("p", pairs.toArrow()))]
+        model["shared"] = spark.sparkContext.broadcast(held)
     shared = model["shared"]
     named, names = _named(docs, columns)
 
     def run(batches):
-        words, e = shared.value
-        table = KeyTable(words)
+        words, pairs = ((KeyTable(keys), e) for keys, e in shared.value)
         for batch in batches:
             peaks, means = [np.empty(0)], [np.empty(0)]
             for part in slices(batch.column(len(names)), SLICE_BYTES):
-                peak, mean = _text_evidence(*word_keys(part), table, e)
+                peak, mean = _text_evidence(*word_keys(part), words, pairs)
                 peaks.append(peak)
                 means.append(mean)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(np.concatenate(peaks)), pa.array(np.concatenate(means))], [*names, "peak", "mean"])
@@ -227,8 +310,8 @@ def evidence(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
     return named.mapInArrow(run, ddl + ", peak double, mean double")
 
 
-def _joined_evidence(docs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
-    """The same by a join of the texts' distinct words with the model."""
+def _joined_evidence(docs: DataFrame, table: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """The same by a join of the texts' distinct pairs with the model."""
     named, names = _named(docs, columns)
     texts = store(named.withColumn("row", F.monotonically_increasing_id()), "toxicity-texts")
 
@@ -238,21 +321,27 @@ def _joined_evidence(docs: DataFrame, table: DataFrame, columns: list[str]) -> D
             for part in slices(batch.column(1), SLICE_BYTES):
                 keys, at = word_keys(part)
                 owner = np.repeat(np.arange(done, done + len(part)), np.diff(at))
-                order = np.lexsort((keys, owner))
-                keys, owner = keys[order], owner[order]
+                pair = _pair_keys(keys, _before(keys, at))
+                order = np.lexsort((pair, keys, owner))
+                keys, pair, owner = keys[order], pair[order], owner[order]
                 new = np.ones(len(keys), bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+                new[1:] = (keys[1:] != keys[:-1]) | (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
                 begin = np.flatnonzero(new)
                 times, owner = np.diff([*begin, len(keys)]), owner[begin]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner)), pa.array(keys[begin].view(np.int64)), pa.array(times / np.diff(at)[owner - done])], ["row", "w", "share"]
+                    [batch.column(0).take(pa.array(owner)), pa.array(keys[begin].view(np.int64)), pa.array(pair[begin].view(np.int64)), pa.array(times / np.diff(at)[owner - done])],
+                    ["row", "w", "p", "share"],
                 )
                 done += len(part)
         release_memory()
 
-    found = texts.select("row", "t").mapInArrow(run, "row long, w long, share double").join(table, "w")
+    # words that speak alone or in some pair; in the mean a pair's evidence goes first
+    words = table.unionByName(pairs.select("w", F.lit(0.0).alias("e"))).groupBy("w").agg(F.max("e").alias("e"))
+    found = texts.select("row", "t").mapInArrow(run, "row long, w long, p long, share double").join(words, "w")
+    found = found.join(pairs.select("p", F.col("e").alias("pe")), "p", "left")
+    found = found.groupBy("row", "w").agg(F.max("e").alias("e"), F.sum(F.col("share") * F.coalesce("pe", "e")).alias("part"))
     best = F.slice(F.sort_array(F.collect_list("e"), asc=False), 1, TELLING)
-    sums = found.groupBy("row").agg((F.aggregate(best, F.lit(0.0), lambda a, x: a + x) / TELLING).alias("peak"), F.sum(F.col("share") * F.col("e")).alias("mean"))
+    sums = found.groupBy("row").agg((F.aggregate(best, F.lit(0.0), lambda a, x: a + x) / TELLING).alias("peak"), F.sum("part").alias("mean"))
     zero = F.lit(0.0)
     return texts.drop("t").join(sums, "row", "left").select(*names, F.coalesce("peak", zero).alias("peak"), F.coalesce("mean", zero).alias("mean"))
 
@@ -265,10 +354,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", disco
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if set(totals) != {0, 1}:
         return {"constant": float(next(iter(totals), 0))}
-    table = fit_counts(docs, known, discount)
-    if table is None:
+    counts = count_words(docs, known, discount)
+    lower = lower_order(counts, discount)
+    if lower is None:
         return {"constant": 0.0}
-    model = {"table": table, "entries": entries}
+    model = {"table": _telling(lower), "pairs": higher_order(counts, lower, discount), "entries": entries}
     held = join_labels(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), known.where(remainder("doc_id") == CALIBRATION_FOLD))
     # every calibration row counts, by bins of the evidences: a bounded table
     bin_of = lambda c, steps, end: F.round(F.least(F.col(c), F.lit(end)) * steps).alias(c)

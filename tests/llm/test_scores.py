@@ -1,6 +1,7 @@
 """Quality and toxicity: held-out accuracy, brute-force model, edge cases."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -173,6 +174,67 @@ def test_evidence_equals_brute_force_by_broadcast_or_join(spark, entries):
     assert max(r["peak"] for r in scored) > 0
 
 
+def _brute_mean(rows, d):
+    """The mean evidence with the word before, straight from the docstring."""
+    before, pairs, after = {1: {}, 0: {}}, {1: Counter(), 0: Counter()}, {}
+    for _, text, label in rows:
+        words = _words(text)
+        for v, w in zip([None, *words], words):
+            before[label].setdefault(w, set()).add(v)
+            pairs[label][v, w] += 1
+            after.setdefault(v, set()).add(w)
+    every = pairs[0] + pairs[1]
+    both = {w: before[0].get(w, set()) | before[1].get(w, set()) for w in {*before[0], *before[1]}}
+    n, sd = sum(map(len, both.values())), toxicity.SHARED_DISCOUNT
+    total = {c: sum(map(len, before[c].values())) for c in (0, 1)}
+    keep = lambda k: max(k - d, toxicity.LEAST_SHARE * k)
+    left = {c: 1 - sum(keep(len(v)) for v in before[c].values()) / total[c] for c in (0, 1)}
+
+    def order(counts, v, w):
+        """What the discount leaves of a pair, and what it takes after v."""
+        c = sum(counts[v, x] for x in after.get(v, ()))
+        return (max(counts[v, w] - d, 0) / c, sum(min(counts[v, x], d) for x in after[v]) / c) if c else (0, 1)
+
+    def e(v, w):
+        if w not in before[1]:
+            return 0.0
+        shared = (len(both[w]) - sd) / n + sd * len(both) / n / (len(both) + 1)
+        p = {}
+        for c in (0, 1):
+            low = (keep(len(before[c].get(w, ()))) / total[c] + left[c] * shared) * left[1] / left[c]
+            seen, rest = order(every, v, w)
+            own, own_rest = order(pairs[c], v, w)
+            p[c] = own / own_rest + seen + rest * low
+        return max(math.log(p[1] / p[0]), 0.0)
+
+    def mean(text):
+        words = _words(text)
+        return sum(e(v, w) for v, w in zip([None, *words], words)) / max(len(words), 1)
+
+    return mean
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 1])
+def test_the_word_before_counts_as_by_brute_force(spark, entries):
+    prepare(spark)
+    more = [(201, "you idiot dog", 1), (202, "the idiot sat. You dog", 0), (203, "dog you idiot", 1), (204, "a dog sat on you", 0), (206, "the dog you moron", 1)]
+    docs = spark.createDataFrame([r[:2] for r in TRAIN + more], "doc_id long, text string")
+    known = spark.createDataFrame([(i, y) for i, _, y in TRAIN + more], "doc_id long, label int")
+    folds = {r[0]: r[1] for r in docs.select("doc_id", remainder("doc_id")).collect()}
+    counts = toxicity.count_words(docs, known, 0.5)
+    lower = toxicity.lower_order(counts, 0.5)
+    model = {"table": lower.where("e > 0").select("w", "e"), "pairs": toxicity.higher_order(counts, lower, 0.5), "entries": entries}
+    texts = ["you idiot", "idiot you", "the dog, you dog", "dog you moron", "on the idiot sat you idiot a dog", "Zzz you 9 idiot", "", None, "a dog " * 2000 + "idiot moron"]
+    scored = evidence(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, ["doc_id"]).collect()
+    assert len(scored) == len(texts) and model["few"] == (entries > 1)
+    used = [r for r in TRAIN + more if folds[r[0]] != toxicity.CALIBRATION_FOLD]
+    peak, mean = _brute(used, 0.5), _brute_mean(used, 0.5)
+    got = {r["c0"]: (r["peak"], r["mean"]) for r in scored}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx((peak(text or "")[0], mean(text or "")), rel=1e-9, abs=1e-12)
+    assert got[0][1] != pytest.approx(got[1][1])  # the order of words matters
+
+
 def test_copies_add_no_contexts(spark):
     prepare(spark)
     rows = [(i, t, y) for i, t, y in TRAIN] + [(100 + i, "the cat sat on a moron", 1) for i in range(50)]
