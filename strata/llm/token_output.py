@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import new_path, prepare, running_totals, store
-from strata.llm.tokenization import WordEncoder
+from strata.llm.tokenization import WordEncoder, release_memory
 
 MAGIC = b"IDSEG001"
 BLOCK = 1024
@@ -153,6 +153,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
                 row += len(at) - 1
         if lengths:
             yield segment()
+        release_memory(encoders=False)
 
     (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -176,10 +177,11 @@ def read_token_ids(spark: SparkSession, path: str, digest_only: bool = False) ->
     schema = pa.schema([(n, kinds[k]) for n, k in fields] + ([] if digest_only else [("ids", pa.list_(pa.int32()))]))
 
     def run(batches):
+        release_memory()  # of the encoders that wrote the files
         for batch in batches:
             for raw in batch.column(0):
-                s = Segment(raw.as_buffer().to_pybytes())
-                ids = s.ids(0, s.n_ids).astype("<u4")
+                s = Segment(memoryview(raw.as_buffer()).cast("B"))
+                ids = s.ids(0, s.n_ids).astype("<u4", copy=False)
                 spans = list(zip(s.starts[:-1].tolist(), s.starts[1:].tolist()))
                 n = len(spans)
                 columns = [
@@ -191,6 +193,7 @@ def read_token_ids(spark: SparkSession, path: str, digest_only: bool = False) ->
                 if not digest_only:
                     columns.append(pa.array([ids[a:b] for a, b in spans], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        release_memory()
 
     ddl = ", ".join(f"{n} {k}" for n, k in fields) + ("" if digest_only else ", ids array<int>")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -6,7 +6,8 @@ has met, gives only new ones to the library, and Arrow gathers the results back
 into text order. Splitting a text this way never changes the library's result:
 
 * ``WordEncoder`` splits at ASCII white space, which its vocabulary drops and
-  which no match of its pre-token pattern and no special string crosses;
+  which no match of its pre-token pattern and no special string crosses, and
+  words of simple ASCII characters further into their pre-tokens;
 * ``SpaceCounter`` splits at single spaces, each of which begins a pre-token of
   its vocabulary unless it stands beside another space, at white space beyond
   ASCII or within a special string; texts with those go whole to the library.
@@ -91,7 +92,8 @@ def _specials(tokenizer):
 class _Cache:
     """Two generations: what was met since the last turn, and before it. A full
     young generation becomes the old one, so repeated keys stay and single ones
-    go; at most twice ``entries`` plus one slice's keys are held."""
+    go; at most twice ``entries`` plus one slice's keys are held. ``make`` gives
+    the values of a list of new keys."""
 
     def __init__(self, make, entries: int, fixed: dict | None = None):
         self.make, self.entries, self.fixed = make, entries, fixed or {}
@@ -101,18 +103,28 @@ class _Cache:
         """The values of distinct ``keys``."""
         if len(self.young) >= self.entries + len(self.fixed):
             self.young, self.old = dict(self.fixed), self.young
-        old, young, make = self.old, self.young, self.make
-        values = list(map(young.get, keys))
+        old, young = self.old, self.young
+        values, new = list(map(young.get, keys)), []
         for i, value in enumerate(values):
             if value is None:
-                key = keys[i]
-                value = old.get(key)
-                young[key] = values[i] = make(key) if value is None else value
+                value = old.get(keys[i])
+                if value is None:
+                    new.append(i)
+                else:
+                    young[keys[i]] = values[i] = value
+        if new:
+            for i, value in zip(new, self.make([keys[i] for i in new])):
+                young[keys[i]] = values[i] = value
         return values
 
 
 class WordEncoder:
-    """Ids of whole texts for a lower-casing word BPE that drops white space."""
+    """Ids of whole texts for a lower-casing word BPE that drops white space.
+
+    Words of simple bytes are split by the kind of their bytes, all of a slice
+    at once, into runs of letters, single digits and runs of signs, which are its
+    pre-tokens; any other word stays whole. Arrow numbers the distinct parts and
+    one cache holds their ids."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.tokenizer = _load(path)
@@ -120,8 +132,7 @@ class WordEncoder:
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.vocab_size <= 1 << 16 else np.dtype("<u4")
         self.special_rx = _specials(self.tokenizer)
-        self.words = _Cache(self._word, entries)
-        self.pieces = _Cache(self._piece, entries)
+        self.cache = _Cache(lambda keys: list(map(self._part, keys)), entries)
 
     @classmethod
     def shared(cls, path: str) -> "WordEncoder":
@@ -130,28 +141,96 @@ class WordEncoder:
             _OPEN[key] = cls(path)
         return _OPEN[key]
 
-    def _piece(self, piece: str) -> bytes:
-        return array(self.dtype.char, [t.id for t in self.model.tokenize(byte_level(piece))]).tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        if not _PLAIN_WORD.fullmatch(text) or "<" in text and self.special_rx and self.special_rx.search(text):
-            return array(self.dtype.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        text = text.lower()
-        return b"".join(self.pieces.look_up([text] if text.isalpha() else _WORD_PIECES.findall(text)))
+    def _part(self, part: str) -> bytes:
+        if part.isalpha() and part.isascii() or _SIMPLE.fullmatch(part):
+            ids = [t.id for t in self.model.tokenize(part)]
+        elif not _PLAIN_WORD.fullmatch(part) or "<" in part and self.special_rx and self.special_rx.search(part):
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        else:
+            ids = [t.id for piece in _WORD_PIECES.findall(part.lower()) for t in self.model.tokenize(byte_level(piece))]
+        return array(self.dtype.char, ids).tobytes()
 
     def encode(self, texts: pa.Array):
         """Yields, in order, (ids, offsets) of consecutive runs of ``texts``: the
         ids of all of them, and where each text's begin and end. Null: empty."""
-        for part in slices(texts):
-            words = pc.ascii_split_whitespace(part.view(pa.large_string()))
-            known = words.flatten().view(pa.large_binary()).dictionary_encode()
-            values = pa.array(self.words.look_up(known.dictionary.to_pylist()), pa.large_binary())
-            gathered = values.take(known.indices)
-            ends = np.frombuffer(gathered.buffers()[1], np.int64)[: len(gathered) + 1] if len(gathered) else np.zeros(1, np.int64)
-            ids = np.frombuffer(gathered.buffers()[2] or b"", self.dtype, count=ends[-1] // self.dtype.itemsize) if len(gathered) else np.empty(0, self.dtype)
-            at = words.offsets.to_numpy()
-            yield ids, ends[at - at[0]] // self.dtype.itemsize
+        for run in slices(texts):
+            parts, at = word_parts(run)
+            known = parts.dictionary_encode()
+            del parts
+            values = self.cache.look_up(_strings(known.dictionary))
+            ends = np.cumsum([0, *map(len, values)])
+            table = pa.Array.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(values))])
+            del values
+            gathered = table.take(known.indices)
+            if len(gathered):
+                ends = np.frombuffer(gathered.buffers()[1], np.int64)[: len(gathered) + 1]
+            ids = np.frombuffer(gathered.buffers()[2] or b"", self.dtype, count=ends[-1] // self.dtype.itemsize)
+            del known, table
+            yield ids, ends[at] // self.dtype.itemsize
+
+
+# Kinds of bytes in the words of a text.
+_SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """Kind of each byte: white space, letter, digit, sign, or not simple (beyond
+    ASCII, a control, or one that may begin a contraction or a special string)."""
+    kinds = np.full(256, _OTHER, np.uint8)
+    for c in map(chr, range(0x21, 0x7F)):
+        if c not in "'<":
+            kinds[ord(c)] = _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _SIGN
+    kinds[list(b"\t\n\v\f\r ")] = _SPACE
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_SIMPLE = re.compile("[!-&(-;=-~]+")
+
+
+def word_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all words of ``texts`` (large binary without nulls) in order,
+    and the number of parts before each text and in all. A word of simple bytes
+    is lower-cased and split where their kind changes and at each digit; a word
+    with another byte is one part as it is."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    kinds = np.append(_KINDS[data], np.uint8(_SPACE))
+    filled = kinds != _SPACE
+    begins = filled.copy()
+    begins[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    begins[bounds] = filled[bounds]
+    lower = _LOWER[data]
+    others = np.flatnonzero(kinds == _OTHER)
+    if len(others):
+        first = begins.copy()
+        first[1:] &= ~filled[:-1]
+        first[bounds] = filled[bounds]
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(data))
+        whole = np.unique(np.searchsorted(starts, others, side="right") - 1)
+        steps = np.zeros(len(data) + 1, np.int8)
+        steps[starts[whole]] += 1
+        steps[ends[whole]] -= 1
+        inside = np.cumsum(steps, dtype=np.int8).astype(bool)
+        begins &= ~inside | first
+        lower = np.where(inside[:-1], data, lower)
+    starts = np.flatnonzero(begins)
+    lengths = np.add.reduceat(filled, starts, dtype=np.int64) if len(starts) else starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lower[filled[:-1]])])
+    return parts, np.searchsorted(starts, bounds)
+
+
+def _strings(parts: pa.Array) -> list[str]:
+    """The strings of ``parts`` (large binary, no line ends), decoded at once."""
+    if not len(parts):
+        return []
+    offsets = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1]
+    data = np.frombuffer(parts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return np.insert(data, offsets[1:-1] - offsets[0], ord("\n")).tobytes().decode("utf-8").split("\n")
 
 
 class SpaceCounter:
@@ -164,8 +243,8 @@ class SpaceCounter:
         self.tokenizer = _load(path)
         self.model = self.tokenizer.model
         self.special_rx = _specials(self.tokenizer)
-        self.cache = _Cache(self._spaced, entries, frequent)
-        self.pieces = _Cache(self._piece, entries)
+        self.cache = _Cache(lambda keys: list(map(self._spaced, keys)), entries, frequent)
+        self.pieces = _Cache(lambda keys: list(map(self._piece, keys)), entries)
 
     @classmethod
     def shared(cls, path: str, key: str, frequent) -> "SpaceCounter":

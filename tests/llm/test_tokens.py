@@ -14,7 +14,7 @@ from strata.llm.common import new_path, prepare
 from strata.llm.packing import LevelArray, Piece, pack_sequences, pour
 from strata.llm.token_counts import token_counts
 from strata.llm.token_output import Segment, encode_to_files, pack_ids, read_token_ids, unpack_ids, write_segment, write_token_ids
-from strata.llm.tokenization import SpaceCounter, WordEncoder
+from strata.llm.tokenization import SpaceCounter, WordEncoder, _Cache, slices
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 PARTS = [
@@ -47,6 +47,26 @@ def test_word_ids_equal_the_library(entries):
     assert out == [e.ids for e in Tokenizer.from_file(WORD).encode_batch(texts, add_special_tokens=False)] + [[]]
 
 
+def test_words_of_simple_bytes_are_split_within_their_text():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aBz019_-.,(<'s \t\n\x0b\x1f\x7fé") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    out = []
+    for run in (pa.array(texts[:1], pa.string()), pa.array(["x", *texts])[2:]):  # a sliced array too
+        for ids, at in WordEncoder(WORD).encode(run):
+            out += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert out == [e.ids for e in Tokenizer.from_file(WORD).encode_batch(texts, add_special_tokens=False)]
+    assert sum(map(len, slices(pa.array(["ab", None, "", "cdefg"]), 3))) == 4
+
+
+def test_an_encoder_holds_two_generations_and_no_more():
+    encoder = WordEncoder(WORD, 1000)
+    for n in range(0, 20_000, 100):  # 100 new words a slice, one in three with a sign
+        words = ["".join(chr(97 + int(d)) for d in str(i)) + "," * (i % 3 == 0) for i in range(10_000 + n, 10_100 + n)]
+        list(encoder.encode(pa.array([" ".join(words)])))
+    held = sum(len(c.young) + len(c.old) for c in vars(encoder).values() if isinstance(c, _Cache))
+    assert held <= 2 * (1000 + 101)
+
+
 @pytest.mark.parametrize("entries", [50, 100_000])
 def test_byte_counts_equal_the_library(entries):
     texts = _texts()
