@@ -7,9 +7,10 @@ The numbers stand in a level array, the open windows of each level in a stack.
 
 A task keeps at most OPEN_WINDOWS open; beyond that an arriving piece is cut to
 fill the fullest one. Windows still open when the tasks end are merged by the
-same rule in a tree of FAN_IN tasks a node. At its root the rest is poured
-together: full windows, and a last part cut into powers of two, which need no
-padding. So nothing is padded, and no task holds more than a bounded rest.
+same rule in a tree of FAN_IN tasks a node, which reads them in order and holds
+only those it keeps open. At its root the rest is poured together: full windows,
+and a last part cut into powers of two, which need no padding. So nothing is
+padded, and no task holds more than a bounded rest.
 """
 
 from __future__ import annotations
@@ -17,24 +18,25 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import prepare, store
-from strata.llm.tokenization import WordEncoder, release_memory
+from strata.llm.tokenization import SLICE_BYTES, WordEncoder, release_memory
 
 WINDOW = 2048
 OPEN_WINDOWS = 512
 FAN_IN = 64
-FLUSH_BYTES = 8 << 20
+# Bytes of ids after which a task hands its rows on.
+FLUSH_BYTES = 2 << 20
 
 _COLUMNS = {
     "doc_id": pa.int64(), "row_key": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(),
     "sequence_id": pa.int64(), "offset": pa.int64(), "sequence_tokens": pa.int64(), "ids": pa.binary(), "open_ids": pa.binary(), "task": pa.int64(),
 }
 _ARROW = pa.schema(list(_COLUMNS.items()))
+_OPENED = ["node", "sequence_id", "offset", "doc_id", "row_key", "start", "length", "doc_tokens", "open_ids"]
 _DDL = ", ".join(f"{n} {'binary' if t == pa.binary() else 'bigint'}" for n, t in _COLUMNS.items())
 
 
@@ -194,7 +196,7 @@ def pack_sequences(
             dtype = _id_dtype(max(encoder.vocab_size, end_id + 1))
             rows = rows or _Rows(task, task << 32, dtype)
             keys, i = batch.column(0).to_pylist(), 0
-            for ids, at in encoder.encode(batch.column(1)):
+            for ids, at in encoder.encode(batch.column(1), SLICE_BYTES // 2):
                 full = np.insert(ids.astype(dtype, copy=False), at[1:], end_id)
                 bounds = (at + np.arange(len(at))).tolist()
                 for a, b in zip(bounds[:-1], bounds[1:]):
@@ -216,20 +218,39 @@ def pack_sequences(
         release_memory(encoders=False)
 
     def merge(base: int, last: bool):
-        def run(key, pdf):
-            pdf = pdf.sort_values(["sequence_id", "offset"])
-            group = int(key[0])
-            dtype = np.dtype(f"<u{len(pdf['open_ids'].iloc[0]) // int(pdf['length'].iloc[0])}")
-            rows, levels, opened = _Rows(group, base + (group << 32), dtype), LevelArray(window, open_windows), {}
-            for r in pdf.itertuples():
-                doc = None if pd.isna(r.doc_id) else int(r.doc_id)
-                opened.setdefault(r.sequence_id, []).append(Piece(doc, int(r.row_key), int(r.start), np.frombuffer(r.open_ids, dtype), int(r.doc_tokens)))
-            for pieces in opened.values():
+        def run(batches):
+            release_memory()  # of the encoders that made the pieces
+            group, rows, levels, sequence, pieces = None, None, None, None, []
+
+            def place():
                 for made in levels.add(pieces):
                     rows.write(made)
-            for made in pour(levels.rest(), window) if last else levels.rest():
-                rows.write(made, closed=last)
-            return rows.batch().to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+
+            def finish():
+                place()
+                for made in pour(levels.rest(), window) if last else levels.rest():
+                    rows.write(made, closed=last)
+                    if rows.bytes > FLUSH_BYTES:
+                        yield rows.batch()
+                yield rows.batch()
+
+            for batch in batches:
+                for node, sequence_id, doc, row_key, start, length, doc_tokens, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                    if node != group:
+                        if rows:
+                            yield from finish()
+                        group, sequence, pieces = node, sequence_id, []
+                        dtype = np.dtype(f"<u{len(raw) // length}")
+                        rows, levels = _Rows(group, base + (group << 32), dtype), LevelArray(window, open_windows)
+                    if sequence_id != sequence:
+                        place()
+                        sequence, pieces = sequence_id, []
+                        if rows.bytes > FLUSH_BYTES:
+                            yield rows.batch()
+                    pieces.append(Piece(doc, row_key, start, np.frombuffer(raw, dtype), doc_tokens))
+            if rows:
+                yield from finish()
+            release_memory()
 
         return run
 
@@ -240,10 +261,8 @@ def pack_sequences(
     depth = 0
     while True:
         tasks, depth = max(1, -(-tasks // FAN_IN)), depth + 1
-        opened = level.where(F.col("open_ids").isNotNull()).drop("ids").withColumn("ids", F.lit(None).cast("binary"))
-        level = store(
-            opened.groupBy((F.col("task") % tasks).alias("node")).applyInPandas(merge(depth << 56, tasks == 1), _DDL), f"pieces-{depth}"
-        )
+        opened = level.where(F.col("open_ids").isNotNull()).withColumn("node", F.col("task") % tasks).select(*_OPENED).repartition("node")
+        level = store(opened.sortWithinPartitions("node", "sequence_id", "offset").drop("offset").mapInArrow(merge(depth << 56, tasks == 1), _DDL), f"pieces-{depth}")
         out = out.unionByName(level.where(F.col("ids").isNotNull()))
         if tasks == 1:
             return out.drop("open_ids", "task")

@@ -150,13 +150,15 @@ class WordEncoder:
             ids = [t.id for piece in _WORD_PIECES.findall(part.lower()) for t in self.model.tokenize(byte_level(piece))]
         return array(self.dtype.char, ids).tobytes()
 
-    def encode(self, texts: pa.Array):
-        """Yields, in order, (ids, offsets) of consecutive runs of ``texts``: the
-        ids of all of them, and where each text's begin and end. Null: empty."""
-        for run in slices(texts):
+    def encode(self, texts: pa.Array, limit: int = SLICE_BYTES):
+        """Yields, in order, (ids, offsets) of consecutive runs of ``texts`` of about
+        ``limit`` bytes: the ids of all of them, and where each text's begin and end.
+        Null: empty."""
+        for run in slices(texts, limit):
             parts, at = word_parts(run)
             known = parts.dictionary_encode()
             del parts
+            pa.default_memory_pool().release_unused()
             values = self.cache.look_up(_strings(known.dictionary))
             ends = np.cumsum([0, *map(len, values)])
             table = pa.Array.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(values))])
@@ -217,9 +219,11 @@ def word_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         inside = np.cumsum(steps, dtype=np.int8).astype(bool)
         begins &= ~inside | first
         lower = np.where(inside[:-1], data, lower)
+    del kinds
     starts = np.flatnonzero(begins)
-    lengths = np.add.reduceat(filled, starts, dtype=np.int64) if len(starts) else starts
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    lasts = filled[:-1] & (begins[1:] | ~filled[1:])
+    del begins
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(lasts) + 1 - starts)])
     parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lower[filled[:-1]])])
     return parts, np.searchsorted(starts, bounds)
 
