@@ -179,3 +179,15 @@ def test_packing_merges_many_tasks(spark):
     rows = [(i, "word " * (i % 37 + 1)) for i in range(600)]
     many = spark.createDataFrame(rows, "doc_id long, text string").repartition(70)
     _check_packing(pack_sequences(many, WORD, 1).collect(), rows, 1)
+
+
+def test_packing_merges_as_a_stream(spark, monkeypatch):
+    prepare(spark)
+    (word,) = _ids("word")
+    plans, store = [], packing.store
+    monkeypatch.setattr(packing, "store", lambda df, label: plans.append(df._jdf.queryExecution().toString()) or store(df, label))
+    monkeypatch.setitem(globals(), "_ids", lambda text: [word] * len(text.split()))
+    rows = [(i, "word " * (1400 + i % 90)) for i in range(1200)]  # open windows of 3.5 MB in all
+    found = pack_sequences(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), WORD, 1).collect()
+    _check_packing(found, rows, 1)
+    assert len(plans) == 2 and "MapInArrow" in plans[1] and not any("Pandas" in p for p in plans)
