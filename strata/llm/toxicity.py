@@ -32,8 +32,15 @@ A logistic calibration, on labelled documents that the counts left out, turns th
 evidences into a score. Counts cover every other labelled row.
 
 Words are 64-bit hashes throughout. Texts never move: words and pairs with evidence
-are broadcast while they are at most BROADCAST_WORDS, each of 16 bytes; more are
+are broadcast, each of 16 bytes, at most BROADCAST_WORDS at once. More are cut into
+shards by hash, of which a worker holds one at a time; beyond MAX_SHARDS they are
 joined with the distinct pairs of each text.
+
+Pairs are counted in cells, by the hash of the word and in large tables also by that
+of the word before, so that a frequent word is in several cells. A task sends its
+distinct pairs to a cell as one compressed block, and a cell is counted whole where it
+arrives. What discounts take after v is its occurrences less what its frequent pairs
+keep, so no pair is dealt a second time by v.
 """
 
 from __future__ import annotations
@@ -42,6 +49,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +65,11 @@ DISCOUNT, LEAST_SHARE, SHARED_DISCOUNT = 2.0, 0.01, 0.75
 TELLING = 2
 CALIBRATION_FOLD = 4
 BROADCAST_WORDS = 1_000_000
+# Shards of a larger model, at most 2 ** 16, and words looked up in all of them at once.
+MAX_SHARDS, CHUNK_WORDS = 64, 2_000_000
+# Bytes of labelled text to a cell of pairs, the most ranges of words that cells are made
+# of (more cells are made by the word before), and pairs that a task holds.
+CELL_BYTES, MAX_BANDS, HELD_PAIRS = 4 << 20, 128, 1_500_000
 # Steps and ends of the evidences in the calibration's table: 150 x 400 bins at most.
 PEAK_BINS, PEAK_END, MEAN_BINS, MEAN_END = 10, 15.0, 400, 1.0
 # Bytes of text handled at once: each becomes several 8-byte numbers.
@@ -162,28 +175,147 @@ def _pair_keys(keys: np.ndarray, before: np.ndarray) -> np.ndarray:
 _PAIR = "w ^ shiftleft(v, 16)"
 
 
-def _contexts(batches):
-    """(w, q, n): distinct words and the words before them in each slice of texts,
-    with their occurrences; q holds 32 bits of the hash before, and the class in its
-    two lowest bits."""
-    for batch in batches:
-        labels, done = batch.column(1).to_numpy(zero_copy_only=False), 0
-        for part in slices(batch.column(0), SLICE_BYTES):
-            keys, at = word_keys(part)
-            toxic = np.repeat(labels[done : done + len(part)] == 1, np.diff(at))
-            done += len(part)
-            q = (_before(keys, at) << np.uint64(2)).astype(np.int64) | np.where(toxic, 1, 2)
-            order = np.lexsort((q, keys))
-            keys, q = keys[order], q[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (q[1:] != q[:-1])
-            begin = np.flatnonzero(new)
-            times = np.diff([*begin, len(keys)]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[begin].view(np.int64)), pa.array(q[begin]), pa.array(times)], ["w", "q", "n"])
-    release_memory()
+_TOXIC, _ORDINARY, _END = 1, 2, 4
+_WORD, _BEFORE, _OFTEN = 0, 1, 2
 
 
-_WORD, _BEFORE, _OFTEN = 0, 1, 2
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted ``columns`` differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _summed(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(w, q, n) sorted by w and q, n added up over equal ones."""
+    w, q, n = map(np.concatenate, zip(*rows))
+    order = np.lexsort((q, w))
+    w, q, n = w[order], q[order], n[order]
+    begin = _firsts(w, q)
+    return w[begin], q[begin], np.add.reduceat(n, begin) if len(n) else n
+
+
+def _pack(w: np.ndarray, q: np.ndarray, n: np.ndarray) -> tuple[int, int, bytes]:
+    """(words, pairs, block) of sorted pairs: each word once, differences of neighbours,
+    bytes of one place together."""
+    begin = _firsts(w)
+    runs = np.diff([*begin, len(w)]).astype(np.uint32)
+    before = (q >> 3).astype(np.uint32)
+    columns = (np.diff(w[begin], prepend=np.uint64(0)), runs, np.diff(before, prepend=np.uint32(0)), (q & 7).astype(np.uint8), n.astype(np.uint32))
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    return len(begin), len(w), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(words: int, pairs: int, block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    types = ((np.uint64, words), (np.uint32, words), (np.uint32, pairs), (np.uint8, pairs), (np.uint32, pairs))
+    raw = np.frombuffer(pa.decompress(block, sum(np.dtype(t).itemsize * k for t, k in types), codec="zstd", asbytes=True), np.uint8)
+    columns, at = [], 0
+    for t, k in types:
+        size = np.dtype(t).itemsize
+        columns.append(np.ascontiguousarray(raw[at : at + size * k].reshape(size, k).T).view(t).reshape(k))
+        at += size * k
+    w, runs, before, kind, n = columns
+    before = np.cumsum(before, dtype=np.uint32)
+    return np.repeat(np.cumsum(w, dtype=np.uint64), runs), (before.astype(np.int64) << 3) | kind, n.astype(np.int64)
+
+
+def _pairs_of(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(w, q, n) of the pairs of some texts, n their occurrences: q holds 32 bits of the
+    hash before, and the class in its two lowest bits. The last word of a text comes
+    once more, with _END and nothing before it."""
+    keys, at = word_keys(texts)
+    kind = np.where(toxic, _TOXIC, _ORDINARY)
+    q = (_before(keys, at) << np.uint64(3)).astype(np.int64) | np.repeat(kind, np.diff(at))
+    some = np.diff(at) > 0
+    w = np.concatenate([keys, keys[at[1:][some] - 1]])
+    return _summed([(w, np.concatenate([q, kind[some] | _END]), np.ones(len(w), np.int64))])
+
+
+def _blocks(bands: int, salts: int):
+    """(text, label) to (cell, words, pairs, block)."""
+    shift = np.uint64(65 - bands.bit_length())
+
+    def dealt(w, q, n):
+        cell = (w >> shift).astype(np.int64) if bands > 1 else np.zeros(len(w), np.int64)
+        cell = cell * salts + (q >> 3) % salts
+        order = np.argsort(cell, kind="stable")
+        cell, w, q, n = cell[order], w[order], q[order], n[order]
+        begin = _firsts(cell)
+        blocks = [_pack(w[i:j], q[i:j], n[i:j]) for i, j in zip(begin, [*begin[1:], len(w)])]
+        return pa.RecordBatch.from_arrays([pa.array(cell[begin]), *map(pa.array, zip(*blocks))], ["cell", "words", "pairs", "block"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            labels, done = batch.column(1).to_numpy(zero_copy_only=False), 0
+            for part in slices(batch.column(0), SLICE_BYTES):
+                held.append(_pairs_of(part, labels[done : done + len(part)] == 1))
+                done += len(part)
+                size += len(held[-1][0])
+                if size > HELD_PAIRS:
+                    held = [_summed(held)]
+                    size = len(held[0][0])
+                    if size > HELD_PAIRS // 2:
+                        yield dealt(*held[0])
+                        held, size = [], 0
+        if size:
+            yield dealt(*_summed(held))
+        release_memory()
+
+    return run
+
+
+_FOUND = ["kind", "w", "v", "t", "o", "n", "ct", "co"]
+
+
+def _counted(discount: float):
+    """Blocks, those of a cell together, to _FOUND: what a cell holds of a _WORD (ct and co,
+    its occurrences before another word), its starts of texts as a _BEFORE, and its
+    pairs beyond the discount."""
+
+    def counts(held):
+        w, q, n = _summed(held)
+        begin = _firsts(w, q >> 2)  # a pair, both classes
+        toxic = q & 3 == _TOXIC
+        t, o = (np.add.reduceat(np.where(c, n, 0), begin) for c in (toxic, ~toxic))
+        w, v, end = w[begin], q[begin] >> 3, q[begin] & _END > 0
+        words = _firsts(w)
+        of = lambda x: np.add.reduceat(x.astype(np.int64), words)
+        sign = np.where(end, -1, 1)
+        yield _WORD, w[words], np.zeros(len(words), np.int64), of((t > 0) & ~end), of((o > 0) & ~end), of(~end), of(t * sign), of(o * sign)
+        if end.any():
+            none = np.zeros(1, np.int64)
+            yield _BEFORE, none.view(np.uint64), none, none, none, none, t[end].sum(keepdims=True), o[end].sum(keepdims=True)
+        often = (t + o > discount) & ~end
+        none = np.zeros(np.count_nonzero(often), np.int64)
+        yield _OFTEN, w[often], v[often], t[often], o[often], (t + o)[often], none, none
+
+    def rows(held):
+        for kind, w, *values in counts(held):
+            made = [pa.array(np.full(len(w), kind, np.int32)), pa.array(w.view(np.int64)), *map(pa.array, values)]
+            batch = pa.RecordBatch.from_arrays(made, _FOUND)
+            for i in range(0, len(w), 1 << 16):
+                yield batch.slice(i, 1 << 16)
+
+    def run(batches):
+        cell, held, size, most = None, [], 0, HELD_PAIRS
+        for batch in batches:
+            for at, words, pairs, block in zip(*(batch.column(i) for i in range(4))):
+                if at.as_py() != cell:
+                    if held:
+                        yield from rows(held)
+                    cell, held, size, most = at.as_py(), [], 0, HELD_PAIRS
+                held.append(_unpack(words.as_py(), pairs.as_py(), block.as_py()))
+                size += len(held[-1][0])
+                if size > most:
+                    held = [_summed(held)]
+                    size = len(held[0][0])
+                    most = max(HELD_PAIRS, 2 * size)
+        if held:
+            yield from rows(held)
+        release_memory()
+
+    return run
 
 
 def count_words(docs: DataFrame, known: DataFrame, discount: float = DISCOUNT) -> DataFrame:
@@ -192,19 +324,31 @@ def count_words(docs: DataFrame, known: DataFrame, discount: float = DISCOUNT) -
     before w. _BEFORE: what the discounts take after v, and c, the occurrences of v.
     _OFTEN: occurrences of the pairs beyond the discount."""
     train = join_labels(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), known.where(remainder("doc_id") != CALIBRATION_FOLD))
-    found = train.select("text", "label").mapInArrow(_contexts, "w long, q long, n long")
-    of = lambda c: F.sum(F.when(F.col("q").bitwiseAND(3) == c, F.col("n")).otherwise(0))
-    pairs = found.groupBy("w", F.shiftright("q", 2).alias("v")).agg(of(1).alias("t"), of(2).alias("o"))
-    d, none, t, o = F.lit(float(discount)), F.lit(0).cast("long"), F.col("t"), F.col("o")
+    cells = (train.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // CELL_BYTES + 1
+    bands = 1
+    while bands < min(cells, MAX_BANDS):
+        bands *= 2
+    salts = -(-cells // bands)
+    blocks = train.select("text", "label").mapInArrow(_blocks(bands, salts), "cell long, words long, pairs long, block binary")
+    counted = blocks.repartition("cell").sortWithinPartitions("cell").mapInArrow(_counted(float(discount)), "kind int, " + ", ".join(f"{c} long" for c in _FOUND[1:]))
+    found = store(counted, "toxicity-found")
+    columns = ["t", "o", "n", "c"]
 
     def row(kind, w, v, *values):
-        return F.struct(F.lit(kind).alias("kind"), w.alias("w"), v.alias("v"), *(x.cast("double").alias(name) for name, x in zip("tonc", values)))
-
-    word = row(_WORD, F.col("w"), none, t > 0, o > 0, F.lit(1), F.lit(0))
-    before = row(_BEFORE, none, F.col("v"), F.least(t, d), F.least(o, d), F.least(t + o, d), t + o)
-    often = row(_OFTEN, F.col("w"), F.col("v"), t, o, t + o, F.lit(0))
-    split = pairs.select(F.explode(F.when(t + o > d, F.array(word, before, often)).otherwise(F.array(word, before))).alias("x")).select("x.*")
-    return store(split.groupBy("kind", "w", "v").agg(*(F.sum(x).alias(x) for x in "tonc")), "toxicity-counts")
+        return [F.lit(kind).alias("kind"), w.alias("w"), v.alias("v"), *(x.cast("double").alias(c) for x, c in zip(values, columns))]
+
+    d, none, t, o, ct, co = F.lit(float(discount)), F.lit(0).cast("long"), F.col("t"), F.col("o"), F.col("ct"), F.col("co")
+    words = found.where(F.col("kind") == _WORD)
+    if salts > 1:
+        words = words.groupBy("w").agg(*(F.sum(c).alias(c) for c in _FOUND[3:]))
+    often = found.where(F.col("kind") == _OFTEN)
+    # the discounts take all of a word's occurrences but what its frequent pairs keep
+    kept = lambda x: F.least(d - x, F.lit(0.0))
+    seen = found.where(F.col("kind") != _OFTEN).select(*row(_BEFORE, none, F.shiftrightunsigned("w", 32), ct, co, ct + co, ct + co))
+    taken = seen.unionAll(often.select(*row(_BEFORE, none, F.col("v"), kept(t), kept(o), kept(t + o), none)))
+    taken = taken.groupBy("kind", "w", "v").agg(*(F.sum(c).alias(c) for c in columns))
+    totals = store(words.select(*row(_WORD, F.col("w"), none, t, o, F.col("n"), none)).unionAll(taken), "toxicity-counts")
+    return totals.unionAll(often.select(*row(_OFTEN, F.col("w"), F.col("v"), t, o, t + o, none)))
 
 
 def lower_order(counts: DataFrame, discount: float = DISCOUNT) -> DataFrame | None:
@@ -251,28 +395,94 @@ def _telling(lower: DataFrame) -> DataFrame:
     return lower.where("e > 0").select("w", "e")
 
 
-def _text_evidence(keys: np.ndarray, at: np.ndarray, words: tuple[KeyTable, np.ndarray], pairs: tuple[KeyTable, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(mean over the most telling distinct words, mean over all words) per text."""
-    (table, e), (pair_table, pair_e) = words, pairs
-    n, rows = len(at) - 1, table.find(keys)
-    hits = np.flatnonzero(rows >= 0)
-    every = np.zeros(len(keys))
-    every[hits] = value = e[rows[hits]] if len(hits) else np.empty(0)
-    if len(pair_e):
-        found = pair_table.find(_pair_keys(keys, _before(keys, at)))
-        known = np.flatnonzero(found >= 0)
-        every[known] = pair_e[found[known]]
+def _text_evidence(keys: np.ndarray, at: np.ndarray, own: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(mean over the most telling distinct words, mean over all words) per text, from
+    each word's evidence by itself, 0 if it has none, and with the word before it."""
+    n = len(at) - 1
     mean = np.bincount(np.repeat(np.arange(n), np.diff(at)), every, n) / np.maximum(np.diff(at), 1)
-    owner = np.searchsorted(at, hits, side="right") - 1
-    _, first = np.unique(owner * max(len(e), 1) + rows[hits], return_index=True)
+    hits = np.flatnonzero(own)
+    owner, value, word = np.searchsorted(at, hits, side="right") - 1, own[hits], keys[hits]
+    order = np.lexsort((word, -value, owner))
+    first = order[_firsts(owner[order], word[order])]
     owner, value = owner[first], value[first]
-    order = np.lexsort((-value, owner))
-    owner, value = owner[order], value[order]
     place = np.arange(len(owner)) - np.searchsorted(owner, owner)
     some = place < TELLING
     return np.bincount(owner[some], value[some], n) / TELLING, mean
 
 
+def _found_in(tables: tuple, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(own, every) of ``_text_evidence`` from the whole model."""
+    (table, e), (pair_table, pair_e) = tables
+    own = np.zeros(len(keys))
+    rows = table.find(keys)
+    hits = np.flatnonzero(rows >= 0)
+    own[hits] = e[rows[hits]]
+    every = own.copy()
+    if len(pair_e):
+        found = pair_table.find(_pair_keys(keys, _before(keys, at)))
+        known = np.flatnonzero(found >= 0)
+        every[known] = pair_e[found[known]]
+    return own, every
+
+
+def _found_in_shards(shards: list[Broadcast], keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from shards, each loaded once and let go: shard i of 2 ** b holds the keys
+    whose highest b bits are i. Those of a pair are its word's."""
+    shift = np.uint64(65 - len(shards).bit_length())
+    both = []
+    for wanted in (keys, _pair_keys(keys, _before(keys, at))):
+        order = np.argsort(wanted)
+        wanted = wanted[order]
+        both.append((order, wanted, np.searchsorted(wanted >> shift, np.arange(len(shards) + 1, dtype=np.uint64)), np.full(len(keys), np.nan)))
+    for i, shard in enumerate(shards):
+        if both[0][2][i] == both[0][2][i + 1]:
+            continue
+        for (order, wanted, ends, out), (have, e) in zip(both, shard.value):
+            if len(have):
+                mine = slice(ends[i], ends[i + 1])
+                rows = np.minimum(np.searchsorted(have, wanted[mine]), len(have) - 1)
+                out[order[mine]] = np.where(have[rows] == wanted[mine], e[rows], np.nan)
+        if hasattr(shard, "_path"):  # it can be loaded again
+            vars(shard).pop("_value", None)
+    own, pair = both[0][3], both[1][3]
+    own = np.where(np.isnan(own), 0.0, own)
+    return own, np.where(np.isnan(pair), own, pair)
+
+
+def _scored_batches(batches, place: int, names: list[str], look_up, chunk: int):
+    """The batches with ``peak`` and ``mean`` of the texts in column ``place``, looked up
+    about ``chunk`` words and texts at a time."""
+    waiting, held, size, peaks, means = [], [], 0, np.empty(0), np.empty(0)
+
+    def resolve():
+        keys = np.concatenate([k for k, _ in held])
+        at = np.concatenate([[0], *(a[1:] + base for (_, a), base in zip(held, np.cumsum([0, *(len(k) for k, _ in held)])))])
+        peak, mean = _text_evidence(keys, at, *look_up(keys, at))
+        held.clear()
+        return np.concatenate([peaks, peak]), np.concatenate([means, mean])
+
+    def ready():
+        nonlocal peaks, means
+        while waiting and waiting[0][0] <= len(peaks):
+            rows, columns = waiting.pop(0)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(peaks[:rows]), pa.array(means[:rows])], [*names, "peak", "mean"])
+            peaks, means = peaks[rows:], means[rows:]
+
+    for batch in batches:
+        waiting.append((batch.num_rows, batch.columns[:place]))
+        for part in slices(batch.column(place), SLICE_BYTES):
+            held.append(word_keys(part))
+            size += len(held[-1][0]) + len(part)
+            if size >= chunk:
+                peaks, means = resolve()
+                size = 0
+        yield from ready()
+    if held:
+        peaks, means = resolve()
+    yield from ready()
+    release_memory()
+
+
 def _named(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
     """``columns`` as c0, c1, ..., so that no name clashes, and the text as t."""
     names = [f"c{i}" for i in range(len(columns))]
@@ -286,30 +496,39 @@ def evidence(docs: DataFrame, model: dict, columns: list[str]) -> DataFrame:
     table, limit = model["table"], model.get("entries", BROADCAST_WORDS)
     pairs = model["pairs"] if "pairs" in model else spark.createDataFrame([], "w long, p long, e double")
     if "few" not in model:
-        model["few"] = table.select("w").unionAll(pairs.select("w")).limit(limit + 1).count() <= limit
-    if not model["few"]:
+        size = table.count() + pairs.count()
+        model["few"], model["shards"] = size <= limit, 1
+        while model["shards"] * limit < size <= MAX_SHARDS * limit:
+            model["shards"] *= 2
+    if not model["few"] and model["shards"] == 1:
         return _joined_evidence(docs, table, pairs, columns)
     if "shared" not in model:
-        held = [(t[k].to_numpy().view(np.uint64), t["e"].to_numpy()) for k, t in (("w", table.toArrow()), ("p", pairs.toArrow()))]
-        model["shared"] = spark.sparkContext.broadcast(held)
+        model["shared"] = [spark.sparkContext.broadcast(_shard(table, pairs, i, model["shards"])) for i in range(model["shards"])]
     shared = model["shared"]
     named, names = _named(docs, columns)
 
     def run(batches):
-        words, pairs = ((KeyTable(keys), e) for keys, e in shared.value)
-        for batch in batches:
-            peaks, means = [np.empty(0)], [np.empty(0)]
-            for part in slices(batch.column(len(names)), SLICE_BYTES):
-                peak, mean = _text_evidence(*word_keys(part), words, pairs)
-                peaks.append(peak)
-                means.append(mean)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(np.concatenate(peaks)), pa.array(np.concatenate(means))], [*names, "peak", "mean"])
-        release_memory()
+        if len(shared) > 1:
+            return _scored_batches(batches, len(names), names, lambda *x: _found_in_shards(shared, *x), CHUNK_WORDS)
+        tables = tuple((KeyTable(keys), e) for keys, e in shared[0].value)
+        return _scored_batches(batches, len(names), names, lambda *x: _found_in(tables, *x), 1)
 
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
     return named.mapInArrow(run, ddl + ", peak double, mean double")
 
 
+def _shard(table: DataFrame, pairs: DataFrame, i: int, shards: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and evidences of the words and of the pairs in shard ``i``."""
+    held = []
+    for rows, key in ((table, "w"), (pairs, "p")):
+        mine = rows if shards == 1 else rows.where(F.shiftrightunsigned(key, 65 - shards.bit_length()) == i)
+        got = mine.select(key, "e").toArrow()
+        keys = got[key].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        held.append((keys[order], got["e"].to_numpy()[order]))
+    return held
+
+
 def _joined_evidence(docs: DataFrame, table: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
     """The same by a join of the texts' distinct pairs with the model."""
     named, names = _named(docs, columns)

@@ -265,3 +265,75 @@ def test_logistic_finds_known_weights():
     y = (rng.random(20_000) < sigmoid(0.5 + x @ [2.0, -1.0])).astype(float)
     m = fit_logistic(x, y, np.ones(len(y)))
     assert np.allclose(m["w"][1:] / m["spread"], [2, -1], atol=0.1)
+
+
+def _scored_rows(spark, entries):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in TRAIN], "doc_id long, text string")
+    known = spark.createDataFrame([(i, y) for i, _, y in TRAIN], "doc_id long, label int")
+    counts = toxicity.count_words(docs, known, 0.5)
+    lower = toxicity.lower_order(counts, 0.5)
+    model = {"table": lower.where("e > 0").select("w", "e"), "pairs": toxicity.higher_order(counts, lower, 0.5), "entries": entries}
+    texts = ["you idiot", "", None, "a dog sat on the moron cat idiot", "a dog " * 2000 + "idiot moron idiot"]
+    rows = evidence(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, ["doc_id"]).collect()
+    return model, {r["c0"]: (r["peak"], r["mean"]) for r in rows}
+
+
+def test_a_model_beyond_one_broadcast_moves_no_texts(spark, monkeypatch):
+    prepare(spark)
+    model, whole = _scored_rows(spark, 1_000_000)
+    stored, real = [], toxicity.store
+    monkeypatch.setattr(toxicity, "store", lambda df, label: stored.append(label) or real(df, label))
+    parted, rows = _scored_rows(spark, 3)
+    assert model["few"] and not parted["few"] and parted["shards"] > 1
+    assert "toxicity-texts" not in stored
+    assert rows.keys() == whole.keys() and all(rows[i] == pytest.approx(whole[i], rel=1e-12) for i in rows)
+    monkeypatch.setattr(toxicity, "MAX_SHARDS", 1)
+    joined, rows = _scored_rows(spark, 3)
+    assert joined["shards"] == 1 and "toxicity-texts" in stored
+    assert rows.keys() == whole.keys() and all(rows[i] == pytest.approx(whole[i], rel=1e-9) for i in rows)
+
+
+def test_pairs_are_sent_in_few_bytes_and_counted_whole(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words[k] for k in np.minimum(rng.zipf(1.3, 400), 2999)) for _ in range(60)] + ["", None, "one"]
+    labels = [i % 3 == 0 for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([int(x) for x in labels])], ["text", "label"])
+    pairs, befores = {True: Counter(), False: Counter()}, Counter()
+    for text, toxic in zip(texts, labels):
+        keys = word_keys(pa.array([text or ""]))[0].tolist()
+        for v, w in zip([0, *(k >> 32 for k in keys)], keys):
+            pairs[toxic][w, v] += 1
+            befores[v] += 1
+    both = pairs[True] + pairs[False]
+    for bands, salts, held in ((1, 1, 1 << 20), (4, 3, 1 << 20), (2, 5, 700)):
+        monkeypatch.setattr(toxicity, "HELD_PAIRS", held)
+        monkeypatch.setattr(toxicity, "SLICE_BYTES", 2000)
+        sent = [r for b in toxicity._blocks(bands, salts)([batch]) for r in b.to_pylist()]
+        assert {r["cell"] for r in sent} == set(range(bands * salts))
+        if bands == 1:  # 24 bytes each as rows
+            assert sum(len(r["block"]) for r in sent) < 9 * sum(r["pairs"] for r in sent)
+        sent.sort(key=lambda r: r["cell"])
+        got = [r for b in toxicity._counted(2.0)([pa.RecordBatch.from_pylist(sent)]) for r in b.to_pylist()]
+        often = {(r["w"] % 2**64, r["v"]): (r["t"], r["o"]) for r in got if r["kind"] == toxicity._OFTEN}
+        assert often == {k: (pairs[True][k], pairs[False][k]) for k, c in both.items() if c > 2}
+        distinct, before = Counter(), Counter()
+        for r in got:
+            if r["kind"] != toxicity._OFTEN:
+                before[(r["w"] % 2**64) >> 32] += r["ct"] + r["co"]
+            if r["kind"] == toxicity._WORD:
+                for c in "ton":
+                    distinct[c, r["w"] % 2**64] += r[c]
+        assert +before == befores
+        for c, of in (("t", pairs[True]), ("o", pairs[False]), ("n", both)):
+            assert {w: k for (name, w), k in distinct.items() if name == c and k} == Counter(w for w, _ in of)
+
+
+def test_counts_in_many_cells_equal_those_in_one(spark, monkeypatch):
+    prepare(spark)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in TRAIN], "doc_id long, text string")
+    known = spark.createDataFrame([(i, y) for i, _, y in TRAIN], "doc_id long, label int")
+    one = sorted(map(tuple, toxicity.count_words(docs, known, 0.5).collect()))
+    monkeypatch.setattr(toxicity, "CELL_BYTES", 20)
+    monkeypatch.setattr(toxicity, "MAX_BANDS", 2)
+    assert one and sorted(map(tuple, toxicity.count_words(docs, known, 0.5).collect())) == one
