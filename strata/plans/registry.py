@@ -26,7 +26,7 @@ from strata.operators.reshape import select_columns_like, unpivot_to_text
 from strata.plans import forms, oracle, survey
 from strata.plans.revenue import DIM_EJECUTORA, RevenueModel, load_revenue, revenue_dashboard
 from strata.plans.standins import forms_sources, revenue_bronze, survey_wide
-from strata.session import materialize, once_per_input
+from strata.session import discard, materialize, once_per_input
 from strata.sources.files import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +46,11 @@ def _revenue(spark: SparkSession, sf_dir: str) -> RevenueModel:
     """The stored budget star of these inputs: loaded by the first query that needs it."""
 
     def build() -> RevenueModel:
-        loaded = load_revenue(materialize(revenue_bronze(spark, sf_dir), "ingreso_raw"))
-        return replace(loaded, fact=materialize(loaded.fact, "FACT_INGRESO_DIARIO"))
+        bronze = materialize(revenue_bronze(spark, sf_dir), "ingreso_raw", "zstd")
+        loaded = load_revenue(bronze)
+        model = replace(loaded, fact=materialize(loaded.fact, "FACT_INGRESO_DIARIO", "zstd"))
+        discard(bronze)  # the dimensions are checkpoints
+        return model
 
     return once_per_input(spark, "revenue", _budget_paths(sf_dir), build)
 

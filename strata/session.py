@@ -100,16 +100,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", codec: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Unlike ``checkpoint`` the result is columnar: later scans read only the
     columns they use and get filters pushed down. Used for an intermediate
-    that several later plans scan (e.g. a bronze frame built by joins).
+    that several later plans scan (e.g. a bronze frame built by joins). ``codec``:
+    the compression of its files, the session's if not given.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.parquet(path, compression=codec)
+    stored = df.sparkSession.read.parquet(path)
+    setattr(stored, _PATH_ATTR, path)
+    return stored
+
+
+_PATH_ATTR = "_strata_path"
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` stored and no later plan reads."""
+    spark, path = stored.sparkSession, getattr(stored, _PATH_ATTR)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _STORED: dict[tuple, object] = {}

@@ -1,13 +1,17 @@
 """Joins with sides too large to broadcast, and the merge job over a folder."""
 
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.joins import anti_join, key_bitmap, may_exist, split_join
+from strata.plans import registry
 from strata.plans.module_merge import merge_module_folder
-from tests.conftest import rows
+from strata.plans.standins import revenue_bronze
+from strata.session import ensure_checkpoint_dir
+from tests.conftest import SF_SMALL, rows
 
 
 def _skewed(spark):
@@ -80,3 +84,27 @@ def test_merge_job(spark, tmp_dir):
     for keys in ((), ("k",)):
         with pytest.raises(ValueError):
             merge_module_folder(spark, os.path.join(tmp_dir, "none"), tmp_dir, "x", keys)
+
+
+def test_budget_lines_are_shuffled_once_for_each_large_table(spark):
+    """Orders meet the customers first, so a line is not shuffled for its customer."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = revenue_bronze(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    depth = {k: next(line.index("Join") for line in joins if k in line) for k in ("l_orderkey", "o_custkey")}
+    assert len(joins) == 6 and depth["o_custkey"] > depth["l_orderkey"]  # below the join of the lines
+
+
+def test_budget_load_leaves_no_bronze_table(spark, tmp_path):
+    for t in registry.BUDGET_TABLES:
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+    tables = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    held = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    got = registry.QUERIES["kpi_by_department"](spark, str(tmp_path)).collect()
+    names = sorted(n.split("-")[0] for n in set(os.listdir(tables)) - held)
+    assert got and names == ["FACT_INGRESO_DIARIO", "INGRESOS_DASHBOARD"]
+    assert registry.QUERIES["fact_lookup_star"](spark, str(tmp_path)).count() > 0
