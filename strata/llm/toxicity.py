@@ -69,7 +69,7 @@ BROADCAST_WORDS = 1_000_000
 MAX_SHARDS, CHUNK_WORDS = 64, 2_000_000
 # Bytes of labelled text to a cell of pairs, the most ranges of words that cells are made
 # of (more cells are made by the word before), and pairs that a task holds.
-CELL_BYTES, MAX_BANDS, HELD_PAIRS = 4 << 20, 128, 1_500_000
+CELL_BYTES, MAX_BANDS, HELD_PAIRS = 4 << 20, 128, 1_000_000
 # Steps and ends of the evidences in the calibration's table: 150 x 400 bins at most.
 PEAK_BINS, PEAK_END, MEAN_BINS, MEAN_END = 10, 15.0, 400, 1.0
 # Bytes of text handled at once: each becomes several 8-byte numbers.
@@ -260,6 +260,7 @@ def _blocks(bands: int, salts: int):
                         held, size = [], 0
         if size:
             yield dealt(*_summed(held))
+        held.clear()  # before freed memory goes back, as idle workers stay
         release_memory()
 
     return run
@@ -313,6 +314,7 @@ def _counted(discount: float):
                     most = max(HELD_PAIRS, 2 * size)
         if held:
             yield from rows(held)
+        held.clear()
         release_memory()
 
     return run
